@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from linkforge.llm import bpe_prefix, pack_binary
+from linkforge.llm import bpe_prefix, chat_perspectives, lang_zstd, license_scan, line_winnow, pack_binary, quality_mcd
 
-MODULES = [bpe_prefix, pack_binary]
+MODULES = [quality_mcd, chat_perspectives, lang_zstd, license_scan, bpe_prefix, pack_binary, line_winnow]
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 SQL = {k: s for m in MODULES for k, s in m.SQL.items()}

@@ -17,6 +17,7 @@ def session(app: str = "linkforge", cores: str = "*", partitions: int = 8, memor
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
