@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import xxhash
@@ -27,6 +28,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Like cut(), as Parquet: columns of numbers take far less room than a checkpoint's rows."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/linkforge-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class WordHashes(dict):
     """Word -> 64-bit hash; a bounded memo."""
 
@@ -44,6 +52,14 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+_MEMO = WordHashes()
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of a text's words: A-Z lower-cased, cut at space and \\t..\\r; none for null."""
+    return _MEMO.of(text.encode(errors="replace").lower().split()) if isinstance(text, str) else np.empty(0, dtype=np.uint64)
+
+
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 

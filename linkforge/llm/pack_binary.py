@@ -109,5 +109,11 @@ def op7_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), P.path("word_bpe_49k.json"))
 
 
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    return pack(docs, P.path("word_bpe_49k.json"))
+
+
 QUERIES = {"op7_pack_binary": op7_pack_binary}
 SQL: dict[str, str] = {}
