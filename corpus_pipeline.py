@@ -1,12 +1,33 @@
-"""The corpus pipeline: STAGES, run() and ORACLE_SQL."""
+"""The corpus pipeline: quality rules, line dedup, MinHash near-dedup, substring dedup, packing.
+
+Each stage's result is written as Parquet and read again, so a stage starts from files and a lost executor costs no
+more than its tasks.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from linkforge.llm import line_winnow, near_minhash, pack_binary, paragraph_minhash, quality_mcd
+from linkforge.llm.common import shared_dir
+
+STAGES = [
+    ("quality rules", quality_mcd.stage),
+    ("line dedup", line_winnow.stage),
+    ("minhash near-dedup", near_minhash.stage),
+    ("substring dedup", paragraph_minhash.stage),
+    ("packing", pack_binary.stage),
+]
+#: Robust covariance, minhashes and a tokenizer have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return docs
