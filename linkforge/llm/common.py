@@ -35,6 +35,16 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Ids up to this number are broadcast (8 MB of longs); more are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
+
+
+def pick(df: DataFrame, ids: DataFrame, how: str = "left_semi", most: int = MOST_BROADCAST) -> DataFrame:
+    """Rows of df whose doc_id is among ids (doc_id), or isn't (left_anti). Texts are shuffled only if the ids are many."""
+    ids = cut(ids.select("doc_id").distinct())
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", how).select(*df.columns)
+
+
 class WordHashes(dict):
     """Word -> 64-bit hash; a bounded memo."""
 

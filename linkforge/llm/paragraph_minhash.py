@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import M1, M2, cut, mix, shingle_hashes, store, word_hashes
+from linkforge.llm.common import M1, M2, cut, mix, pick, shingle_hashes, store, word_hashes
 from linkforge.llm.linking import batches, verified_components
 from linkforge.llm.near_minhash import group_minhashes
 
@@ -65,6 +65,12 @@ def _known(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
 
+def _of_docs(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """found (doc_id, th and more), with the text; repeated rows once."""
+    found = cut(found)
+    return _known(pick(docs, found)).dropDuplicates(["doc_id", "th"]).join(found, ["doc_id", "th"])
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, th (the text's hash), idx, n words, f1 and f2 (hashes of the words), g (bands; null if short)."""
 
@@ -107,7 +113,7 @@ def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["id", "s"])
 
     wanted = places.groupBy("doc_id", "th").agg(F.collect_list(F.struct("idx", "id")).alias("want"))  # a document's at most
-    return _known(docs).dropDuplicates(["doc_id", "th"]).join(wanted, ["doc_id", "th"]).select("text", "want").mapInPandas(run, "id long, s array<long>")
+    return _of_docs(docs, wanted).select("text", "want").mapInPandas(run, "id long, s array<long>")
 
 
 def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -123,7 +129,7 @@ def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["d0", "t0", "i0", "pre", "post"])
 
     wanted = places.groupBy("doc_id", "th").agg(F.collect_set("idx").alias("want"))
-    return _known(docs).dropDuplicates(["doc_id", "th"]).join(wanted, ["doc_id", "th"]).mapInPandas(run, "d0 long, t0 long, i0 int, pre array<long>, post array<long>")
+    return _of_docs(docs, wanted).mapInPandas(run, "d0 long, t0 long, i0 int, pre array<long>, post array<long>")
 
 
 def later_places(docs: DataFrame) -> DataFrame:
@@ -202,10 +208,6 @@ def without(text: str, gone: list[tuple[int, int, int]]) -> str:
     return b"".join(parts).decode()
 
 
-def _of_docs(docs: DataFrame, found: DataFrame) -> DataFrame:
-    return _known(docs).dropDuplicates(["doc_id", "th"]).join(found, ["doc_id", "th"])
-
-
 def removals(docs: DataFrame) -> DataFrame:
     """A row per deleted run: doc_id, first_word, n_words, kept_doc_id (the document where it stays), md5 of its words."""
     import hashlib
@@ -235,9 +237,13 @@ def dedup(docs: DataFrame) -> DataFrame:
                 out.append((d, th, without(text, gone), sum(b - a for a, b, _ in gone)))
             yield pd.DataFrame(out, columns=["new_id", "new_th", "new_text", "n_removed"])
 
-    new = _of_docs(docs, runs(docs)).mapInPandas(run, "new_id long, new_th long, new_text string, n_removed long")
-    joined = docs.join(new, (docs["doc_id"] == new["new_id"]) & (F.xxhash64(docs["text"]) == new["new_th"]), "left")
-    return joined.withColumn("text", F.coalesce("new_text", "text")).withColumn("n_removed", F.coalesce("n_removed", F.lit(0).cast("long"))).drop("new_id", "new_th", "new_text")
+    found = cut(runs(docs))
+    new = _of_docs(docs, found).mapInPandas(run, "new_id long, new_th long, new_text string, n_removed long")
+    none = F.lit(0).cast("long")
+    rest, hit = pick(docs, found, "left_anti").withColumn("n_removed", none), pick(docs, found)
+    joined = hit.join(new, (hit["doc_id"] == new["new_id"]) & (F.xxhash64(hit["text"]) == new["new_th"]), "left")
+    done = joined.withColumn("text", F.coalesce("new_text", "text")).withColumn("n_removed", F.coalesce("n_removed", none))
+    return rest.unionByName(done.select(*docs.columns, "n_removed"))
 
 
 def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

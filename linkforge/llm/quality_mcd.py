@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import cut
+from linkforge.llm.common import cut, pick
 from linkforge.llm.native import let, words
 
 D = 5
@@ -133,8 +133,10 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are kept. A doc_id whose rows differ in verdict keeps none of them."""
-    gone = judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    bad = cut(judge(docs).where(~F.col("kept")).select("doc_id").distinct())
+    out = pick(docs, bad, "left_anti")
+    # a null doc_id joins with nothing
+    return out if bad.where("doc_id is null").isEmpty() else out.where("doc_id is not null")
 
 
 QUERIES = {"op1_quality_mcd": op1_quality_mcd}
