@@ -1,6 +1,737 @@
-"""Queries over the driver's tables, with their SQL, for every operator of the catalogue engine."""
+"""Queries over the driver's tables, with their SQL, for the operators of the catalogue engine.
+
+Each pair (query, SQL) applies one operator to whole tables by analogy: documents and benchmark passages stand for items
+and targets, parts for names, pages for links, orders and line items for dates and relationships."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linkforge.functions import dates, text, urls
+from linkforge.operators import analysis, blocking, closure, curation, edits, enrich, evaluate, features, models, rules, validate
+from linkforge.schema import MOVIE_PIDS
+from linkforge.session import table
+from linkforge.streaming import incremental
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def long(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("long")
+
+
+# ---------------------------------------------------------------- SQL forms of shared expressions
+SPLIT = r"[^\p{L}\p{N}_]+"
+
+
+def quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def word_list(words) -> str:
+    return "[" + ", ".join(map(quoted, words)) + "]"
+
+
+def norm_sql(x: str) -> str:
+    plain = rf"lower(regexp_replace({x}, '^\s+|\s+$', '', 'g'))"
+    out = f"translate({plain}, {quoted(text.SINGLE_FROM)}, {quoted(text.SINGLE_TO)})"
+    for k, v in text.SEVERAL.items():
+        out = f"replace({out}, {quoted(k)}, {quoted(v)})"
+    return out
+
+
+def tokens_sql(norm: str) -> str:
+    return f"list_sort(list_distinct(list_filter(string_split_regex({norm}, '{SPLIT}'), lambda t: length(t) > 1 AND NOT list_contains({word_list(text.STOP_WORDS)}, t))))"
+
+
+HOST_SQL = r"regexp_extract({u}, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1)"
+PATH_SQL = r"regexp_extract({u}, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
+QUERY_SQL = r"regexp_extract({u}, '^[^?#]*\?([^#]*)', 1)"
+
+
+def url_tokens_sql(u: str) -> str:
+    host, path, asked = (s.replace("{u}", u) for s in (HOST_SQL, PATH_SQL, QUERY_SQL))
+    drop = word_list(urls.TOP_LEVEL + urls.HOST_PREFIXES)
+    domain = f"list_filter(string_split_regex({host}, '{SPLIT}'), lambda t: NOT list_contains({drop}, t))"
+    pieces = f"flatten(list_transform(list_filter(string_split({path}, '/'), lambda x: x <> ''), lambda x: list_filter(string_split_regex(url_decode(x), '{SPLIT}'), lambda t: length(t) > 1)))"
+    return f"list_sort(list_distinct(list_concat(list_concat({domain}, {pieces}), list_filter(string_split_regex(url_decode({asked}), '{SPLIT}'), lambda t: t <> ''))))"
+
+
+# ---------------------------------------------------------------- texts
+@query(f"SELECT doc_id, md5({norm_sql('text')}) AS normalized FROM documents")
+def normalize_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(text.normalize(F.col("text"))).alias("normalized"))
+
+
+@query(f"WITH t AS (SELECT doc_id, {tokens_sql(norm_sql('text'))} AS t FROM documents) SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens FROM t")
+def tokenize_text(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", text.tokenize(F.col("text")).alias("t"))
+    return rows.select("doc_id", long(F.size("t")).alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens"))
+
+
+@query(f"""WITH g AS (SELECT source, list(DISTINCT text) AS v FROM documents GROUP BY source),
+n AS (SELECT source, list_sort(list_distinct(list_transform(v, lambda x: {norm_sql('x')}))) AS v FROM g)
+SELECT source, CAST(len(v) AS BIGINT) AS n, md5(array_to_string(v, '|')) AS v FROM n""")
+def normalize_values(spark, d):
+    g = table(spark, d, "documents").groupBy("source").agg(F.collect_set("text").alias("v")).select("source", text.normalize_values(F.col("v")).alias("v"))
+    return g.select("source", long(F.size("v")).alias("n"), F.md5(F.array_join("v", "|")).alias("v"))
+
+
+@query(r"SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter(string_split(p_name, ' '), lambda x: x <> ''))), ',') AS parts FROM part")
+def split_single_values(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.array_join(text.split_single(F.array("p_name")), ",").alias("parts"))
+
+
+# ---------------------------------------------------------------- URLs
+@query(f"SELECT page_id, {HOST_SQL.replace('{u}', 'url')} AS host FROM pages")
+def url_host(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.host(F.col("url")).alias("host"))
+
+
+@query(f"SELECT page_id, array_to_string({url_tokens_sql('url')}, ' ') AS tokens FROM pages")
+def url_tokens(spark, d):
+    return table(spark, d, "pages").select("page_id", F.array_join(urls.tokenize(F.col("url")), " ").alias("tokens"))
+
+
+@query(r"""WITH x AS (SELECT page_id, '  ' || url || CASE WHEN page_id % 2 = 0 THEN ' http://b.example.org/x' ELSE '' END || ' ' AS u FROM pages)
+SELECT page_id, unnest(string_split_regex(trim(u), '\s+')) AS url FROM x""")
+def url_clean(spark, d):
+    two = F.concat(F.lit("  "), F.col("url"), F.when(F.col("page_id") % 2 == 0, " http://b.example.org/x").otherwise(""), F.lit(" "))
+    return table(spark, d, "pages").select("page_id", F.explode(urls.clean(two)).alias("url"))
+
+
+_BARE = "CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN regexp_replace(url, '^https?://', '') WHEN 2 THEN replace(url, '.', ' ') ELSE replace(url, 'example', '-example') END"
+
+
+@query(rf"""WITH x AS (SELECT page_id, {_BARE} AS u FROM pages), v AS (SELECT page_id, u, regexp_matches(u, '^(https?://)?[a-z0-9][a-z0-9-]*(\.[a-z0-9][a-z0-9-]*)*\.[a-z]{{2,63}}([/?#]\S*)?$') AS ok FROM x)
+SELECT page_id, CASE WHEN ok THEN CASE WHEN regexp_matches(u, '^[a-z]+://') THEN u ELSE 'https://' || u END END AS url FROM v""")
+def url_validate(spark, d):
+    return table(spark, d, "pages").select("page_id", F.expr(_BARE).alias("u")).select("page_id", urls.validate(F.col("u")).alias("url"))
+
+
+@query(f"SELECT page_id, regexp_matches({HOST_SQL.replace('{u}', 'u')}, 'wikipedia|wikidata|wikibooks') AS wiki FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN replace(url, 'example', 'wikipedia') WHEN page_id % 3 = 1 THEN url || '/wikipedia' ELSE url END AS u FROM pages)")
+def url_is_wiki(spark, d):
+    u = F.when(F.col("page_id") % 3 == 0, F.replace("url", F.lit("example"), F.lit("wikipedia"))).when(F.col("page_id") % 3 == 1, F.concat("url", F.lit("/wikipedia"))).otherwise(F.col("url"))
+    return table(spark, d, "pages").select("page_id", urls.is_wiki(u).alias("wiki"))
+
+
+@query("""SELECT doc_id, 'https://' || replace(CASE WHEN doc_id % 3 = 2 THEN 'commons' ELSE lang || CASE WHEN doc_id % 3 = 1 THEN '-x' ELSE '' END END, '_', '-') || '.' ||
+CASE WHEN doc_id % 3 = 2 THEN 'wikimedia' WHEN doc_id % 3 = 1 THEN 'wikisource' ELSE 'wikipedia' END || '.org/wiki/' || source || '_page' AS url FROM documents""")
+def sitelinks(spark, d):
+    k = F.col("doc_id") % 3
+    site = F.when(k == 2, "commonswiki").when(k == 1, F.concat("lang", F.lit("_xwikisource"))).otherwise(F.concat("lang", F.lit("wiki")))
+    return table(spark, d, "documents").select("doc_id", urls.sitelink(site, F.concat("source", F.lit(" page"))).alias("url"))
+
+
+#: Formatters of properties: of hosts in the data, one with a pattern that ends the search, one with a full pattern.
+METADATA = [
+    (1, "P1", "https://spam-farm.example.org/en/$1", r"\d{3}", None), (2, "P2", "https://spam-farm.example.org/$1", None, None),
+    (3, "P3", "https://x.example.com/$1", None, r"https?://[a-z.]+\.example\.net/es/(\d+)"), (4, "P4", "https://m.ththth.example.net/$1#top", None, None),
+]
+
+
+def _metadata(spark):
+    return spark.createDataFrame(METADATA, "ord int, pid string, formatter_url string, id_regex string, url_regex string")
+
+
+@query(r"""WITH t AS (SELECT page_id, url, rtrim(url, '/') AS r FROM pages),
+x AS (SELECT page_id, url, CASE WHEN starts_with(r, 'https') THEN r ELSE regexp_replace(r, 'http', 'https') END AS tidy FROM t),
+h AS (SELECT page_id, CASE
+  WHEN starts_with(tidy, 'https://spam-farm.example.org/en/') THEN {'i': nullif(regexp_extract(substr(tidy, 34), '^(?:\d{3})'), ''), 'p': 'P1'}
+  WHEN starts_with(tidy, 'https://spam-farm.example.org/') THEN {'i': substr(tidy, 31), 'p': 'P2'}
+  WHEN regexp_matches(url, '^https?://[a-z.]+\.example\.net/es/(\d+)') THEN {'i': regexp_extract(url, '^https?://[a-z.]+\.example\.net/es/(\d+)', 1), 'p': 'P3'}
+  WHEN starts_with(tidy, 'https://m.ththth.example.net/') AND ends_with(tidy, '#top') THEN {'i': substr(tidy, 30, length(tidy) - 33), 'p': 'P4'} END AS h FROM x)
+SELECT page_id, h.i AS ext_id, CASE WHEN h.i IS NOT NULL THEN h.p END AS pid FROM h""")
+def external_id_from_url(spark, d):
+    return urls.external_ids(table(spark, d, "pages").select("page_id", "url"), _metadata(spark)).select("page_id", "ext_id", "pid")
+
+
+@query(r"""WITH p AS (SELECT 'Q' || page_id AS s, 't' || page_id AS tid, url FROM pages)
+SELECT s AS subject, 'P2' AS predicate, substr(CASE WHEN starts_with(rtrim(url, '/'), 'https') THEN rtrim(url, '/') ELSE regexp_replace(rtrim(url, '/'), 'http', 'https') END, 31) AS value, tid, 'id' AS kind FROM p
+WHERE regexp_matches(url, '^https?://spam-farm\.example\.org/')
+UNION ALL SELECT s, 'P2888', url, tid, 'url' FROM p WHERE NOT regexp_matches(url, '^https?://spam-farm\.example\.org/')""")
+def split_urls(spark, d):
+    rows = table(spark, d, "pages").select(F.concat(F.lit("Q"), "page_id").alias("qid"), F.concat(F.lit("t"), "page_id").alias("tid"), "url")
+    ids, rest = urls.split_external_ids(rows, _metadata(spark).where("pid = 'P2'"))
+    return ids.withColumn("kind", F.lit("id")).unionByName(rest.withColumn("kind", F.lit("url")))
+
+
+@query("SELECT page_id, url FROM pages WHERE NOT (contains(url, 'spam-farm') OR contains(url, 'blog.'))")
+def blacklist_filter(spark, d):
+    return urls.off_blacklist(table(spark, d, "pages").select("page_id", "url"), ["spam-farm", "blog."])
+
+
+@query(f"SELECT {HOST_SQL.replace('{u}', 'url')} AS domain, count(*) AS n FROM pages GROUP BY 1 HAVING count(*) >= 2")
+def domain_frequency(spark, d):
+    return analysis.domains(table(spark, d, "pages"), least=2)
+
+
+@query(f"""WITH h AS (SELECT DISTINCT {HOST_SQL.replace('{u}', 'url')} AS domain, url FROM pages), n AS (SELECT {HOST_SQL.replace('{u}', 'url')} AS domain, count(*) AS n FROM pages GROUP BY 1),
+r AS (SELECT domain, url, row_number() OVER (PARTITION BY domain ORDER BY md5(url), url) AS r FROM h)
+SELECT n.domain, n.n, array_to_string(list_sort(list(r.url)), ' ') AS examples FROM n JOIN r ON n.domain = r.domain AND r.r <= 3 GROUP BY n.domain, n.n""")
+def domain_examples(spark, d):
+    return analysis.domains(table(spark, d, "pages"), examples=3).withColumn("examples", F.array_join("examples", " "))
+
+
+# ---------------------------------------------------------------- blocking and rule-based linking
+_TOKENS = f"WITH s AS (SELECT doc_id AS qid, {tokens_sql(norm_sql('text'))} AS t FROM documents), g AS (SELECT item_id AS tid, {tokens_sql(norm_sql('text'))} AS t FROM benchmark)"
+_SHARED = f"""{_TOKENS}, st AS (SELECT qid, unnest(t) AS w FROM s), gt AS (SELECT tid, unnest(t) AS w FROM g),
+c AS (SELECT qid, tid, count(*) AS shared FROM st JOIN gt USING (w) GROUP BY qid, tid)"""
+
+
+def _sides(spark, d):
+    s = table(spark, d, "documents").select(F.col("doc_id").alias("qid"), text.tokenize(F.col("text")).alias("tokens"))
+    t = table(spark, d, "benchmark").select(F.col("item_id").alias("tid"), text.tokenize(F.col("text")).alias("tokens"))
+    return s, t
+
+
+@query(f"""{_SHARED}, r AS (SELECT qid, tid, shared, round(shared / (len(s.t) + len(g.t) - shared), 6) AS jaccard,
+row_number() OVER (PARTITION BY qid ORDER BY shared DESC, shared / (len(s.t) + len(g.t) - shared) DESC, tid) AS rank FROM c JOIN s USING (qid) JOIN g USING (tid))
+SELECT qid, tid, shared, jaccard, rank FROM r WHERE rank <= 5""")
+def blocking_topk(spark, d):
+    s, t = _sides(spark, d)
+    return blocking.candidates(s, t).select("qid", "tid", "shared", F.round("jaccard", 6).alias("jaccard"), long("rank").alias("rank"))
+
+
+@query(f"{_SHARED} SELECT qid, tid FROM c JOIN g USING (tid) WHERE shared = len(g.t)")
+def linker_subset(spark, d):
+    s, t = _sides(spark, d)
+    return blocking.subsets(s, t)
+
+
+@query("""WITH n AS (SELECT DISTINCT p_name FROM part), w AS (SELECT p_name AS qid, unnest(string_split(p_name, ' ')) AS w FROM n),
+t AS (SELECT DISTINCT p_brand || ' ' || p_name AS tid, p_name FROM part), x AS (SELECT tid, unnest(string_split(tid, ' ')) AS w FROM t)
+SELECT qid, tid FROM (SELECT DISTINCT qid, w FROM w) JOIN (SELECT DISTINCT tid, w FROM x) USING (w) GROUP BY qid, tid HAVING count(*) = 2""")
+def linker_superset(spark, d):
+    p = table(spark, d, "part")
+    s = p.select(F.col("p_name").alias("qid")).distinct().withColumn("tokens", F.split("qid", " "))
+    t = p.select(F.concat_ws(" ", "p_brand", "p_name").alias("tid")).distinct().withColumn("tokens", F.split("tid", " "))
+    return blocking.supersets(s, t)
+
+
+@query("SELECT DISTINCT a.doc_id AS qid, b.doc_id AS tid FROM documents a JOIN documents b ON lower(a.text) = lower(b.text) AND a.doc_id < b.doc_id")
+def linker_exact_name(spark, d):
+    t = table(spark, d, "documents")
+    return blocking.exact(t.select(F.col("doc_id").alias("qid"), "text"), t.select(F.col("doc_id").alias("tid"), "text"), F.col("text"), F.col("text")).where("qid < tid")
+
+
+@query(f"{_SHARED}, k AS (SELECT qid, min(tid) AS tid FROM c GROUP BY qid), b AS (SELECT qid, tid, row_number() OVER (PARTITION BY qid ORDER BY shared DESC, tid) AS r FROM c) SELECT count(*) AS known, count(b.r) AS found, round(count(b.r) / count(*), 6) AS recall FROM k LEFT JOIN b ON k.qid = b.qid AND k.tid = b.tid AND b.r <= 5")
+def blocking_recall(spark, d):
+    s, t = _sides(spark, d)
+    shared = blocking.shared_counts(s, t, "qid", "tid").persist()
+    known = shared.groupBy("qid").agg(F.min("tid").alias("tid"))
+    return blocking.recall(blocking.top_k(shared, "qid", [F.desc("shared"), F.asc("tid")], 5), known).withColumn("recall", F.round("recall", 6))
+
+
+@query(f"{_TOKENS}, r AS (SELECT qid, len(list_intersect(t, ['the', 'tion', 'thst', 'erre'])) AS shared FROM s) SELECT qid, CAST(shared AS BIGINT) AS shared FROM r WHERE shared > 0 ORDER BY shared DESC, qid LIMIT 10")
+def fulltext_search(spark, d):
+    s, _ = _sides(spark, d)
+    return blocking.search(s, ["the", "tion", "thst", "erre"], "qid").withColumn("shared", long("shared"))
+
+
+# ---------------------------------------------------------------- pair features
+_PAIRS = """n AS (SELECT DISTINCT p_name AS n FROM part), w AS (SELECT n, unnest(string_split(n, ' ')) AS w FROM n),
+p AS (SELECT DISTINCT a.n AS qid, b.n AS tid FROM w a JOIN w b USING (w))"""
+
+
+def _pairs(spark, d):
+    names = table(spark, d, "part").select(F.col("p_name").alias("qid")).distinct().withColumn("tokens", F.split("qid", " "))
+    return blocking.shared_counts(names, names.withColumnRenamed("qid", "tid"), "qid", "tid").select("qid", "tid", F.split("qid", " ").alias("a"), F.split("tid", " ").alias("b"))
+
+
+def _feature(name: str, column: Callable[[Column, Column], Column], sql: str):
+    def f(spark, d):
+        return _pairs(spark, d).select("qid", "tid", F.round(column(F.col("a"), F.col("b")), 6).alias("score"))
+
+    QUERIES[name] = f
+    SQL[name] = f"WITH {_PAIRS}, x AS (SELECT qid, tid, string_split(qid, ' ') AS a, string_split(tid, ' ') AS b FROM p) {sql}"
+
+
+_feature("feature_exact", features.exact_match, "SELECT qid, tid, CASE WHEN len(list_intersect(a, b)) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM x")
+_LEV = "SELECT qid, tid, max(1 - levenshtein(l, r) / greatest(length(l), length(r))) AS score FROM (SELECT qid, tid, unnest(a) AS l, b FROM x), unnest(b) AS u(r) GROUP BY qid, tid"
+_feature("feature_levenshtein", features.levenshtein, f"SELECT qid, tid, round(score, 6) AS score FROM ({_LEV})")
+_feature("feature_levenshtein_joined", features.TOKEN_LEVENSHTEIN["name_tokens_levenshtein"][0], "SELECT qid, tid, round(max(1 - levenshtein(l, tid) / greatest(length(l), length(tid))), 6) AS score FROM (SELECT qid, tid, unnest(a) AS l FROM x) GROUP BY qid, tid")
+_feature("feature_threshold", lambda a, b: features.levenshtein(a, b, threshold=1.0), f"SELECT qid, tid, CASE WHEN score >= 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM ({_LEV})")
+_feature("feature_token_cosine", features.token_cosine, "SELECT qid, tid, round(len(list_intersect(a, b)) / sqrt(len(list_distinct(a)) * len(list_distinct(b))), 6) AS score FROM x")
+_feature("feature_shared_tokens", lambda a, b: features.shared_tokens(a, b, ("red", "hot")), """SELECT qid, tid, round((len(list_intersect(a, b)) - 0.9::DOUBLE * len(list_filter(list_intersect(a, b), lambda t: t IN ('red', 'hot')))) / len(list_distinct(list_concat(a, b))), 6) AS score FROM x""")
+_feature("feature_shared_tokens_plus", lambda a, b: features.shared_tokens_plus(a, b, ("red",)), """SELECT qid, tid, round(coalesce(len(list_filter(list_intersect(a, b), lambda t: t <> 'red')) / nullif(least(len(list_filter(list_distinct(a), lambda t: t <> 'red')), len(list_filter(list_distinct(b), lambda t: t <> 'red'))), 0), 0), 6) AS score FROM x""")
+_GRAMS = """, g AS (SELECT n, substr(' ' || w || ' ', i, 2) AS g, count(*) AS c FROM w, unnest(range(1, 20)) AS u(i) WHERE i <= length(w) + 1 GROUP BY n, substr(' ' || w || ' ', i, 2)),
+m AS (SELECT n, sqrt(sum(c * c)) AS m FROM g GROUP BY n), dot AS (SELECT a.n AS qid, b.n AS tid, sum(a.c * b.c) AS s FROM g a JOIN g b USING (g) GROUP BY a.n, b.n)
+SELECT p.qid, p.tid, round(coalesce(s, 0) / (ma.m * mb.m), 6) AS score FROM p LEFT JOIN dot ON p.qid = dot.qid AND p.tid = dot.tid JOIN m ma ON ma.n = p.qid JOIN m mb ON mb.n = p.tid"""
+_feature("feature_string_kernel", features.string_kernel, "SELECT 1")
+SQL["feature_string_kernel"] = f"WITH {_PAIRS}{_GRAMS}"
+
+
+@query("""WITH j AS (SELECT o_orderkey, l_linenumber, o_orderdate::DATE AS a, l_shipdate::DATE AS b, least(o_orderkey % 3, l_linenumber % 3) AS r FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+SELECT o_orderkey, CAST(l_linenumber AS BIGINT) AS line, round(((year(a) = year(b))::INT + (r >= 1 AND year(a) = year(b) AND month(a) = month(b))::INT + (r >= 2 AND a = b)::INT) / (r + 1), 6) AS score FROM j""")
+def feature_dates(spark, d):
+    j = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    a = dates.of_date(F.col("o_orderdate").cast("date"), (9 + F.col("o_orderkey") % 3).cast("int"))
+    b = dates.of_date(F.col("l_shipdate").cast("date"), (9 + F.col("l_linenumber") % 3).cast("int"))
+    return j.select("o_orderkey", long("l_linenumber").alias("line"), F.round(features.similar_dates(F.array(a), F.array(b)), 6).alias("score"))
+
+
+@query(f"""WITH {_PAIRS}, x AS (SELECT qid, tid, string_split(qid, ' ') AS a, string_split(tid, ' ') AS b FROM p), l AS ({_LEV})
+SELECT x.qid, x.tid, CASE WHEN x.qid = x.tid THEN 1.0 ELSE 0.0 END::DOUBLE AS name_exact, round(l.score, 6) AS name_levenshtein,
+round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) AS name_tokens_shared, 0.0::DOUBLE AS url_exact, 0.0::DOUBLE AS genres_tokens_shared FROM x JOIN l ON x.qid = l.qid AND x.tid = l.tid""")
+def feature_vector(spark, d):
+    names = table(spark, d, "part").select("p_name").distinct()
+    side = lambda k: names.select(F.col("p_name").alias(k), F.array("p_name").alias("name"), F.split("p_name", " ").alias("name_tokens"))
+    wanted = {n: features.FEATURES[n] for n in ("name_exact", "name_tokens_shared", "url_exact", "genres_tokens_shared")} | {"name_levenshtein": (features.levenshtein, "name_tokens", "name_tokens")}
+    out = features.vectors(_pairs(spark, d), side("qid"), side("tid"), wanted)
+    return out.select("qid", "tid", *[F.round(n, 6).alias(n) for n in wanted])
+
+
+# ---------------------------------------------------------------- hierarchy
+def _tree(spark, d):
+    n = table(spark, d, "nation").select(F.concat(F.lit("N"), "n_nationkey").alias("child"), F.concat(F.lit("R"), "n_regionkey").alias("parent"))
+    r = table(spark, d, "region").select(F.concat(F.lit("R"), "r_regionkey").alias("child"), F.lit("ROOT").alias("parent"))
+    return n.unionByName(r)
+
+
+_TREE = "e AS (SELECT 'N' || n_nationkey AS child, 'R' || n_regionkey AS parent FROM nation UNION ALL SELECT 'R' || r_regionkey, 'ROOT' FROM region)"
+_ALL = "(SELECT child AS n FROM e UNION SELECT parent FROM e)"
+
+
+@query(f"WITH RECURSIVE {_TREE}, c AS (SELECT n AS root, n AS node FROM {_ALL} UNION SELECT c.root, e.child FROM c JOIN e ON e.parent = c.node) SELECT root, node FROM c")
+def class_closure(spark, d):
+    return closure.closure(_tree(spark, d))
+
+
+@query(f"WITH RECURSIVE {_TREE}, c AS (SELECT n AS root, n AS node FROM {_ALL} UNION SELECT c.root, e.parent FROM c JOIN e ON e.child = c.node) SELECT root, node FROM c")
+def superclass_closure(spark, d):
+    return closure.closure(_tree(spark, d), "down")
+
+
+@query(f"""WITH RECURSIVE {_TREE}, up AS (SELECT n AS root, n AS node FROM {_ALL} UNION SELECT up.root, e.child FROM up JOIN e ON e.parent = up.node),
+dn AS (SELECT n AS root, n AS node FROM {_ALL} UNION SELECT dn.root, e.parent FROM dn JOIN e ON e.child = dn.node),
+x AS (SELECT root, list_distinct(list(node)) AS r FROM (SELECT * FROM up UNION SELECT * FROM dn) GROUP BY root)
+SELECT s_suppkey, r_regionkey, CASE WHEN list_contains(x.r, 'N' || s_nationkey) THEN 1.0 ELSE 0.0 END::DOUBLE AS score
+FROM supplier JOIN nation ON TRUE JOIN region ON r_regionkey = n_regionkey JOIN x ON x.root = 'R' || r_regionkey GROUP BY ALL""")
+def occupations_shared(spark, d):
+    regions = table(spark, d, "nation").select("n_regionkey").distinct().select(F.col("n_regionkey").alias("r_regionkey"), F.array(F.concat(F.lit("R"), "n_regionkey")).alias("occupations"))
+    wide = features.expand_occupations(regions, closure.expansion(_tree(spark, d)), "r_regionkey")
+    s = table(spark, d, "supplier").select("s_suppkey", F.array(F.concat(F.lit("N"), "s_nationkey")).alias("own"))
+    rows = s.join(F.broadcast(wide))  # five regions
+    return rows.select("s_suppkey", "r_regionkey", features.shared_occupations(F.col("own"), F.col("occupations_expanded")).alias("score"))
+
+
+@query("""WITH r AS (SELECT p_partkey, p_partkey - 1 AS t FROM part WHERE p_partkey % 4 <> 0) SELECT p_partkey, p_partkey - p_partkey % 4 AS final FROM part""")
+def redirects(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.col("p_partkey").alias("final"))
+    chain = p.where("p_partkey % 4 <> 0").select(F.col("p_partkey").alias("source"), (F.col("p_partkey") - 1).alias("target"))
+    return closure.follow(p, chain, "final")
+
+
+# ---------------------------------------------------------------- aggregation and validation
+@query("""SELECT c_custkey AS tid, array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') AS priorities, array_to_string(list_sort(list(DISTINCT l_returnflag)), ',') AS flags,
+count(DISTINCT o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY c_custkey""")
+def aggregate_target(spark, d):
+    o, li = table(spark, d, "orders"), table(spark, d, "lineitem")
+    flags = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set("l_returnflag").alias("f"))
+    per = o.join(flags, "o_orderkey", "left").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_set("o_orderpriority")).alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("f")))).alias("f"), F.count(F.lit(1)).alias("n"))
+    rows = table(spark, d, "customer").select("c_custkey").join(per, "c_custkey", "left")
+    return rows.select(F.col("c_custkey").alias("tid"), F.when(F.size("p") > 0, F.array_join("p", ",")).alias("priorities"), F.when(F.size("f") > 0, F.array_join("f", ",")).alias("flags"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("SELECT source AS qid, CAST(count(*) AS BIGINT) AS n, md5(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id)) AS ids FROM documents GROUP BY source")
+def aggregate_ids(spark, d):
+    ids = table(spark, d, "documents").groupBy(F.col("source").alias("qid")).agg(F.array_sort(F.collect_set("doc_id")).alias("tid"))
+    return ids.select("qid", long(F.size("tid")).alias("n"), F.md5(F.array_join(F.col("tid").cast("array<string>"), ",")).alias("ids"))
+
+
+@query("SELECT doc_id AS tid, source AS qids FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def dead_ids(spark, d):
+    ids = table(spark, d, "documents").select(F.col("source").alias("qid"), F.col("doc_id").alias("tid"))
+    return validate.dead_ids(ids, table(spark, d, "labels").select(F.col("doc_id").alias("tid"))).select("tid", F.array_join("qids", ",").alias("qids"))
+
+
+@query("""WITH s AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS v FROM lineitem WHERE year(l_shipdate) % 2 = 0), t AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS v FROM lineitem WHERE year(l_shipdate) % 2 = 1),
+j AS (SELECT coalesce(s.k, t.k) AS k, coalesce(s.v, t.v) AS v, s.k IS NOT NULL AS a, t.k IS NOT NULL AS b FROM s FULL JOIN t ON s.k = t.k AND s.v = t.v)
+SELECT k AS tid, CASE WHEN a AND b THEN 'shared' WHEN b THEN 'extra' ELSE 'source_only' END AS side, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM j
+WHERE k IN (SELECT k FROM s) AND k IN (SELECT k FROM t) GROUP BY ALL""")
+def validate_sets(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").alias("value"), (F.year("l_shipdate") % 2).alias("odd"))
+    ids = li.select(F.col("k").alias("qid"), F.col("k").alias("tid")).distinct()
+    got = validate.compare_sets(ids, li.where("odd = 0").select(F.col("k").alias("qid"), "value"), li.where("odd = 1").select(F.col("k").alias("tid"), "value"))
+    rows = None
+    for side in ("shared", "extra", "source_only"):
+        part = got[side].groupBy("tid").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).withColumn("side", F.lit(side))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@query("""WITH s AS (SELECT DISTINCT p_brand AS k, p_name AS v FROM part WHERE p_size <= 3), t AS (SELECT DISTINCT p_brand AS k, p_name AS v FROM part WHERE p_size >= 48)
+SELECT k AS tid, k AS qid FROM (SELECT DISTINCT k FROM s) JOIN (SELECT DISTINCT k FROM t) USING (k) WHERE k NOT IN (SELECT s.k FROM s JOIN t ON s.k = t.k AND s.v = t.v)""")
+def validate_deprecate(spark, d):
+    p = table(spark, d, "part").select(F.col("p_brand").alias("k"), F.col("p_name").alias("value"), "p_size")
+    ids = p.select(F.col("k").alias("qid"), F.col("k").alias("tid")).distinct()
+    return validate.compare_sets(ids, p.where("p_size <= 3").select(F.col("k").alias("qid"), "value"), p.where("p_size >= 48").select(F.col("k").alias("tid"), "value"))["deprecate"]
+
+
+@query(r"""WITH u AS (SELECT CAST(page_id % 50 AS VARCHAR) AS k, url, page_id FROM pages), s AS (SELECT DISTINCT k, url FROM u WHERE page_id % 3 <> 0), t AS (SELECT DISTINCT k, url FROM u WHERE page_id % 3 <> 1),
+b AS (SELECT DISTINCT s.k FROM s JOIN t USING (k)), o AS (
+SELECT 'add' AS list, 'Q' || k AS subject, 'P2888' AS predicate, url AS value, k AS tid FROM t WHERE k IN (FROM b) AND (k, url) NOT IN (SELECT (k, url) FROM s)
+UNION ALL SELECT 'reference', 'Q' || k, 'P2888', url, k FROM t WHERE k IN (FROM b) AND (k, url) IN (SELECT (k, url) FROM s))
+SELECT list, subject, CASE WHEN contains(value, '//spam-farm.example.org/') THEN 'P2' ELSE predicate END AS predicate, CASE WHEN contains(value, '//spam-farm.example.org/') THEN regexp_replace(rtrim(value, '/'), '^https?://spam-farm\.example\.org/', '') ELSE value END AS value, tid FROM o
+WHERE contains(value, '//spam-farm.example.org/') OR NOT contains(value, '//blog.')""")
+def validate_links(spark, d):
+    u = table(spark, d, "pages").select((F.col("page_id") % 50).cast("string").alias("tid"), "url", "page_id").withColumn("qid", F.concat(F.lit("Q"), "tid"))
+    got = validate.validate_links(u.select("qid", "tid").distinct(), u.where("page_id % 3 <> 0").select("qid", "url"), u.where("page_id % 3 <> 1").select("tid", "url"), _metadata(spark).where("pid = 'P2'"), ["//blog."])
+    named = lambda k, n: got[k].withColumn("list", F.lit(n))
+    return named("ext_ids_to_add", "add").unionByName(named("urls_to_add", "add")).unionByName(named("ext_ids_to_reference", "reference")).unionByName(named("urls_to_reference", "reference"))
+
+
+@query("""WITH j AS (SELECT o_orderkey, l_linenumber, strftime(o_orderdate, '%Y-%m-%d') AS a, strftime(l_shipdate, '%Y-%m-%d') AS b, least(8 + o_orderkey % 4, 9 + l_linenumber % 3) AS p FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+SELECT o_orderkey, CAST(l_linenumber AS BIGINT) AS line, CASE WHEN p BETWEEN 9 AND 11 THEN CASE WHEN substr(a, 1, [4, 7, 10][p - 8]) = substr(b, 1, [4, 7, 10][p - 8]) THEN 'shared' ELSE 'extra' END END AS side FROM j""")
+def validate_dates(spark, d):
+    j = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    v = lambda c, p: dates.bio_value(F.col(c).cast("date"), p.cast("int"))
+    return j.select("o_orderkey", long("l_linenumber").alias("line"), dates.match_values(v("o_orderdate", 8 + F.col("o_orderkey") % 4), v("l_shipdate", 9 + F.col("l_linenumber") % 3)).alias("side"))
+
+
+@query("""WITH s AS (SELECT 'Q' || o_custkey AS qid, CAST(o_custkey AS VARCHAR) AS tid, strftime(min(o_orderdate), '%Y-%m-%d') AS a, strftime(max(o_orderdate), '%Y-%m-%d') AS z FROM orders GROUP BY o_custkey)
+SELECT qid, 'P569' AS pid, a || '/9' AS value, tid, 'shared' AS list FROM s
+UNION ALL SELECT qid, 'P570', CASE WHEN substr(a, 1, 7) = substr(z, 1, 7) THEN a || '/11' ELSE z || '/10' END, tid, CASE WHEN substr(a, 1, 7) = substr(z, 1, 7) THEN 'shared' ELSE 'extra' END FROM s
+UNION ALL SELECT qid, 'P570', a || '/11', tid, 'source_only' FROM s WHERE substr(a, 1, 7) <> substr(z, 1, 7)""")
+def validate_bio(spark, d):
+    o = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("z"))
+    tid, qid = F.col("o_custkey").cast("string").alias("tid"), F.concat(F.lit("Q"), "o_custkey").alias("qid")
+    row = lambda pid, date, p: F.struct(F.lit(pid).alias("pid"), dates.bio_value(F.col(date), F.lit(p)).alias("value"))
+    source = o.select(qid, F.explode(F.array(row("P569", "a", 9), row("P570", "a", 11))).alias("r")).select("qid", "r.pid", "r.value", F.lit(None).cast("array<string>").alias("labels"))
+    target = o.select(tid, F.explode(F.array(row("P569", "a", 11), row("P570", "z", 10))).alias("r")).select("tid", "r.pid", "r.value")
+    got = validate.validate_bio(o.select(qid, tid), source, target)
+    rows = None
+    for k in ("shared", "extra", "source_only"):
+        part = got[k].withColumn("list", F.lit(k))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@query("""WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS tid, strftime(o_orderdate, '%Y-%m-%d') AS x, CASE WHEN o_orderkey % 3 > 0 THEN CAST(9 + o_orderkey % 3 AS VARCHAR) ELSE '9' END AS p, o_orderstatus AS g FROM orders)
+SELECT tid, 'P569' AS pid, x || '/' || p AS value FROM o UNION ALL SELECT tid, 'P21', g FROM o""")
+def unpivot_bio(spark, d):
+    o = table(spark, d, "orders")
+    main = o.select(F.col("o_orderkey").cast("string").alias("catalog_id"), F.col("o_orderdate").alias("born"), F.when(F.col("o_orderkey") % 3 > 0, 9 + F.col("o_orderkey") % 3).alias("born_precision"), F.col("o_orderstatus").alias("gender"))
+    return validate.bio_rows(main)
+
+
+@query("""SELECT 'Q' || CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS qid, CAST(p_partkey AS VARCHAR) AS tid, 'https://www.wikidata.org/wiki/Q' || CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS item, 'https://www.wikidata.org/wiki/Property:P21' AS predicate,
+CASE WHEN p_size % 2 = 0 THEN 'https://www.wikidata.org/wiki/Q' || p_size ELSE p_name END AS value FROM part""")
+def catalog_statements(spark, d):
+    q = F.concat(F.lit("Q"), F.when(F.col("p_size") <= 25, 1).otherwise(2))
+    v = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("Q"), "p_size")).otherwise(F.col("p_name"))
+    rows = table(spark, d, "part").select(q.alias("qid"), F.lit("P21").alias("pid"), v.alias("value"), F.col("p_partkey").cast("string").alias("tid"))
+    return validate.statements(rows, True).select(F.regexp_extract("tid", r"Q\d+", 0).alias("qid"), F.col("subject").alias("tid"), F.col("tid").alias("item"), "predicate", "value")
+
+
+@query("""WITH w AS (SELECT CAST(p_partkey AS VARCHAR) AS tid, min('Q' || p_size) AS qid FROM part GROUP BY 1), p AS (SELECT CAST(s_suppkey AS VARCHAR) AS tid, min('Q9' || s_nationkey) AS qid FROM supplier GROUP BY 1)
+SELECT DISTINCT w.qid AS subject, 'P175' AS predicate, p.qid AS value, p.tid FROM lineitem JOIN w ON w.tid = CAST(l_partkey AS VARCHAR) JOIN p ON p.tid = CAST(l_suppkey AS VARCHAR)""")
+def works_by_people(spark, d):
+    rel = table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("from_catalog_id"), F.col("l_suppkey").cast("string").alias("to_catalog_id"))
+    works = table(spark, d, "part").select(F.concat(F.lit("Q"), "p_size").alias("qid"), F.col("p_partkey").cast("string").alias("tid"))
+    people = table(spark, d, "supplier").select(F.concat(F.lit("Q9"), "s_nationkey").alias("qid"), F.col("s_suppkey").cast("string").alias("tid"))
+    return enrich.works_by_people(rel, works, people, "P175")
+
+
+# ---------------------------------------------------------------- dates
+@query("""WITH x AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') AS v, 8 + o_orderkey % 5 AS p FROM orders), c AS (SELECT k, p, CASE WHEN k % 7 = 0 THEN 'n/a' ELSE v END AS v FROM x)
+SELECT k, CASE WHEN v <> 'n/a' THEN array_to_string(list_slice([CAST(substr(v, 1, 4) AS INT), CAST(substr(v, 6, 2) AS INT), CAST(substr(v, 9, 2) AS INT), 0], 1, CASE WHEN p <= 9 THEN 1 ELSE p - 8 END), '-') END AS parts FROM c""")
+def parse_dates(spark, d):
+    v = F.when(F.col("o_orderkey") % 7 == 0, "n/a").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'"))
+    pairs = F.array(F.array(v, (8 + F.col("o_orderkey") % 5).cast("string")))
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), dates.parse_list(pairs).alias("p"))
+    return rows.select("k", F.array_join(F.get("p", F.lit(0)).cast("array<string>"), "-").alias("parts"))
+
+
+@query("""WITH x AS (SELECT p_partkey AS k, 1900 + p_size AS y, CASE WHEN p_partkey % 3 > 0 THEN p_partkey % 13 END AS m, CASE WHEN p_partkey % 2 = 0 THEN p_partkey % 32 END AS dd FROM part),
+z AS (SELECT k, m, dd, try_cast(y || '-' || lpad(CAST(coalesce(m, 1) AS VARCHAR), 2, '0') || '-' || lpad(CAST(coalesce(dd, 1) AS VARCHAR), 2, '0') AS DATE) AS t FROM x)
+SELECT k, CAST(t AS VARCHAR) AS date, CASE WHEN t IS NULL THEN NULL WHEN m IS NULL THEN 9 WHEN dd IS NULL THEN 10 ELSE 11 END::BIGINT AS precision FROM z""")
+def date_from_parts(spark, d):
+    k = F.col("p_partkey")
+    date, precision = dates.from_parts(1900 + F.col("p_size"), F.when(k % 3 > 0, k % 13), F.when(k % 2 == 0, k % 32))
+    return table(spark, d, "part").select(k.alias("k"), date.cast("string").alias("date"), long(precision).alias("precision"))
+
+
+@query("""SELECT o_orderkey, CAST(l_linenumber AS BIGINT) AS line, CASE WHEN p < 9 THEN FALSE WHEN p = 9 THEN year(o_orderdate) = year(l_shipdate) WHEN p = 10 THEN date_trunc('month', o_orderdate) = date_trunc('month', l_shipdate) ELSE o_orderdate::DATE = l_shipdate::DATE END AS same
+FROM (SELECT *, least(8 + o_orderkey % 4, 9 + l_linenumber % 3) AS p FROM orders JOIN lineitem ON o_orderkey = l_orderkey)""")
+def dates_shared_precision(spark, d):
+    j = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    same = dates.same_to_shared_precision(F.col("o_orderdate"), 8 + F.col("o_orderkey") % 4, F.col("l_shipdate"), 9 + F.col("l_linenumber") % 3)
+    return j.select("o_orderkey", long("l_linenumber").alias("line"), same.alias("same"))
+
+
+@query("""WITH l AS (SELECT l_orderkey AS o, min((l_shipdate::DATE, -(9 + l_linenumber % 3))) AS m FROM lineitem GROUP BY 1), c AS (SELECT o_custkey AS c, min(m) AS m FROM l JOIN orders ON o_orderkey = o GROUP BY 1)
+SELECT c, CAST(m[1] AS VARCHAR) AS born, CAST(-m[2] AS BIGINT) AS precision FROM c""")
+def earliest_date(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_shipdate").cast("date").alias("born"), (9 + F.col("l_linenumber") % 3).alias("p"))
+    first = dates.earliest(li, ["o"], "born", "p").join(table(spark, d, "orders").select(F.col("o_orderkey").alias("o"), F.col("o_custkey").alias("c")), "o")
+    return dates.earliest(first, ["c"], "born", "p").select("c", F.col("born").cast("string").alias("born"), long("p").alias("precision"))
+
+
+# ---------------------------------------------------------------- import shapes
+@query("SELECT p_partkey, p_name AS name FROM part UNION SELECT p_partkey, reverse(p_name) FROM part WHERE p_size > 25")
+def name_variants(spark, d):
+    other = F.when(F.col("p_size") > 25, F.reverse("p_name"))
+    return table(spark, d, "part").select("p_partkey", F.explode(F.array_distinct(F.filter(F.array("p_name", other), lambda x: x.isNotNull()))).alias("name"))
+
+
+@query("SELECT DISTINCT l_partkey AS from_catalog_id, l_suppkey AS to_catalog_id FROM lineitem")
+def relationship(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("from_catalog_id"), F.col("l_suppkey").alias("to_catalog_id")).distinct()
+
+
+@query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY event_type")
+def props_json(spark, d):
+    k = F.from_json("props", "k long").k
+    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(k).alias("total"))
+
+
+@query("""SELECT p_partkey, CASE p_brand WHEN 'Brand#1' THEN 'Q33999' WHEN 'Brand#2' THEN 'Q28389,Q33999' ELSE '' END AS occupations FROM part""")
+def professions(spark, d):
+    from linkforge.sources.imdb import professions as items
+
+    names = F.when(F.col("p_brand") == "Brand#1", F.array(F.lit("actor"), F.lit("unknown"))).when(F.col("p_brand") == "Brand#2", F.array(F.lit("writer"), F.lit("actress"))).otherwise(F.array(F.lit("none")))
+    return table(spark, d, "part").select("p_partkey", F.array_join(items(names), ",").alias("occupations"))
+
+
+# ---------------------------------------------------------------- links and rules
+_SCORES = "s AS (SELECT 'Q' || CAST(p_size AS VARCHAR) AS qid, p_name AS tid, round((p_partkey * 7919 % 1000) / 1000.0::DOUBLE, 3) AS confidence FROM part)"
+
+
+def _scores(spark, d):
+    return table(spark, d, "part").select(F.concat(F.lit("Q"), F.col("p_size").cast("string")).alias("qid"), F.col("p_name").alias("tid"), F.round((F.col("p_partkey") * 7919 % 1000) / 1000.0, 3).alias("confidence"))
+
+
+@query(f"WITH {_SCORES}, r AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY confidence DESC, qid) AS r FROM s WHERE confidence BETWEEN 0.3 AND 0.8) SELECT qid, tid, confidence FROM r WHERE r = 1")
+def keep_best(spark, d):
+    return rules.best_per_target(_scores(spark, d), 0.3, 0.8)
+
+
+@query(f"WITH {_SCORES} SELECT tid, min(qid) AS qid FROM s GROUP BY tid")
+def first_per_target(spark, d):
+    return rules.first_per_target(_scores(spark, d))
+
+
+@query(f"WITH {_SCORES} SELECT DISTINCT qid, tid FROM s WHERE confidence >= 0.5")
+def above_threshold(spark, d):
+    return rules.above(_scores(spark, d)).select("qid", "tid")
+
+
+@query("""WITH p AS (SELECT DISTINCT p_name AS qid, p_brand AS tid FROM part), t AS (SELECT DISTINCT p_brand AS tid, min(p_name) AS n FROM part GROUP BY 1)
+SELECT qid, p.tid, CASE WHEN p.tid = 'Brand#1' THEN CASE WHEN qid = 'Q7' THEN 1.0 ELSE 0.0 END WHEN qid = t.n THEN 0.75 ELSE 0.0 END::DOUBLE AS confidence FROM p JOIN t USING (tid)""")
+def linking_rules(spark, d):
+    p = table(spark, d, "part")
+    pairs = p.select(F.col("p_name").alias("qid"), F.col("p_brand").alias("tid")).distinct().withColumn("confidence", F.lit(0.75))
+    source = p.select(F.col("p_name").alias("qid")).distinct().withColumn("name", F.array("qid"))
+    target = p.groupBy(F.col("p_brand").alias("tid")).agg(F.array(F.min("p_name")).alias("name")).withColumn("url", F.when(F.col("tid") == "Brand#1", F.array(F.lit("https://x.org"), F.lit("https://www.wikidata.org/wiki/Q7"))))
+    return rules.apply_rules(pairs, source, target)
+
+
+@query("SELECT 'Q' || page_id AS qid, CAST(page_id AS VARCHAR) AS tid FROM pages WHERE page_id % 5 = 0")
+def existing_links(spark, d):
+    p = table(spark, d, "pages")
+    u = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("https://www.wikidata.org/wiki/Q"), "page_id")).otherwise(F.col("url"))
+    rows = p.select(F.col("page_id").cast("string").alias("catalog_id"), u.alias("url")).withColumns({"is_wiki": urls.is_wiki(F.col("url")), "url_tokens": urls.tokenize(F.col("url"))})
+    return rules.existing_links(rows)
+
+
+# ---------------------------------------------------------------- curation and edit plans
+@query(f"""WITH {_SCORES}, r AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY confidence DESC, qid) AS r FROM s), b AS (SELECT * FROM r WHERE r = 1),
+c AS (SELECT DISTINCT p_name AS ext_id FROM part WHERE p_size = 7) SELECT ext_id, 999 AS q, 4 AS "user" FROM c UNION ALL SELECT tid, CAST(substr(qid, 2) AS INT), 0 FROM b WHERE tid NOT IN (FROM c)""")
+def curated_sync(spark, d):
+    from linkforge.schema import CURATION_ENTRY
+
+    p = table(spark, d, "part")
+    old = p.where("p_size = 7").select("p_name").distinct()
+    fields = {"catalog": F.lit(1), "ext_id": F.col("p_name"), "q": F.lit(999), "user": F.lit(4)}
+    current = old.select(*[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CURATION_ENTRY.fields])
+    stale = current.withColumns({"ext_id": F.concat(F.lit("old "), "ext_id"), "user": F.lit(0)})
+    main = p.select(F.col("p_name").alias("catalog_id"), F.col("p_name").alias("name"), F.lit(None).cast("date").alias("born"), F.lit(None).cast("date").alias("died")).distinct()
+    return curation.sync_matches(current.unionByName(stale), _scores(spark, d), main, 1, "band", "https://x.org/$1").select("ext_id", "q", "user")
+
+
+@query("""WITH s AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS v FROM lineitem WHERE l_linenumber = 1), c AS (SELECT l_suppkey AS k, l_partkey AS v, l_orderkey || '-' || l_linenumber AS guid FROM lineitem WHERE l_linenumber = 2)
+SELECT 'reference' AS action, 'Q' || s.k AS subject, CAST(s.v AS VARCHAR) AS value, guid FROM s JOIN c ON s.k = c.k AND s.v = c.v
+UNION ALL SELECT 'add', 'Q' || k, CAST(v AS VARCHAR), NULL FROM s WHERE (k, v) NOT IN (SELECT (k, v) FROM c)""")
+def edit_plan(spark, d):
+    li = table(spark, d, "lineitem")
+    q = F.concat(F.lit("Q"), "l_suppkey")
+    links = li.where("l_linenumber = 1").select(q.alias("qid"), F.col("l_partkey").cast("string").alias("tid")).distinct()
+    claims = li.where("l_linenumber = 2").select(q.alias("qid"), F.lit("P1").alias("pid"), F.col("l_partkey").cast("string").alias("value"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("guid"))
+    return edits.add_identifiers(links, claims, "P1", "Q42").select("action", "subject", "value", "guid")
+
+
+@query("""WITH c AS (SELECT DISTINCT 'Q' || l_orderkey AS q, 'Q' || l_suppkey AS v, l_linenumber AS n FROM lineitem), s AS (SELECT DISTINCT q, v FROM c WHERE n <= 2), h AS (SELECT q, v, n FROM c WHERE n >= 3)
+SELECT 'reference' AS action, s.q AS subject, CASE h.n WHEN 3 THEN 'P161' WHEN 4 THEN 'P57' WHEN 5 THEN 'P162' WHEN 6 THEN 'P58' ELSE 'P3092' END AS predicate, s.v AS value FROM s JOIN h ON s.q = h.q AND s.v = h.v
+UNION ALL SELECT 'add', q, 'P710', v FROM s WHERE (q, v) NOT IN (SELECT (q, v) FROM h)""")
+def edit_plan_works(spark, d):
+    li = table(spark, d, "lineitem").select(F.concat(F.lit("Q"), "l_orderkey").alias("q"), F.concat(F.lit("Q"), "l_suppkey").alias("v"), "l_linenumber")
+    s = li.where("l_linenumber <= 2").select(F.col("q").alias("subject"), F.lit("P710").alias("predicate"), F.col("v").alias("value"), F.lit("t").alias("tid")).distinct()
+    pid = F.element_at(F.array(*map(F.lit, MOVIE_PIDS)), F.least(F.col("l_linenumber") - 2, F.lit(5)).cast("int"))
+    claims = li.where("l_linenumber >= 3").select(F.col("q").alias("qid"), pid.alias("pid"), F.col("v").alias("value"), F.concat_ws("-", "q", "l_linenumber").alias("guid"))
+    return edits.add_works_statements(s, claims, "P345", "Q37312", film=True).select("action", "subject", "predicate", "value").distinct()
+
+
+@query("SELECT 'deprecate' AS action, 'Q' || l_suppkey AS subject, CAST(l_partkey AS VARCHAR) AS value, l_orderkey || '-' || l_linenumber AS guid FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size = 1")
+def retire_plan(spark, d):
+    li = table(spark, d, "lineitem").select(F.concat(F.lit("Q"), "l_suppkey").alias("qid"), F.col("l_partkey").cast("string").alias("value"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("guid"), F.lit("P1").alias("pid"))
+    bad = li.join(table(spark, d, "part").where("p_size = 1").select(F.col("p_partkey").cast("string").alias("value")), "value").select(F.col("value").alias("tid"), "qid").distinct()
+    return edits.retire("deprecate", bad, li, "P1").select("action", "subject", "value", "guid")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'item' WHEN 1 THEN 'time' ELSE 'string' END AS kind, CASE WHEN o_orderkey % 3 = 1 THEN year(o_orderdate) END::BIGINT AS year, CASE WHEN o_orderkey % 3 = 1 THEN 11 END::BIGINT AS precision FROM orders""")
+def value_kinds(spark, d):
+    k = F.col("o_orderkey") % 3
+    v = F.when(k == 0, F.concat(F.lit("Q"), "o_custkey")).when(k == 1, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("/11"))).otherwise(F.col("o_orderpriority"))
+    return table(spark, d, "orders").select("o_orderkey", edits.parse_value(v).alias("v")).select("o_orderkey", "v.kind", long("v.year").alias("year"), long("v.precision").alias("precision"))
+
+
+# ---------------------------------------------------------------- learning
+FEATURE_NAMES = ["f_long", "f_caps", "f_marks", "f_lines"]
+_VEC = r"""v AS (SELECT doc_id, quality AS label, (length(text) > 1000)::INT::DOUBLE AS f_long, (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) > 0.05 * length(text))::INT::DOUBLE AS f_caps,
+(length(text) - length(translate(text, '#*$%&|<>', '')) > 3)::INT::DOUBLE AS f_marks, (length(text) - length(replace(text, chr(10), '')) > 3)::INT::DOUBLE AS f_lines FROM documents JOIN labels USING (doc_id))"""
+
+
+def _vectors(spark, d):
+    n, t = F.length("text"), F.col("text")
+    flag = lambda c: c.cast("int").cast("double")
+    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select(
+        "doc_id", F.col("quality").alias("label"), flag(n > 1000).alias("f_long"), flag(n - F.length(F.regexp_replace(t, "[A-Z]", "")) > F.lit(0.05) * n).alias("f_caps"),
+        flag(n - F.length(F.translate(t, "#*$%&|<>", "")) > 3).alias("f_marks"), flag(n - F.length(F.replace(t, F.lit("\n"), F.lit(""))) > 3).alias("f_lines"),
+    )
+
+
+_NB = f"""{_VEC}, u AS (SELECT doc_id, label, f, x FROM v UNPIVOT (x FOR f IN ({', '.join(FEATURE_NAMES)}))), n AS (SELECT label, count(*) AS n FROM v GROUP BY label),
+t AS (SELECT u.label, f, ln(n.n / (SELECT count(*) FROM v)) AS prior, ln((sum((x > 0.2)::INT) + 0.0001::DOUBLE) / (n.n + 0.0002::DOUBLE)) AS one, ln(1 - (sum((x > 0.2)::INT) + 0.0001::DOUBLE) / (n.n + 0.0002::DOUBLE)) AS zero FROM u JOIN n ON n.label = u.label GROUP BY u.label, f, n.n),
+s AS (SELECT doc_id, t.label, sum(CASE WHEN x > 0.2 THEN one ELSE zero END) + max(prior) AS s FROM u JOIN t USING (f) GROUP BY doc_id, t.label)"""
+
+
+@query(f"WITH {_NB} SELECT label, f AS feature, round(prior, 6) AS prior, round(one, 6) AS one, round(zero, 6) AS zero FROM t")
+def nb_closed_form(spark, d):
+    t = models.naive_bayes_table(_vectors(spark, d), FEATURE_NAMES)
+    return t.select("label", "feature", *[F.round(c, 6).alias(c) for c in ("prior", "one", "zero")])
+
+
+def _nb_scores(spark, d):
+    v = _vectors(spark, d)
+    return v.select("doc_id", "label").join(models.naive_bayes_score(v, ["doc_id"], models.naive_bayes_table(v, FEATURE_NAMES), FEATURE_NAMES), "doc_id")
+
+
+_NB_SCORE = f"{_NB}, c AS (SELECT a.doc_id, v.label, 1 / (1 + exp(b.s - a.s)) AS confidence FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.label = 1 AND b.label = 0 JOIN v ON v.doc_id = a.doc_id)"
+
+
+@query(f"WITH {_NB_SCORE} SELECT doc_id, label, round(confidence, 6) AS confidence FROM c")
+def nb_scores(spark, d):
+    return _nb_scores(spark, d).withColumn("confidence", F.round("confidence", 6))
+
+
+@query(f"""WITH {_NB_SCORE}, m AS (SELECT sum((confidence >= 0.5 AND label = 1)::INT) AS tp, sum((confidence >= 0.5 AND label = 0)::INT) AS fp, sum((confidence < 0.5 AND label = 1)::INT) AS fn, sum((confidence < 0.5 AND label = 0)::INT) AS tn FROM c)
+SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM m""")
+def metrics(spark, d):
+    m = evaluate.metrics(evaluate.confusion(_nb_scores(spark, d)))
+    return m.select("tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@query(f"WITH {_VEC} SELECT doc_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1) % 5 AS INT) AS fold FROM v")
+def kfold_assign(spark, d):
+    return evaluate.folds(_vectors(spark, d), 5, ["doc_id"]).select("doc_id", "label", "fold")
+
+
+@query(f"""WITH {_NB_SCORE}, f AS (SELECT c.*, (row_number() OVER (PARTITION BY label ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1) % 5 AS fold FROM c),
+m AS (SELECT fold, sum((confidence >= 0.5 AND label = 1)::INT) AS tp, sum((confidence >= 0.5 AND label = 0)::INT) AS fp, sum((confidence < 0.5 AND label = 1)::INT) AS fn FROM f GROUP BY fold),
+r AS (SELECT coalesce(tp / nullif(tp + fp, 0), 0) AS p, coalesce(tp / nullif(tp + fn, 0), 0) AS r, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f FROM m)
+SELECT round(avg(p), 6) AS precision_mean, round(stddev_pop(p), 6) AS precision_std, round(avg(r), 6) AS recall_mean, round(stddev_pop(r), 6) AS recall_std, round(avg(f), 6) AS f1_mean, round(stddev_pop(f), 6) AS f1_std FROM r""")
+def fold_metrics(spark, d):
+    scored = evaluate.folds(_nb_scores(spark, d), 5, ["doc_id"])
+    out = evaluate.average(evaluate.metrics(evaluate.confusion(scored, ["fold"])))
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+@query("""WITH x AS (SELECT p_partkey AS k, p_type AS t, (p_partkey * 31 % 100) / 100.0::DOUBLE AS s FROM part)
+SELECT t AS p_type, count(*) AS count, round(avg(s), 6) AS mean, round(stddev_samp(s), 6) AS std, min(s) AS min, round(quantile_cont(s, 0.25), 6) AS q25, round(quantile_cont(s, 0.5), 6) AS q50, round(quantile_cont(s, 0.75), 6) AS q75, max(s) AS max FROM x GROUP BY t""")
+def describe_scores(spark, d):
+    rows = table(spark, d, "part").select("p_type", ((F.col("p_partkey") * 31 % 100) / 100.0).alias("confidence"))
+    out = evaluate.describe(rows, ["p_type"])
+    return out.select("p_type", "count", *[F.round(c, 6).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
+@query("SELECT event_type, count(*) AS n, round(count(*) / (SELECT count(*) FROM events), 6) AS share FROM events GROUP BY event_type")
+def value_share(spark, d):
+    return analysis.shares(table(spark, d, "events"), "event_type").withColumn("share", F.round("share", 6))
+
+
+@query("SELECT p_brand, p_type, round(avg(p_size), 6) AS precision, round(avg(p_retailprice), 6) AS recall FROM part GROUP BY p_brand, p_type")
+def mean_performance(spark, d):
+    rows = table(spark, d, "part").select("p_brand", "p_type", F.col("p_size").alias("precision"), F.col("p_retailprice").alias("recall"))
+    out = analysis.means(rows, ["p_brand", "p_type"], ("precision", "recall"))
+    return out.select("p_brand", "p_type", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
+@query("SELECT m.n AS matches, m.k AS distinct_matches, u.n AS unlinked, round(m.n / u.n, 6) AS coverage, round(m.k / u.n, 6) AS distinct_coverage FROM (SELECT count(*) AS n, count(DISTINCT doc_id) AS k FROM labels) m, (SELECT count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) u")
+def coverage(spark, d):
+    labels = table(spark, d, "labels")
+    out = analysis.coverage(labels, table(spark, d, "documents").join(labels, "doc_id", "left_anti"), "doc_id")
+    return out.withColumns({c: F.round(c, 6) for c in ("coverage", "distinct_coverage")})
+
+
+@query("SELECT o_custkey, n, open, round(open / n, 6) AS open_ratio FROM (SELECT o_custkey, count(*) AS n, CAST(sum((o_orderstatus = 'O')::INT) AS BIGINT) AS open FROM orders GROUP BY 1)")
+def derived_ratios(spark, d):
+    rows = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)).alias("open"))
+    return analysis.ratios(rows, ["open"], "n").withColumn("open_ratio", F.round("open_ratio", 6))
+
+
+@query("SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 10")
+def top_catalogs(spark, d):
+    return analysis.top(table(spark, d, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")), "n", 10, "p_brand")
+
+
+@query("SELECT DISTINCT c_custkey, lower(c_name || '|' || strftime(a, '%Y') || '-' || strftime(z, '%Y')) AS key FROM customer JOIN (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS z FROM orders GROUP BY 1) ON o_custkey = c_custkey")
+def name_date_keys(spark, d):
+    o = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("z"))
+    return table(spark, d, "customer").join(o, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", analysis.name_date_key(F.col("c_name"), F.col("a"), F.col("z")).alias("key"))
+
+
+@query(f"WITH {_VEC} SELECT doc_id, f_long + f_caps + f_marks + f_lines AS score FROM v WHERE f_long + f_caps + f_marks + f_lines > 1")
+def feature_sum(spark, d):
+    return analysis.feature_sum(_vectors(spark, d), FEATURE_NAMES, 1.0).select("doc_id", "score")
+
+
+@query("SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def windowed_events(spark, d):
+    return incremental.windowed(table(spark, d, "events")).withColumn("total", F.round("total", 4))
+
+
+def _quality(kind: str, **params):
+    def f(spark, d):
+        v = _vectors(spark, d)
+        scored = models.train(kind, v, FEATURE_NAMES, **params).score(v)
+        return evaluate.metrics(evaluate.confusion(scored)).select("tp", "fp", "fn", "tn", "precision", "recall", "f1")
+
+    QUERIES[f"{kind}_quality"] = f
+
+
+_quality("nb")
+_quality("lr")
+_quality("lsvm")
+_quality("svm", features=32)
+_quality("rf", n_estimators=20)
+_quality("slp", max_iter=100)
+_quality("mlp", hidden=[8, 4], max_iter=30)
+_quality("vc", members=("nb", "lr", "slp"))
+_quality("gc", members=("nb", "lr"))
+_quality("sc", members=("nb", "lr"))
