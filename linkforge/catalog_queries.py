@@ -728,7 +728,7 @@ def _quality(kind: str, **params):
 _quality("nb")
 _quality("lr")
 _quality("lsvm")
-_quality("svm", features=32)
+_quality("svm", components=32)
 _quality("rf", n_estimators=20)
 _quality("slp", max_iter=100)
 _quality("mlp", hidden=[8, 4], max_iter=30)

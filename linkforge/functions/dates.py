@@ -5,27 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from linkforge.functions.text import let
 from linkforge.schema import DAY, HOUR, MINUTE, MONTH, YEAR
 
-PARTS = r"^(\d{4})(?:-(\d{2})(?:-(\d{2})(?:T(\d{2})(?::(\d{2})(?::(\d{2}))?)?)?)?)?"
-
-
-def _int(text: Column) -> Column:
-    return F.expr("try_cast(null as int)") if text is None else text.try_cast("int")
-
-
 def parse(value: Column, precision: Column) -> Column:
     """The parts of a timestamp text (1984-11-16T00:00:00Z) that its precision vouches for; null if they are no date."""
     n = F.when(precision <= YEAR, 4).when(precision == MONTH, 7).when(precision == DAY, 10).when(precision == HOUR, 13).when(precision == MINUTE, 16).otherwise(F.length(value))
-    text = F.substring(value, F.lit(1), n)
-    parts = F.filter(F.transform(F.array(*[F.regexp_extract(text, PARTS, i) for i in range(1, 7)]), lambda x: x.try_cast("int")), lambda x: x.isNotNull())
-    filled = F.concat_ws("-", F.regexp_extract(text, PARTS, 1), _or(F.regexp_extract(text, PARTS, 2), "01"), _or(F.regexp_extract(text, PARTS, 3), "01"))
-    ok = text.rlike(PARTS) & F.try_to_date(filled, "yyyy-MM-dd").isNotNull() & F.coalesce(F.get(parts, F.lit(3)) < 24, F.lit(True)) & F.coalesce(F.get(parts, F.lit(4)) < 60, F.lit(True)) & F.coalesce(F.get(parts, F.lit(5)) < 60, F.lit(True))
-    return F.when(ok, parts)
+    pieces = F.filter(F.split(F.substring(value, F.lit(1), n), "[-T:Z]"), lambda x: x != "")
 
+    def checked(p: Column) -> Column:
+        at = lambda i, default: F.coalesce(F.get(p, F.lit(i)), F.lit(default))
+        date = F.try_to_date(F.concat_ws("-", at(0, ""), at(1, "01"), at(2, "01")), "yyyy-MM-dd")
+        numbers = F.transform(F.slice(p, 1, 6), lambda x: x.try_cast("int"))
+        time = F.forall(F.arrays_zip(F.slice(p, 4, 3).alias("x"), F.array(F.lit(23), F.lit(59), F.lit(59)).alias("m")), lambda z: z.x.isNull() | F.coalesce(z.x.try_cast("int") <= z.m, F.lit(False)))
+        return F.when(date.isNotNull() & (F.length(at(0, "")) == 4) & time, numbers)
 
-def _or(text: Column, default: str) -> Column:
-    return F.when(text == "", F.lit(default)).otherwise(text)
+    return let(pieces, checked)
 
 
 def of_date(date: Column, precision: Column) -> Column:

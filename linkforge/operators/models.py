@@ -15,7 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import Binarizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NAMES = {
@@ -23,7 +23,7 @@ NAMES = {
     "multi_layer_perceptron": "mlp", "voting_classifier": "vc", "gated_classifier": "gc", "stacked_classifier": "sc",
 }
 DEFAULTS = {
-    "nb": {"alpha": 1e-4, "binarize": 0.2}, "lr": {"tol": 1e-3, "C": 1.0, "max_iter": 100}, "lsvm": {"tol": 1e-3, "C": 1.0, "max_iter": 100}, "svm": {"C": 1.0, "gamma": 1.0, "features": 128, "max_iter": 100},
+    "nb": {"alpha": 1e-4, "binarize": 0.2}, "lr": {"tol": 1e-3, "C": 1.0, "max_iter": 100}, "lsvm": {"tol": 1e-3, "C": 1.0, "max_iter": 100}, "svm": {"C": 1.0, "gamma": 1.0, "components": 128, "max_iter": 100},
     "rf": {"n_estimators": 500, "criterion": "entropy", "max_features": "all", "bootstrap": True}, "slp": {"max_iter": 1000}, "mlp": {"hidden": [128, 32], "max_iter": 200},
     "vc": {"voting": "soft"}, "gc": {"folds": 2, "meta": "slp"}, "sc": {"folds": 2, "meta": "slp"},
 }
@@ -122,14 +122,6 @@ def _spark():
     return SparkSession.getActiveSession()
 
 
-def fourier(features: list[str], n: int, gamma: float) -> dict[str, Column]:
-    """Random Fourier features of a Gaussian kernel: their inner products approximate exp(-gamma |x - y|^2)."""
-    r = np.random.default_rng(SEED)
-    w, b = r.normal(0, np.sqrt(2 * gamma), (n, len(features))), r.uniform(0, 2 * np.pi, n)
-    dot = lambda i: reduce(lambda a, c: a + c, [F.col(f) * float(w[i, j]) for j, f in enumerate(features)])
-    return {f"rff{i}": F.cos(dot(i) + float(b[i])) * float(np.sqrt(2 / n)) for i in range(n)}
-
-
 def train(kind: str, rows: DataFrame, features: list[str], label: str = "label", **params) -> Model:
     """rows: the features and a 0/1 label. Unknown parameters are refused."""
     kind = short_name(kind)
@@ -146,9 +138,9 @@ def train(kind: str, rows: DataFrame, features: list[str], label: str = "label",
     if kind == "svm":
         from pyspark.ml.feature import SQLTransformer
 
-        made = ", ".join(f"{_sql(features, i, int(p['features']), float(p['gamma']))} AS rff{i}" for i in range(int(p["features"])))
+        made = ", ".join(f"{_sql(features, i, int(p['components']), float(p['gamma']))} AS rff{i}" for i in range(int(p["components"])))
         stages.append(SQLTransformer(statement=f"SELECT *, {made} FROM __THIS__"))
-        inputs = [f"rff{i}" for i in range(int(p["features"]))]
+        inputs = [f"rff{i}" for i in range(int(p["components"]))]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features_vector"))
     common = {"featuresCol": "features_vector", "labelCol": label}
     n = 1.0
@@ -167,6 +159,7 @@ def train(kind: str, rows: DataFrame, features: list[str], label: str = "label",
 
 
 def _sql(features: list[str], i: int, n: int, gamma: float) -> str:
+    """A random Fourier feature of a Gaussian kernel: inner products approximate exp(-gamma |x - y|^2)."""
     r = np.random.default_rng(SEED)
     w, b = r.normal(0, np.sqrt(2 * gamma), (n, len(features))), r.uniform(0, 2 * np.pi, n)
     return f"cos({' + '.join(f'{float(w[i, j])!r}D * `{f}`' for j, f in enumerate(features))} + {float(b[i])!r}D) * {float(np.sqrt(2 / n))!r}D"

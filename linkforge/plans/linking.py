@@ -29,7 +29,7 @@ def prepare_source(items: DataFrame, goal: str = "classification") -> DataFrame:
 
 
 def _url_tokens(values):
-    out = F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(values, lambda x: x.isNotNull()), urls.tokenize))))
+    out = F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(values, lambda x: x.isNotNull()), lambda u: urls.tokenize(u)))))
     return F.when(F.size(out) > 0, out)
 
 

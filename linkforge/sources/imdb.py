@@ -55,8 +55,8 @@ class ImdbReader(CatalogReader):
         alone = F.size(F.array_except("p", F.array(F.lit("miscellaneous")))) == 0
         out = {}
         for entity, names in ROUTES.items():
-            own = CLASS_QID[entity]
-            out[f"imdb_{entity}"] = base.where(alone | has(*names)).drop("p").withColumn("occupations", F.filter("occupations", lambda q, own=own: q != own))
+            others = F.array_except("occupations", F.array(F.lit(CLASS_QID[entity])))
+            out[f"imdb_{entity}"] = base.where(alone | has(*names)).drop("p").withColumn("occupations", others)
         out["imdb_title_name_relationship"] = good.where("knownForTitles is not null").select(F.explode(F.split("knownForTitles", ",")).alias("from_catalog_id"), F.col("nconst").alias("to_catalog_id")).where("from_catalog_id <> ''").distinct()
         return out
 

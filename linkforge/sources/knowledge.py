@@ -94,7 +94,7 @@ def linker_items(entities: DataFrame, metadata: DataFrame, url_pids: list[str],
     out = own.select(F.col("id").alias("qid"), names.alias("name"), texts(F.col("descriptions")).alias("description")).join(url, "qid", "left").join(date, "qid", "left").join(wide, "qid", "left")
     if ids is not None and "tid" in ids.columns:
         out = out.join(ids.groupBy("qid").agg(F.array_sort(F.collect_set("tid")).alias("tid")), "qid", "left")
-    return out.select(*[F.col(f.name) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in ITEM.fields])
+    return out.select(*[F.when(F.size(f.name) > 0, F.col(f.name)).alias(f.name) if f.name in out.columns and f.name != "qid" else F.col("qid") if f.name == "qid" else F.lit(None).cast(f.dataType).alias(f.name) for f in ITEM.fields])
 
 
 def of_class(claim_rows: DataFrame, edges: DataFrame, entity: str) -> DataFrame:
