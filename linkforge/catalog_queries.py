@@ -368,11 +368,8 @@ def validate_sets(spark, d):
     li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").alias("value"), (F.year("l_shipdate") % 2).alias("odd"))
     ids = li.select(F.col("k").alias("qid"), F.col("k").alias("tid")).distinct()
     got = validate.compare_sets(ids, li.where("odd = 0").select(F.col("k").alias("qid"), "value"), li.where("odd = 1").select(F.col("k").alias("tid"), "value"))
-    rows = None
-    for side in ("shared", "extra", "source_only"):
-        part = got[side].groupBy("tid").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).withColumn("side", F.lit(side))
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    side = F.when(F.col("side") == 3, "shared").when(F.col("side") == 2, "extra").otherwise("source_only").alias("side")
+    return got["marked"].groupBy("tid", side).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
 @query("""WITH s AS (SELECT DISTINCT p_brand AS k, p_name AS v FROM part WHERE p_size <= 3), t AS (SELECT DISTINCT p_brand AS k, p_name AS v FROM part WHERE p_size >= 48)

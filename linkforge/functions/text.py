@@ -105,3 +105,8 @@ def no_value(values: Column) -> Column:
 
 def json_line(*columns: str) -> Column:
     return F.to_json(F.struct(*columns))
+
+
+def soundex(text: Column) -> Column:
+    """The phonetic code of a normalised name."""
+    return F.soundex(normalize(text))

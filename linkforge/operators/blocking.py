@@ -1,8 +1,9 @@
-"""Candidate pairs by shared tokens. Tables: an id column and an array of tokens.
+"""Candidate pairs by shared tokens. Tables: an id column, one row per id, and an array of tokens.
 
 Frequent tokens: `most_frequent` drops tokens of more target rows than that before the join (a documented cut of
-recall, off by default). Pairs are counted by a partial aggregation before their shuffle, and the join on tokens is
-left to adaptive execution to split where a token is hot.
+recall, off by default). Pairs are counted by a partial aggregation before their shuffle, which also carries both
+sides' numbers of tokens, so no table is read or tokenised twice; the join on tokens is left to adaptive execution to
+split where a token is hot.
 """
 
 from __future__ import annotations
@@ -10,22 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkforge.functions.text import let
 
-def inverted(rows: DataFrame, key: str, tokens: str) -> DataFrame:
-    """(key, token), each once: the index that all token joins share; write it bucketed by token to reuse it."""
-    return rows.select(key, F.explode(F.array_distinct(tokens)).alias("token")).distinct()
 
-
-def sizes(rows: DataFrame, key: str, tokens: str) -> DataFrame:
-    return rows.select(key, F.size(F.array_distinct(tokens)).alias("n"))
+def inverted(rows: DataFrame, key: str, tokens: str, n: str = "n") -> DataFrame:
+    """(key, token, n), each token once, with the number of the key's tokens: the index that all token joins share."""
+    each = let(F.array_distinct(tokens), lambda d: F.transform(d, lambda t: F.struct(t.alias("token"), F.size(d).alias(n))))
+    return rows.select(key, F.explode(each).alias("e")).select(key, "e.token", f"e.{n}")
 
 
 def shared_counts(source: DataFrame, target: DataFrame, source_key: str, target_key: str, tokens: str = "tokens", most_frequent: int | None = None) -> DataFrame:
-    """source_key, target_key, shared: the number of distinct tokens that both have."""
-    s, t = inverted(source, source_key, tokens), inverted(target, target_key, tokens)
+    """source_key, target_key, shared, ns, nt: the number of distinct tokens that both have, and of each side's."""
+    s, t = inverted(source, source_key, tokens, "ns"), inverted(target, target_key, tokens, "nt")
     if most_frequent is not None:
         t = t.join(t.groupBy("token").count().where(F.col("count") <= most_frequent).select("token"), "token", "left_semi")
-    return s.join(t, "token").groupBy(source_key, target_key).agg(F.count(F.lit(1)).alias("shared"))
+    return s.join(t, "token").groupBy(source_key, target_key).agg(F.count(F.lit(1)).alias("shared"), F.max("ns").alias("ns"), F.max("nt").alias("nt"))
 
 
 def top_k(pairs: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
@@ -36,20 +36,19 @@ def top_k(pairs: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
 def candidates(source: DataFrame, target: DataFrame, source_key: str = "qid", target_key: str = "tid", tokens: str = "tokens", k: int = 5, most_frequent: int | None = None) -> DataFrame:
     """The k best targets of each source row: by shared tokens, then by the share of the union, then by target_key."""
     pairs = shared_counts(source, target, source_key, target_key, tokens, most_frequent)
-    pairs = pairs.join(sizes(source, source_key, tokens).withColumnRenamed("n", "ns"), source_key).join(sizes(target, target_key, tokens).withColumnRenamed("n", "nt"), target_key)
     jaccard = F.col("shared") / (F.col("ns") + F.col("nt") - F.col("shared"))
     return top_k(pairs.withColumn("jaccard", jaccard), source_key, [F.desc("shared"), F.desc("jaccard"), F.asc(target_key)], k).select(source_key, target_key, "shared", "jaccard", "rank")
 
 
 def supersets(source: DataFrame, target: DataFrame, source_key: str = "qid", target_key: str = "tid", tokens: str = "tokens", k: int | None = None) -> DataFrame:
     """Targets that have all tokens of a source row; k: at most so many, the smallest target_keys."""
-    pairs = shared_counts(source, target, source_key, target_key, tokens).join(sizes(source, source_key, tokens), source_key).where("shared = n and n > 0").select(source_key, target_key)
+    pairs = shared_counts(source, target, source_key, target_key, tokens).where("shared = ns").select(source_key, target_key)
     return pairs if k is None else top_k(pairs, source_key, [F.asc(target_key)], k).drop("rank")
 
 
 def subsets(source: DataFrame, target: DataFrame, source_key: str = "qid", target_key: str = "tid", tokens: str = "tokens", least: int = 2, without: DataFrame | None = None) -> DataFrame:
     """Targets of `least` tokens or more all of which a source row has; without: pairs that are left out."""
-    pairs = shared_counts(source, target, source_key, target_key, tokens).join(sizes(target, target_key, tokens), target_key).where(F.col("shared") == F.col("n")).where(F.col("n") >= least).select(source_key, target_key)
+    pairs = shared_counts(source, target, source_key, target_key, tokens).where(F.col("shared") == F.col("nt")).where(F.col("nt") >= least).select(source_key, target_key)
     return pairs if without is None else pairs.join(without.select(source_key, target_key), [source_key, target_key], "left_anti")
 
 

@@ -205,3 +205,31 @@ def naive_bayes_score(rows: DataFrame, keys: list[str], table: DataFrame, featur
     sums = long.groupBy(*keys, "label").agg((one + F.max("prior")).alias("s"))
     both = sums.groupBy(*keys).agg(F.max(F.when(F.col("label") == 1, F.col("s"))).alias("s1"), F.max(F.when(F.col("label") == 0, F.col("s"))).alias("s0"))
     return both.select(*keys, F.when(F.col("s1").isNull(), 0.0).when(F.col("s0").isNull(), 1.0).otherwise(1 / (1 + F.exp(F.col("s0") - F.col("s1")))).alias("confidence"))
+
+
+def unsupervised(rows: DataFrame, features: list[str], binarize: float = 0.5, rounds: int = 50, start: float = 0.1) -> tuple[DataFrame, dict]:
+    """Expectation maximisation of a two-class mixture of independent binary features, without labels.
+
+    rows with `confidence`, and the fitted parameters. Only the counts of feature patterns reach the driver: at most 2 to
+    the number of features, which is bounded at 16.
+    """
+    if not 0 < len(features) <= 16:
+        raise ValueError("1 to 16 features")
+    bits = reduce(lambda a, b: a + b, [F.when(F.coalesce(F.col(f), F.lit(0.0)) > binarize, 1 << i).otherwise(0) for i, f in enumerate(features)])
+    coded = rows.withColumn("pattern", bits)
+    counts = [(r["pattern"], r["count"]) for r in coded.groupBy("pattern").count().collect()]
+    x = np.array([[p >> i & 1 for i in range(len(features))] for p, _ in counts], dtype=float).reshape(-1, len(features))
+    n = np.array([c for _, c in counts], dtype=float)
+    prior, m, u = start, np.full(len(features), 0.9), np.full(len(features), 0.1)
+    odds = np.zeros(len(n))
+    for _ in range(rounds if len(n) else 0):
+        yes = np.log(prior) + x @ np.log(m) + (1 - x) @ np.log(1 - m)
+        no = np.log(1 - prior) + x @ np.log(u) + (1 - x) @ np.log(1 - u)
+        odds = 1 / (1 + np.exp(no - yes))
+        w = n * odds
+        clip = lambda v: np.clip(v, 1e-6, 1 - 1e-6)
+        prior = float(clip(w.sum() / n.sum()))
+        m, u = clip((w[:, None] * x).sum(0) / max(w.sum(), 1e-9)), clip(((n - w)[:, None] * x).sum(0) / max((n - w).sum(), 1e-9))
+    table = F.create_map(*[F.lit(v) for (p, _), o in zip(counts, odds.tolist(), strict=True) for v in (p, o)]) if counts else F.lit(None)
+    scored = coded.withColumn("confidence", F.try_element_at(table, F.col("pattern")) if counts else F.lit(0.0)).drop("pattern")
+    return scored, {"prior": prior, "match": dict(zip(features, m.tolist(), strict=True)), "rest": dict(zip(features, u.tolist(), strict=True))}

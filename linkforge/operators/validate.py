@@ -24,16 +24,17 @@ def compare_sets(ids: DataFrame, source: DataFrame, target: DataFrame, value: st
     """ids (qid, tid); source (qid, value); target (tid, value).
 
     deprecate: pairs without a shared value, though both sides have some (tid, qid); extra: what the target alone has
-    (qid, tid, value); source_only: what the item alone has (qid, tid, value); shared (qid, tid, value).
+    (qid, tid, value); source_only: what the item alone has (qid, tid, value); shared (qid, tid, value). marked: all three
+    with side (3 shared, 2 the target's, 1 the item's), to be persisted where several are wanted.
     """
-    s = ids.select("qid", "tid").distinct().join(source.select("qid", value).where(F.col(value).isNotNull()).distinct(), "qid")
-    both_have = ids.select("qid", "tid").distinct().join(source.where(F.col(value).isNotNull()).select("qid"), "qid", "left_semi").join(target.where(F.col(value).isNotNull()).select("tid"), "tid", "left_semi")
-    t = both_have.join(target.select("tid", value).where(F.col(value).isNotNull()).distinct(), "tid").select("qid", "tid", value)
-    s = s.join(both_have, ["qid", "tid"], "left_semi").select("qid", "tid", value)
-    marked = s.withColumn("side", F.lit(1)).unionByName(t.withColumn("side", F.lit(2))).groupBy("qid", "tid", value).agg(F.sum("side").alias("side"))
+    pairs = ids.select("qid", "tid").distinct()
+    s = pairs.join(source.select("qid", value).where(F.col(value).isNotNull()), "qid").select("qid", "tid", value, F.lit(1).alias("side"))
+    t = pairs.join(target.select("tid", value).where(F.col(value).isNotNull()), "tid").select("qid", "tid", value, F.lit(2).alias("side"))
+    every = s.unionByName(t).groupBy("qid", "tid", value).agg(F.bit_or("side").alias("side"))
+    compared = every.groupBy("qid", "tid").agg(F.bit_or("side").alias("both"), F.max("side").alias("top")).where("both = 3")
+    marked = every.join(compared.select("qid", "tid"), ["qid", "tid"], "left_semi")
     only = lambda n: marked.where(F.col("side") == n).select("qid", "tid", value)
-    deprecate = marked.groupBy("tid", "qid").agg(F.max("side").alias("m"), F.min("side").alias("l")).where("m < 3").select("tid", "qid")
-    return {"shared": only(3), "extra": only(2), "source_only": only(1), "deprecate": deprecate}
+    return {"shared": only(3), "extra": only(2), "source_only": only(1), "deprecate": compared.where("top < 3").select("tid", "qid"), "marked": marked}
 
 
 def validate_links(ids: DataFrame, source_urls: DataFrame, target_urls: DataFrame, metadata: DataFrame, blacklist: list[str] | DataFrame) -> dict[str, DataFrame]:

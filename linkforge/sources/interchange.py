@@ -48,6 +48,15 @@ def write_report(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("overwrite").json(path)
 
 
+def read_reports(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Reports by model name in one table, with the column model."""
+    out = None
+    for model, path in paths.items():
+        part = spark.read.json(path).withColumn("model", F.lit(model))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def write_dataset(main: DataFrame, path: str) -> None:
     """A target table as JSON Lines."""
     main.write.mode("overwrite").json(path, compression="gzip")

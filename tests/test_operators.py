@@ -167,3 +167,26 @@ def test_analysis(spark):
     u = spark.createDataFrame([("http://a.org/1",), ("http://a.org/2",), ("http://b.org",), ("none",)], "url string")
     assert [tuple(r) for r in analysis.domains(u).collect()] == [("a.org", 2), ("b.org", 1)]
     assert analysis.sample(spark.range(1000), "id", 0.1).count() == analysis.sample(spark.range(1000), "id", 0.1).count() < 200
+
+
+def test_mixture_without_labels(spark):
+    import random
+
+    r = random.Random(1)
+    data = [(i, i % 5 == 0, *[float(r.random() < (0.9 if i % 5 == 0 else 0.08)) for _ in range(5)]) for i in range(2000)]
+    df = spark.createDataFrame(data, "i int, truth boolean, a double, b double, c double, d double, e double")
+    scored, p = models.unsupervised(df, list("abcde"))
+    wrong = scored.where("truth <> (confidence >= 0.5)").count()
+    assert wrong < 40 and abs(p["prior"] - 0.2) < 0.03 and p["match"]["a"] > 0.85 > 0.15 > p["rest"]["a"]
+    assert models.unsupervised(df.limit(0), ["a"])[0].count() == 0
+
+
+def test_reports_and_phonetics(spark, tmp_path):
+    from linkforge.functions import text
+    from linkforge.sources import interchange
+
+    for m, f1 in (("nb", 0.5), ("lr", 0.75)):
+        interchange.write_report(spark.createDataFrame([(f1,)], "f1 double"), str(tmp_path / m))
+    got = interchange.read_reports(spark, {m: str(tmp_path / m) for m in ("nb", "lr")})
+    assert rows(analysis.means(got, ["model"], ("f1",))) == [("lr", 0.75), ("nb", 0.5)]
+    assert spark.range(1).select(text.soundex(F.lit("Müller")) == text.soundex(F.lit("mueler"))).first()[0]
