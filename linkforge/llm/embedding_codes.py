@@ -76,15 +76,37 @@ def may_link(units: np.ndarray, others: np.ndarray, least: float, sure: float, c
     return estimate + (sure * deviation)[:, None] >= least
 
 
-def groups(adjacent: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The smallest id reachable of each vector; adjacent: symmetric."""
-    low, i, j = ids.copy(), *np.nonzero(adjacent)
-    while True:
+def may_link_pairs(units: np.ndarray, p: np.ndarray, q: np.ndarray, least: float, sure: float, code: int, seed: int = 5) -> np.ndarray:
+    """The same for single pairs of rows."""
+    signs, f = encode(units, code, seed)
+    signs, rotated = signs.astype(np.float32), (units @ lift(units.shape[1], code, seed)).astype(np.float32)
+    d = signs.shape[1]
+    deviation = np.sqrt(np.maximum(0.0, 1 - f**2) / (f**2 * (d - 1)))
+    return np.einsum("ij,ij->i", signs[p], rotated[q]) / (np.sqrt(d) * f[p]) + sure * deviation[p] >= least
+
+
+def smallest(ids: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The smallest id reachable of each row over the links p - q."""
+    low = ids.copy()
+    while len(p):
         new = low.copy()
-        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, p, low[q])
+        np.minimum.at(new, q, low[p])
         if (new == low).all():
-            return low
+            break
         low = new
+    return low
+
+
+def candidates(bounds: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows within groups of at most `most` rows, by distance; bounds: starts of the groups and the end."""
+    sizes = np.diff(bounds)
+    end = np.repeat(bounds[1:], sizes)
+    at = np.flatnonzero(np.repeat(sizes <= most, sizes))
+    d = 1
+    while len(at := at[at + d < end[at]]):
+        yield at, at + d
+        d += 1
 
 
 def classes(vectors: DataFrame, column: str = "embedding", least: float = 0.95, bits: int = 20, tables: int = 60, code: int = 256, sure: float = 5.0, block: int = 1024) -> DataFrame:
@@ -116,34 +138,67 @@ def classes(vectors: DataFrame, column: str = "embedding", least: float = 0.95,
     full = cut(firsts.select("c0", "c1", "id", "m", "u").mapInPandas(cells, "c0 long, c1 long, id long, m long, u array<double>, cells array<long>"))
     keys = full.select("c0", "c1", F.posexplode("cells").alias("t", "key"))
     sizes = keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    many = sizes.select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("nb"))
-    rows = keys.join(many, ["t", "key"]).join(full, ["c0", "c1"]).withColumn("b", F.pmod(F.xxhash64("c0"), "nb").cast("int"))
+    many = cut(sizes.select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("nb"), "n"))
+    rows = keys.join(many.drop("n"), ["t", "key"]).join(full, ["c0", "c1"]).withColumn("b", F.pmod(F.xxhash64("c0"), "nb").cast("int"))
     dealt = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).drop("o", "nb")
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        u, c = np.stack(pdf["u"].to_list()), np.stack(pdf["cells"].to_list())
-        ids, m, b, t = pdf["id"].to_numpy("int64"), pdf["m"].to_numpy("int64"), pdf["b"].to_numpy(), int(pdf["t"].iloc[0])
-        near = may_link(u, u, least, sure, code)
-        p, q = np.nonzero(np.triu(near | near.T, 1))
-        if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
-            p, q = (x[b[p] != b[q]] for x in (p, q))
-        links = np.zeros(len(p), dtype=bool)
-        for s in range(0, len(p), 100_000):
-            x, y = p[s : s + 100_000], q[s : s + 100_000]
-            links[s : s + 100_000] = np.einsum("ij,ij->i", u[x], u[y]) >= least
-        p, q = p[links], q[links]
-        adjacent = np.zeros((len(u), len(u)), dtype=bool)
-        adjacent[p, q] = adjacent[q, p] = True
-        low = groups(adjacent, ids)
-        earlier = np.zeros(len(p), dtype=bool)
-        for k in range(t):
-            earlier |= c[p, k] == c[q, k]
-        p, q = p[~earlier], q[~earlier]
-        n = np.bincount(p, m[q], len(u)) + np.bincount(q, m[p], len(u))
+        pdf = pdf.sort_values(["t", "key", "i", "j"], ignore_index=True)
+        where = pdf[["t", "key", "i", "j"]].to_numpy("int64")
+        bounds = np.append(np.flatnonzero(np.r_[True, (where[1:] != where[:-1]).any(1)]), len(pdf))
+        c, ids, m, b = np.stack(pdf["cells"].to_list()), pdf["id"].to_numpy("int64"), pdf["m"].to_numpy("int64"), pdf["b"].to_numpy()
+        us = pdf["u"].to_numpy()
+        found = []
+
+        def decide(u: np.ndarray, p: np.ndarray, q: np.ndarray, start: int) -> None:
+            for s in range(0, len(p), 100_000):
+                x, y = p[s : s + 100_000], q[s : s + 100_000]
+                hit = np.einsum("ij,ij->i", u[x], u[y]) >= least
+                found.append((start + x[hit], start + y[hit]))
+
+        def apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+            """Of a pair of blocks: pairs across, as those within a block have a task of their own."""
+            return (where[p, 2] == where[p, 3]) | (b[p] != b[q])
+
+        small = 24
+        dims = np.fromiter(map(len, us), dtype=np.int64, count=len(us))
+        for d in np.unique(dims):  # a key holds vectors of one length
+            own = np.flatnonzero(dims == d)
+            u = np.stack([us[k] for k in own])
+            place = np.full(len(us), -1, dtype=np.int64)
+            place[own] = np.arange(len(own))
+            for p, q in candidates(bounds, small):
+                keep = dims[p] == d
+                p, q = p[keep], q[keep]
+                may = may_link_pairs(u, place[p], place[q], least, sure, code) if len(p) else np.empty(0, dtype=bool)
+                p, q = p[may], q[may]
+                cross = apart(p, q)
+                p, q = p[cross], q[cross]
+                hit = np.einsum("ij,ij->i", u[place[p]], u[place[q]]) >= least
+                found.append((p[hit], q[hit]))
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if end - start > small:
+                u = np.stack(us[start:end].tolist())
+                near = may_link(u, u, least, sure, code)
+                p, q = np.nonzero(np.triu(near | near.T, 1))
+                cross = apart(start + p, start + q)
+                decide(u, p[cross], q[cross], start)
+        p, q = (np.concatenate([x[k] for x in found] or [np.empty(0, dtype=np.int64)]) for k in (0, 1))
+        low = smallest(ids, p, q)
+        first = np.ones(len(p), dtype=bool)  # no earlier key that both have
+        for s in range(0, len(p), 50_000):
+            x, y = p[s : s + 50_000], q[s : s + 50_000]
+            first[s : s + 50_000] = ~((c[x] == c[y]) & (np.arange(c.shape[1]) < where[x, 0][:, None])).any(1)
+        p, q = p[first], q[first]
+        n = np.bincount(p, m[q], len(ids)) + np.bincount(q, m[p], len(ids))
         out = pd.DataFrame({"c0": pdf["c0"], "c1": pdf["c1"], "id": ids, "n": n.astype("int64"), "low": low})
         return out[(out["n"] > 0) | (out["low"] != out["id"])]
 
-    found = cut(dealt.groupBy("t", "key", "i", "j").applyInPandas(kernel, "c0 long, c1 long, id long, n long, low long"))
+    # many small keys go to a task call together, about 4 blocks' worth of rows
+    n_dealt = many.agg(F.coalesce(F.sum(F.col("n") * F.col("nb")), F.lit(0))).first()[0]
+    parts = max(1, -(-n_dealt // (4 * block)))
+    bundle = F.pmod(F.xxhash64("t", "key", "i", "j"), F.lit(parts)).alias("bundle")
+    found = cut(dealt.groupBy(bundle).applyInPandas(kernel, "c0 long, c1 long, id long, n long, low long"))
     same_id = valid.join(nodes.select("c0", "c1", "id"), ["c0", "c1"]).where("vec_id <> id").select(F.col("vec_id").alias("a"), F.col("id").alias("b"))
     twins = same_id.join(full.select(F.col("id").alias("a")), "a", "left_semi")  # a vec_id with several vectors
     comps = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")).unionByName(twins))
