@@ -10,7 +10,9 @@ kept. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,35 +20,65 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SPACES = str.maketrans("\n\t\r", "   ")
+#: str.split() takes these four for white space, the tokenizer doesn't.
+SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+BREAKS = re.compile(r"[ \t\n\r]+")
+#: ASCII and composed Latin letters: in normal form already, and lower-cased one by one (but for the dotted I).
+PLAIN = re.compile(r"[!-~\u00c0-\u012f\u0131-\u017e]*")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017e0-9]+")
+
+
+def chunks_of(text: str) -> list[str]:
+    return BREAKS.split(text) if any(c in text for c in SEPARATORS) else text.split()
+
+
+def _visible() -> dict[int, int]:
+    """Bytes that a byte-level vocabulary writes as other characters."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+class Pieces(dict):
+    """Match of the tokenizer's pattern, in its byte characters -> ids as little-endian 32-bit bytes."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, piece: str) -> bytes:
+        out = self[piece] = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return out
 
 
 class Chunks(dict):
-    """Text without white space -> its ids as little-endian 32-bit bytes; bounded. No match of the tokenizer's
-    pattern and no normalisation spans white space, so a text's ids are those of its chunks in turn."""
+    """Text without white space -> its ids; bounded. No match of the tokenizer's pattern and no normalisation spans
+    white space, so a text's ids are those of its chunks in turn."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self[""] = b""
-
-    def learn(self, chunks: list[str]) -> None:
-        if len(self) > self.most:
-            self.clear()
-            self[""] = b""
-        if new := [c for c in dict.fromkeys(chunks) if c not in self]:
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self[c] = np.array(e.ids, dtype="<u4").tobytes()
+        self.pieces, self.visible = Pieces(self.tokenizer.model), _visible()
+
+    def __missing__(self, chunk: str) -> bytes:
+        if PLAIN.fullmatch(chunk):
+            found = PIECES.findall(chunk.lower())
+            if not chunk.isascii():
+                found = [p.encode().decode("latin-1").translate(self.visible) for p in found]
+        else:
+            t = self.tokenizer
+            found = [p for p, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(chunk))]
+        out = self[chunk] = b"".join(map(self.pieces.__getitem__, found))
+        return out
+
+    def shrink(self) -> None:
+        for memo in (self, self.pieces):
+            if len(memo) > self.most:
+                memo.clear()
 
     def ids(self, text: str) -> bytes:
-        chunks = text.translate(SPACES).split(" ")
-        try:
-            return b"".join(map(self.__getitem__, chunks))
-        except KeyError:
-            self.learn(chunks)
-            return b"".join(map(self.__getitem__, chunks))
+        return b"".join(map(self.__getitem__, chunks_of(text)))
 
 
 _CHUNKS: dict[str, Chunks] = {}
@@ -76,10 +108,9 @@ def pack(docs: DataFrame, path: str, longest: int = 2048, eos: int = 1, ids: boo
         for b in batches:
             rows, texts = [], [t if isinstance(t, str) else "" for t in b["text"]]
             ended = 0
-            for i in range(0, len(texts), 256):  # new chunks of many documents are learnt at once
-                part = texts[i : i + 256]
-                memo.learn([c for t in part for c in set(t.translate(SPACES).split(" "))])
-                for t in part:
+            for i in range(0, len(texts), 256):
+                memo.shrink()
+                for t in texts[i : i + 256]:
                     got = memo.ids(t) + end
                     n = len(got) // 4
                     for start, length in binary_cuts(n, longest):
