@@ -103,3 +103,27 @@ def test_streams(spark, tmp_path):
     assert [(r["qid"], r["tid"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("Q1", "t1")]
     events = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), "a", 1.0), (dt.datetime(2024, 1, 1, 6), "a", 2.0)], "ts timestamp, event_type string, value double")
     assert [(r["n"], r["total"]) for r in incremental.windowed(events).collect()] == [(2, 3.0)]
+
+
+def test_import_and_run(spark, tmp_path):
+    import gzip
+
+    from test_sources import ARTISTS, MASTERS
+
+    for n, data in (("artists", ARTISTS), ("masters", MASTERS)):
+        with gzip.open(tmp_path / f"{n}.xml.gz", "wt") as f:
+            f.write(data)
+    cli.run(["import", "discogs", "--tables", str(tmp_path / "t"), "--dumps", str(tmp_path)], spark)
+    assert spark.read.parquet(str(tmp_path / "t" / "discogs_group")).count() == 2
+    rel = [("Q10", "g", "P1954", "string", "10", None), ("Q1", "h", "P1953", "string", "1", None), ("Q10", "i", "P31", "wikibase-entityid", "Q2188189", None), ("Q1", "j", "P31", "wikibase-entityid", "Q215380", None)]
+    spark.createDataFrame(rel, "qid string, guid string, pid string, kind string, value string, precision int").write.parquet(str(tmp_path / "claims"))
+    spark.createDataFrame([("Q1000", "Q215380")], "child string, parent string").write.parquet(str(tmp_path / "edges"))
+    cli.run(["works", "discogs", "band", "--tables", str(tmp_path / "t"), "--claims", str(tmp_path / "claims"), "--edges", str(tmp_path / "edges"), "--out", str(tmp_path / "w")], spark)
+    assert [tuple(r) for r in spark.read.csv(str(tmp_path / "w")).collect()] == [("Q10", "P175", "Q1", "1")]
+
+
+def test_unknown_arguments():
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["train", "nowhere", "band"])
+    with pytest.raises(ValueError, match="goal"):
+        linking.prepare_source(None, "x")
