@@ -77,11 +77,12 @@ def test_blocks(spark):
     assert few.count() == 0
 
 
-def test_graph_components(spark):
-    edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 101), (7, 7), (200, 5)]
-    got = {r["id"]: r["comp"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {**{i: 1 for i in [*range(1, 61), 200]}, 100: 100, 101: 100, 103: 100}
-    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+@pytest.mark.parametrize("one_task", [0, 1000])
+def test_graph_components(spark, one_task):
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 101), (7, 7), (200, 5), (-3, 900)]
+    got = {r["id"]: r["comp"] for r in common.components(spark.createDataFrame(edges, "a long, b long"), one_task=one_task).collect()}
+    assert got == {**{i: 1 for i in [*range(1, 61), 200]}, 100: 100, 101: 100, 103: 100, -3: -3, 900: -3}
+    assert common.components(spark.createDataFrame([], "a long, b long"), one_task=one_task).count() == 0
 
 
 def vectors(n_far=300, seed=0):
