@@ -47,6 +47,30 @@ def pick(df: DataFrame, ids: DataFrame, how: str = "left_semi", most: int = MOST
     return df.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", how).select(*df.columns)
 
 
+def bitmap(ids: DataFrame, column: str, bits: int = 27) -> np.ndarray:
+    """A filter of fixed size (16 MB) for well-mixed longs: a bit is set for each by its lower bits. What isn't in it isn't
+    among ids; of much larger sets it lets more through, and nothing depends on it but the rows that are moved."""
+    h = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    words = ids.select(F.shiftright(h, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    got = words.toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[got["w"].to_numpy()] = got["b"].to_numpy()
+    return out
+
+
+def maybe_in(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """Rows of df that the bitmap lets through."""
+    shared, mask = df.sparkSession.sparkContext.broadcast(bits), (len(bits) << 6) - 1
+
+    def run(pdfs):
+        b = shared.value
+        for x in pdfs:
+            h = x[column].to_numpy() & mask
+            yield x[(b[h >> 6] >> (h & 63)) & 1 == 1]
+
+    return df.mapInPandas(run, df.schema)
+
+
 class WordHashes(dict):
     """Word -> 64-bit hash; a bounded memo."""
 

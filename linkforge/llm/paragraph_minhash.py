@@ -3,7 +3,7 @@
 Passages are often pasted into running text, so lines are no reliable unit. A paragraph here runs from one
 content-defined cut to the next: a cut stands between two words whose joint hash is the smallest within `reach`
 places on both sides. A cut depends only on the words around it, so a passage is cut alike wherever it stands, and
-any passage of 50 words holds whole paragraphs (about 9 words each, 5 at least).
+any passage of 50 words holds whole paragraphs (about 9 words each, 5 at least but for a text's first and last).
 
 Paragraphs with the same words are one. Those of `long_words` or more are banded: `bands` tables of `rows` minhashes
 over their 5-word shingles (a pair at a similarity of 0.8 shares no table with a chance of 0.2 %), and colliding ones
@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import M1, M2, cut, mix, pick, shingle_hashes, store, word_hashes
+from linkforge.llm.common import M1, M2, MOST_BROADCAST, bitmap, cut, maybe_in, mix, pick, shingle_hashes, store, word_hashes
 from linkforge.llm.linking import batches, verified_components
 from linkforge.llm.near_minhash import group_minhashes
 
@@ -71,6 +71,12 @@ def _of_docs(docs: DataFrame, found: DataFrame) -> DataFrame:
     return _known(pick(docs, found)).dropDuplicates(["doc_id", "th"]).join(found, ["doc_id", "th"])
 
 
+def _beside(docs: DataFrame, found: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """The same for few small rows of found: they go to the texts. Repeated rows come more than once."""
+    found = cut(found)
+    return _known(docs).join(F.broadcast(found) if found.count() <= most else found, ["doc_id", "th"])
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, th (the text's hash), idx, n words, f1 and f2 (hashes of the words), g (bands; null if short)."""
 
@@ -113,7 +119,7 @@ def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["id", "s"])
 
     wanted = places.groupBy("doc_id", "th").agg(F.collect_list(F.struct("idx", "id")).alias("want"))  # a document's at most
-    return _of_docs(docs, wanted).select("text", "want").mapInPandas(run, "id long, s array<long>")
+    return _beside(docs, wanted).select("text", "want").mapInPandas(run, "id long, s array<long>").dropDuplicates(["id"])
 
 
 def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -129,25 +135,28 @@ def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["d0", "t0", "i0", "pre", "post"])
 
     wanted = places.groupBy("doc_id", "th").agg(F.collect_set("idx").alias("want"))
-    return _of_docs(docs, wanted).mapInPandas(run, "d0 long, t0 long, i0 int, pre array<long>, post array<long>")
+    return _beside(docs, wanted).mapInPandas(run, "d0 long, t0 long, i0 int, pre array<long>, post array<long>")
 
 
 def later_places(docs: DataFrame) -> DataFrame:
     """doc_id, th, idx of paragraphs that repeat an earlier one, and that one's d0, t0, i0."""
     p = store(paragraphs(docs))
     place = F.struct("doc_id", "th", "idx")
-    # repeated rows are one document: places are told apart by smallest and largest
-    equal = p.groupBy("f1", "f2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("f1", "f2")
+    # repeated rows are one document: places are told apart by the smallest and the largest hash
+    ph = p.select("f1", F.xxhash64("doc_id", "th", "idx").alias("ph"))
+    twice = cut(ph.groupBy("f1").agg(F.min("ph").alias("a"), F.max("ph").alias("b")).where("a <> b").select("f1"))
     keys = p.where("g is not null").select(F.posexplode("g").alias("i", "x"), F.col("f1").alias("id")).select(F.xxhash64("i", "x").alias("key"), "id")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         first = p.where("g is not null").join(ids.withColumnRenamed("id", "f1"), "f1", "left_semi").groupBy("f1").agg(F.min(place).alias("p"))
         return _sets(docs, first.select("p.*", F.col("f1").alias("id")))
 
-    comps = verified_components(keys, sets_of)
-    near = p.join(comps.withColumnRenamed("id", "f1"), "f1", "left_semi").select("f1", "f2").distinct()
-    wanted = equal.unionByName(near).distinct().join(comps.withColumnRenamed("id", "f1"), "f1", "left").select("f1", "f2", F.coalesce("comp", "f1").alias("c"), F.when(F.col("comp").isNull(), F.col("f2")).otherwise(0).alias("c2"))
-    found = cut(p.join(wanted, ["f1", "f2"]).select("doc_id", "th", "idx", "n", "c", "c2").distinct())
+    comps = verified_components(keys, sets_of).withColumnRenamed("id", "f1")
+    some = twice.unionByName(comps.select("f1"))
+    hits = store(maybe_in(p.select("doc_id", "th", "idx", "n", "f1", "f2"), "f1", bitmap(some, "f1")))
+    hits = hits.join(some.distinct(), "f1", "left_semi")
+    # equal words have both hashes in common; what is linked is one by its component
+    found = cut(hits.join(comps, "f1", "left").select("doc_id", "th", "idx", "n", F.coalesce("comp", "f1").alias("c"), F.when(F.col("comp").isNull(), F.col("f2")).otherwise(F.lit(0)).alias("c2")).distinct())
     first = found.groupBy("c", "c2").agg(F.min(place).alias("f"))
     return found.join(first, ["c", "c2"]).where(place > F.col("f")).select("doc_id", "th", "idx", "n", F.col("f.doc_id").alias("d0"), F.col("f.th").alias("t0"), F.col("f.idx").alias("i0"))
 
@@ -161,21 +170,25 @@ def runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     starts = F.filter("s", lambda x, i: edge(F.get("s", i - 1), x))
     ends = F.filter("s", lambda x, i: edge(x, F.get("s", i + 1)))
     pairs = per.select("doc_id", "th", "s", F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("r"))
-    words = F.aggregate(F.filter("s", lambda x: x.idx.between(F.col("r.a.idx"), F.col("r.b.idx"))), F.lit(0), lambda t, x: t + x.n)
-    good = cut(pairs.select("doc_id", "th", F.col("r.a").alias("a"), F.col("r.b").alias("b"), words.alias("w")).where(F.col("w") >= least))
+    inside = F.filter("s", lambda x: x.idx.between(F.col("r.a.idx"), F.col("r.b.idx")))
+    words = F.aggregate(inside, F.lit(0), lambda t, x: t + x.n)
+    of = F.array_min(F.transform(inside, lambda x: x.d0))
+    own = F.exists(inside, lambda x: (x.d0 == F.col("doc_id")) & (x.t0 == F.col("th")))
+    good = cut(pairs.select("doc_id", "th", F.col("r.a").alias("a"), F.col("r.b").alias("b"), words.alias("w"), of.alias("of"), own.alias("own")).where(F.col("w") >= least))
     kept = lambda c: good.select(F.col(f"{c}.d0").alias("doc_id"), F.col(f"{c}.t0").alias("th"), F.col(f"{c}.i0").alias("idx"))
-    around = cut(_around(docs, kept("a").unionByName(kept("b")).distinct()))
+    around = cut(_around(docs, kept("a").unionByName(kept("b")).distinct()).dropDuplicates(["d0", "t0", "i0"]))
     pre = around.select(*[F.col(c).alias(f"a_{c}") for c in ("d0", "t0", "i0")], "pre")
     post = around.select(*[F.col(c).alias(f"b_{c}") for c in ("d0", "t0", "i0")], "post")
-    flat = good.select("doc_id", "th", F.col("a.idx").alias("first"), F.col("b.idx").alias("last"), *[F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in "ab" for c in ("d0", "t0", "i0")])
+    flat = good.select("doc_id", "th", "of", "own", F.col("a.idx").alias("first"), F.col("b.idx").alias("last"), *[F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in "ab" for c in ("d0", "t0", "i0")])
     out = flat.join(pre, ["a_d0", "a_t0", "a_i0"]).join(post, ["b_d0", "b_t0", "b_i0"])
-    return out.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("first", "last", F.col("a_d0").alias("of"), F.col("a_t0").alias("of_th"), "pre", "post"))).alias("runs"))
+    return out.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("first", "last", "of", "own", "pre", "post"))).alias("runs"))
 
 
-def spans(h: np.ndarray, starts: np.ndarray, found: list, alone: bool = False) -> list[tuple[int, int, int]]:
+def spans(h: np.ndarray, starts: np.ndarray, found: list) -> list[tuple[int, int, int]]:
     """(first word, word after the last, document that keeps it) of the extended runs, apart and in order.
 
-    A run next to its own kept place (in the same text) isn't extended (alone)."""
+    Where a text keeps a passage that it repeats itself, nothing is extended: the run could reach its own kept place."""
+    alone = any(r["own"] for r in found)
     h, ends, out = h.view(np.int64), [*starts[1:].tolist(), len(h)], []
     for r in found:
         a, b = int(starts[r["first"]]), ends[r["last"]]
@@ -218,7 +231,7 @@ def removals(docs: DataFrame) -> DataFrame:
             for d, th, text, found in zip(part["doc_id"], part["th"], part["text"], part["runs"], strict=True):
                 h, starts, _ = paragraphs_of([text])
                 w = text.encode(errors="replace").lower().split()
-                for a, b, of in spans(h, starts, found, any(r["of"] == d and r["of_th"] == th for r in found)):
+                for a, b, of in spans(h, starts, found):
                     out.append((d, a, b - a, of, hashlib.md5(b" ".join(w[a:b])).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "first_word", "n_words", "kept_doc_id", "words_md5"])
 
@@ -233,7 +246,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             out = []
             for d, th, text, found in zip(part["doc_id"], part["th"], part["text"], part["runs"], strict=True):
                 h, starts, _ = paragraphs_of([text])
-                gone = spans(h, starts, found, any(r["of"] == d and r["of_th"] == th for r in found))
+                gone = spans(h, starts, found)
                 out.append((d, th, without(text, gone), sum(b - a for a, b, _ in gone)))
             yield pd.DataFrame(out, columns=["new_id", "new_th", "new_text", "n_removed"])
 

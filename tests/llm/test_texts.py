@@ -266,7 +266,7 @@ def test_near_paragraphs_are_found(spark):
     words = [f"w{r.randrange(10**6)}" for _ in range(40)]
     h = np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint64)
     starts = paragraph_minhash.cut_places(h, np.zeros(40, dtype=np.int64))
-    assert starts[0] == 0 and (np.diff(starts) > paragraph_minhash.REACH).all()
+    assert starts[0] == 0 and (np.diff(starts)[1:] > paragraph_minhash.REACH).all()
     two = np.concatenate([h, h])
     again = paragraph_minhash.cut_places(two, np.repeat([0, 1], 40))
     assert again.tolist() == [*starts.tolist(), *(starts + 40).tolist()]
