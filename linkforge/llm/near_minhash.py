@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import M1, components, cut, mix, shingle_hashes, word_hashes
+from linkforge.llm.common import M1, components, cut, mix, pick, shingle_hashes, word_hashes
 from linkforge.llm.linking import batches, verified_components
 
 TENSOR = (10, 2, 14, 3)
@@ -101,7 +101,7 @@ def classes(docs: DataFrame, k: int = 2, share: tuple[int, int] = (4, 5), tensor
 
     def sets_of(ids: DataFrame) -> DataFrame:
         # a doc_id with several texts stands for the union of their shingles
-        got = shingle_sets(text.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), k)
+        got = shingle_sets(pick(text, ids.select(F.col("id").alias("doc_id"))), k)
         twice = got.join(many.select(F.col("doc_id").alias("id")), "id", "left_semi").select("id", F.explode("s").alias("x")).groupBy("id").agg(F.collect_set("x").alias("s"))
         return got.join(many.select(F.col("doc_id").alias("id")), "id", "left_anti").unionByName(twice)
 
@@ -121,8 +121,7 @@ def op2_near_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, the one with the smallest doc_id; five-word shingles."""
-    gone = classes(docs, k=5).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return pick(docs, classes(docs, k=5).where("not kept"), "left_anti")
 
 
 QUERIES = {"op2_near_minhash": op2_near_minhash}
