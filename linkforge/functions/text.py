@@ -56,17 +56,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+# White space that a text is stripped of.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def normalize(text: Column) -> Column:
     """Stripped, lower-cased and in ASCII as far as Latin and Cyrillic letters go; other scripts stay."""
-    plain = F.lower(strip(text))
-    out = F.translate(plain, SINGLE_FROM, SINGLE_TO)
-    for k, v in SEVERAL.items():
-        out = F.replace(out, F.lit(k), F.lit(v))
-    return F.when(plain.rlike(r"[^\x00-\x7F]"), out).otherwise(plain)
+
+    def ascii_(plain: Column) -> Column:
+        out = F.translate(plain, SINGLE_FROM, SINGLE_TO)
+        for k, v in SEVERAL.items():
+            out = F.replace(out, F.lit(k), F.lit(v))
+        return F.when(F.octet_length(plain) > F.char_length(plain), out).otherwise(plain)
+
+    return let(F.lower(strip(text)), ascii_)
 
 
 def literals(words: Sequence[str]) -> Column:
@@ -76,18 +83,18 @@ def literals(words: Sequence[str]) -> Column:
 def tokenize(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """The sorted distinct tokens of the normalised text, two characters or longer and no stop words; null for null."""
     parts = F.filter(F.split(normalize(text), SPLIT), lambda t: F.length(t) > 1)
-    return F.array_sort(F.array_except(parts, literals(stop_words)))
+    return F.sort_array(F.array_except(parts, literals(stop_words)))
 
 
 def normalize_values(values: Column) -> Column:
     """Distinct normalised values, sorted; null if none is left."""
-    out = F.array_sort(F.array_distinct(F.filter(F.transform(values, normalize), lambda x: F.coalesce(x, F.lit("")) != "")))
+    out = F.sort_array(F.array_distinct(F.filter(F.transform(values, normalize), lambda x: F.coalesce(x, F.lit("")) != "")))
     return F.when(F.size(out) > 0, out)
 
 
 def tokenize_values(values: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """All values' tokens, distinct and sorted; null if there are none."""
-    out = F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(values, lambda x: x.isNotNull()), lambda x: tokenize(x, stop_words)))))
+    out = F.sort_array(F.array_distinct(F.flatten(F.transform(F.filter(values, lambda x: x.isNotNull()), lambda x: tokenize(x, stop_words)))))
     return F.when(F.size(out) > 0, out)
 
 
@@ -95,7 +102,7 @@ def split_single(values: Column) -> Column:
     """Occupations: a list of one value is a text with spaces between values. Distinct and sorted, empty for null."""
     one = F.filter(F.split(F.get(values, F.lit(0)), " "), lambda x: x != "")
     out = F.when(F.size(values) == 1, one).otherwise(values)
-    return F.coalesce(F.array_sort(F.array_distinct(F.filter(out, lambda x: x.isNotNull() & (x != "")))), F.array().cast("array<string>"))
+    return F.coalesce(F.sort_array(F.array_distinct(F.filter(out, lambda x: x.isNotNull() & (x != "")))), F.array().cast("array<string>"))
 
 
 def no_value(values: Column) -> Column:
