@@ -4,7 +4,8 @@ Each document (its ids, then id `eos`) is cut into pieces whose lengths are powe
 fit, then the binary digits of the rest from the largest. A piece is a sequence by itself, so no sequence crosses
 documents and, its length being a power of two, none is padded; sequences of one length form a bucket.
 
-Null text counts as empty: one piece with `eos` alone. Repeated rows are packed each for itself. Null doc_ids are
+Ids are those of the tokenizer's encode(): the content of an added token within a text is that token's id. Null text
+counts as empty: one piece with `eos` alone. Repeated rows are packed each for itself. Null doc_ids are
 kept. Other columns are ignored.
 """
 
@@ -60,8 +61,18 @@ class Chunks(dict):
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.pieces, self.visible = Pieces(self.tokenizer.model), _visible()
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        #: Added tokens that no chunk shows: across white space, or sought in normalised text.
+        self.whole = any(t.normalized or len(chunks_of(f"|{t.content}|")) > 1 for t in added)
+        self.marks = re.compile("|".join(re.escape(t.content) for t in added) or "(?!)")
+
+    def encoded(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
+        if self.marks.search(chunk):
+            out = self[chunk] = self.encoded(chunk)
+            return out
         if PLAIN.fullmatch(chunk):
             found = PIECES.findall(chunk.lower())
             if not chunk.isascii():
@@ -78,7 +89,7 @@ class Chunks(dict):
                 memo.clear()
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, chunks_of(text)))
+        return self.encoded(text) if self.whole else b"".join(map(self.__getitem__, chunks_of(text)))
 
 
 _CHUNKS: dict[str, Chunks] = {}

@@ -116,6 +116,23 @@ def test_chunked_ids_equal_whole(t):
 _MEMO: dict = {}
 
 
+def test_added_tokens_equal_the_library(tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    whole, made = Tokenizer.from_file(path), pack_binary.Chunks(path)
+    for t in ["abc <|endoftext|> def", "abc<|endoftext|>def", "<|startoftext|>É's <|ENDOFTEXT|>\n<|endoftext|><|endoftext|>x", "é<|endoftext|>\u0301a\x1c<|startoftext|>", "<| endoftext |>"]:
+        assert np.frombuffer(made.ids(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
+    assert np.frombuffer(made.ids("abc <|endoftext|> def"), "<u4").tolist() == [5334, 49407, 11649]
+    for n, token in enumerate([AddedToken("two words", normalized=False), AddedToken("<mark>", normalized=True), AddedToken("<one>", single_word=True, normalized=False)]):
+        other = Tokenizer.from_file(path)
+        other.add_tokens([token])
+        other.save(str(tmp_path / f"{n}.json"))
+        made = pack_binary.Chunks(str(tmp_path / f"{n}.json"))
+        for t in ["a two words b", "a <MARK> b<mark>c", "a<one>b <one> c"]:
+            assert np.frombuffer(made.ids(t), "<u4").tolist() == other.encode(t, add_special_tokens=False).ids
+
+
 def test_binary_cuts():
     assert pack_binary.binary_cuts(2 * 2048 + 5, 2048) == [(0, 2048), (2048, 2048), (4096, 4), (4100, 1)]
     with pytest.raises(ValueError):
