@@ -1,20 +1,24 @@
-"""Operator 10: substring deduplication by MinHash banding of paragraphs.
-
-Passages are often pasted into running text, so lines are no reliable unit. A paragraph here runs from one
-content-defined cut to the next: a cut stands between two words whose joint hash is the smallest within `reach`
-places on both sides. A cut depends only on the words around it, so a passage is cut alike wherever it stands, and
-any passage of 50 words holds whole paragraphs (about 9 words each, 5 at least but for a text's first and last).
-
-Paragraphs with the same words are one. Those of `long_words` or more are banded: `bands` tables of `rows` minhashes
-over their 5-word shingles (a pair at a similarity of 0.8 shares no table with a chance of 0.2 %), and colliding ones
-are verified by exact Jaccard on their shingles. Shorter ones are compared by equality alone: with fewer than nine
-shingles one changed word takes any pair below 0.8. Linked paragraphs form components; the first place of each (by
-doc_id, then the text's hash, then position) stays and the others go, if at least `least` words in a row go. Each
-such run is extended word by word on both sides as far as it agrees with the words around the place that stays.
-
-Words are compared with A-Z in lower case; deleted runs leave the white space before them. Null, empty and short
-texts and rows with a null doc_id stay as they are. Repeated rows (same doc_id and text) are one document and stay
-alike; rows that share only a doc_id are told apart by their texts. Extra columns stay.
+"""Operator 10: substring deduplication: repeated windows of words, and MinHash banding of paragraphs.
+
+Exact repeats: every run of `least` words that stands earlier in the corpus goes, whatever its surroundings. The
+smallest hash of short word sequences in each window of `least` words is its fingerprint; fingerprints of one place
+only are dropped (a bitmap lets few others through), and the windows left are held against their first place. A
+window that overlaps its own first place isn't later, so of one word repeated many times `least` words stay.
+
+Near repeats: passages are often pasted into running text, so lines are no reliable unit. A paragraph here runs from
+one content-defined cut to the next: a cut stands between two words whose joint hash is the smallest within `reach`
+places on both sides. A cut depends only on the words around it, so a passage is cut alike wherever it stands.
+Paragraphs of `long_words` or more are banded: `bands` tables of `rows` minhashes over their 5-word shingles (a pair at
+a similarity of 0.8 shares no table with a chance of 0.2 %), and colliding ones are verified by exact Jaccard on their
+shingles. Linked paragraphs form components; the first place of each stays and the others go, extended word by word
+on both sides as far as they agree with the words around the place that stays: up to `least` words, as longer
+agreements are exact repeats anyway. Within one text the words agreed with end before the paragraph itself.
+
+Earlier: by doc_id, then by the text's hash, then by position. Of equal texts under several doc_ids the first alone is
+searched; the others go as a whole. Words are compared with A-Z in lower case; deleted runs leave the white space
+before them. Null and empty texts, texts under `least` words and rows with a null doc_id stay as they are. Repeated
+rows (same doc_id and text) are one document and stay alike; rows that share only a doc_id are told apart by their
+texts. Extra columns stay.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import M1, M2, MOST_BROADCAST, bitmap, cut, maybe_in, mix, pick, shingle_hashes, store, word_hashes
+from linkforge.llm.common import M1, M2, MOST_BROADCAST, bitmap, cut, mix, pick, shingle_hashes, store, word_hashes
 from linkforge.llm.linking import batches, verified_components
 from linkforge.llm.near_minhash import group_minhashes
 
-REACH, LONG_WORDS, BANDS, ROWS, LEAST, AROUND, K = 4, 13, 6, 2, 12, 24, 5
+REACH, LONG_WORDS, BANDS, ROWS, LEAST, K = 4, 13, 6, 2, 12, 5
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -77,33 +81,92 @@ def _beside(docs: DataFrame, found: DataFrame, most: int = MOST_BROADCAST) -> Da
     return _known(docs).join(F.broadcast(found) if found.count() <= most else found, ["doc_id", "th"])
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, th (the text's hash), idx, n words, f1 and f2 (hashes of the words), g (bands; null if short)."""
+def copies(docs: DataFrame) -> DataFrame:
+    """doc_id, th of texts that stand under a smaller doc_id too, and the smallest one, d0."""
+    ids = cut(_known(docs).select("doc_id", "th").distinct())
+    first = ids.groupBy("th").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("x")).where("d0 <> x").select("th", "d0")
+    return cut(ids.join(first, "th").where("doc_id > d0"))
+
+
+def _originals(docs: DataFrame, again: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    gone = again.select("doc_id", "th")
+    return _known(docs).join(F.broadcast(gone) if gone.count() <= most else gone, ["doc_id", "th"], "left_anti")
+
+
+def _grams(texts: list[str | None], least: int) -> tuple[np.ndarray, ...]:
+    """Of the windows of least words in many texts: document, first word, number of the fingerprint's place, fingerprint, and two hashes."""
+    hs = [word_hashes(t) for t in texts]
+    lens = np.array([len(h) for h in hs], dtype=np.int64)
+    h, doc = np.concatenate([*hs, np.empty(0, dtype=np.uint64)]), np.repeat(np.arange(len(hs)), lens)
+    n, size = max(len(h) - least + 1, 0), max(2 * least // 3, 1)
+    s = shingle_hashes(h, size)
+    best, at = s[:n].copy(), np.arange(n)
+    for j in range(1, least - size + 1):
+        less = s[j : j + n] < best
+        best[less], at[less] = s[j : j + n][less], np.flatnonzero(less) + j
+    ok = np.flatnonzero(doc[:n] == doc[least - 1 :]) if n else np.empty(0, dtype=np.int64)
+    x, y = s[ok], s[ok + (least - size)]
+    start = np.cumsum(lens) - lens
+    return doc[ok], ok - start[doc[ok]], at[ok], best[ok].view(np.int64), mix(x * M1 + y).view(np.int64), (mix(y * M2 + x) >> np.uint64(33)).astype("int32")
+
+
+def later_windows(known: DataFrame, least: int = LEAST) -> DataFrame:
+    """doc_id, th, exact: the runs (first word a, word after the last b, document of whose first place the first
+    window is) of windows of least words that stand earlier, in order and apart."""
+
+    def prints(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches(pdfs):
+            _, _, at, fp, _, _ = _grams(part["text"].tolist(), least)
+            x, n = np.unique(fp[np.diff(at, prepend=-1) != 0], return_counts=True)
+            yield pd.DataFrame({"fp": x, "n": n.astype("int32")})
+
+    often = known.select("text").mapInPandas(prints, "fp long, n int").groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp")
+    bits = bitmap(often, "fp")
+    shared, mask = known.sparkSession.sparkContext.broadcast(bits), (len(bits) << 6) - 1
+
+    def windows(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        b = shared.value
+        for part in batches(pdfs):
+            doc, at, _, fp, k1, k2 = _grams(part["text"].tolist(), least)
+            fp = fp & mask
+            hit = (b[fp >> 6] >> (fp & 63)) & 1 == 1
+            doc = doc[hit]
+            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[doc], "th": part["th"].to_numpy()[doc], "at": at[hit].astype("int32"), "k1": k1[hit], "k2": k2[hit]})
+
+    w = store(known.mapInPandas(windows, "doc_id long, th long, at int, k1 long, k2 int"))
+    place = F.struct("doc_id", "th", "at")
+    first = w.groupBy("k1", "k2").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f <> l").select("k1", "k2", "f")
+    same = (F.col("f.doc_id") == F.col("doc_id")) & (F.col("f.th") == F.col("th"))
+    later = w.join(first, ["k1", "k2"]).where((place > F.col("f")) & (~same | (F.col("at") >= F.col("f.at") + least)))
+    per = later.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.struct("at", F.col("f.doc_id").alias("d0")))).alias("s"))  # a document's words at most
+    starts = F.filter("s", lambda x, i: (i == 0) | (F.get("s", i - 1).at + least < x.at))
+    ends = F.filter("s", lambda x, i: F.get("s", i + 1).isNull() | (x.at + least < F.get("s", i + 1).at))
+    both = per.select("doc_id", "th", F.arrays_zip(starts.alias("a"), ends.alias("b")).alias("z"))
+    return cut(both.select("doc_id", "th", F.transform("z", lambda z: F.struct(z.a.at.alias("a"), (z.b.at + least).alias("b"), z.a.d0.alias("of"))).alias("exact")))
+
+
+def paragraphs(known: DataFrame) -> DataFrame:
+    """Of paragraphs of LONG_WORDS or more: doc_id, th (the text's hash), idx, f1 (hash of the words), g (bands)."""
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches(pdfs):
             h, starts, doc = paragraphs_of(part["text"].tolist())
-            if not len(h):
-                continue
             n = np.diff(starts, append=len(h))
+            long = np.flatnonzero(n >= LONG_WORDS)
+            if not len(long):
+                continue
             par = np.repeat(np.arange(len(starts)), n)
             rel = (np.arange(len(h)) - starts[par]).astype(np.uint64)
-            v = mix(h + rel * M1)
-            f1, f2 = np.add.reduceat(v, starts), np.add.reduceat(mix(v + M2), starts)
-            g = np.full(len(starts), None, dtype=object)
-            long = np.flatnonzero(n >= LONG_WORDS)
-            if len(long):
-                sh = shingle_hashes(h, K)
-                inside = par[: len(sh)] == par[K - 1 :] if len(sh) else np.empty(0, dtype=bool)
-                inside &= (n >= LONG_WORDS)[par[: len(sh)]]
-                flat, owner = sh[inside], par[: len(sh)][inside]
-                for i, row in zip(long.tolist(), group_minhashes(flat, np.flatnonzero(np.diff(owner, prepend=-1)), BANDS, ROWS, 21).view(np.int64), strict=True):
-                    g[i] = row
+            f1 = np.add.reduceat(mix(h + rel * M1), starts)[long]
+            sh = shingle_hashes(h, K)
+            inside = (par[: len(sh)] == par[K - 1 :]) & (n >= LONG_WORDS)[par[: len(sh)]]
+            flat, owner = sh[inside], par[: len(sh)][inside]
+            g = group_minhashes(flat, np.flatnonzero(np.diff(owner, prepend=-1)), BANDS, ROWS, 21).view(np.int64)
             first = np.flatnonzero(np.diff(doc, prepend=-1))
-            idx = np.arange(len(starts)) - np.repeat(first, np.diff(first, append=len(starts)))
-            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[doc], "th": part["th"].to_numpy()[doc], "idx": idx.astype("int32"), "n": n.astype("int32"), "f1": f1.view(np.int64), "f2": f2.view(np.int64), "g": g})
+            idx = (np.arange(len(starts)) - np.repeat(first, np.diff(first, append=len(starts))))[long]
+            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[doc[long]], "th": part["th"].to_numpy()[doc[long]], "idx": idx.astype("int32"), "f1": f1.view(np.int64), "g": list(g)})
 
-    return _known(docs).mapInPandas(run, "doc_id long, th long, idx int, n int, f1 long, f2 long, g array<long>")
+    return known.mapInPandas(run, "doc_id long, th long, idx int, f1 long, g array<long>")
 
 
 def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -122,7 +185,7 @@ def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
     return _beside(docs, wanted).select("text", "want").mapInPandas(run, "id long, s array<long>").dropDuplicates(["id"])
 
 
-def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
+def _around(docs: DataFrame, places: DataFrame, most: int) -> DataFrame:
     """places: doc_id, th, idx. The hashes of the words before (nearest first) and behind these paragraphs."""
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,81 +194,58 @@ def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
             for d, th, text, want in zip(part["doc_id"], part["th"], part["text"], part["want"], strict=True):
                 h, starts, _ = paragraphs_of([text])
                 h, ends = h.view(np.int64), [*starts[1:].tolist(), len(h)]
-                out += [(d, th, i, h[max(0, starts[i] - AROUND) : starts[i]][::-1], h[ends[i] : ends[i] + AROUND]) for i in want]
+                out += [(d, th, i, h[max(0, starts[i] - most) : starts[i]][::-1], h[ends[i] : ends[i] + most]) for i in want]
             yield pd.DataFrame(out, columns=["d0", "t0", "i0", "pre", "post"])
 
     wanted = places.groupBy("doc_id", "th").agg(F.collect_set("idx").alias("want"))
     return _beside(docs, wanted).mapInPandas(run, "d0 long, t0 long, i0 int, pre array<long>, post array<long>")
 
 
-def later_places(docs: DataFrame) -> DataFrame:
-    """doc_id, th, idx of paragraphs that repeat an earlier one, and that one's d0, t0, i0."""
-    p = store(paragraphs(docs))
+def near_places(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, th, idx of paragraphs that are linked with an earlier one, and that one's d0, t0, i0."""
+    p = store(paragraphs(known))
     place = F.struct("doc_id", "th", "idx")
-    # repeated rows are one document: places are told apart by the smallest and the largest hash
-    ph = p.select("f1", F.xxhash64("doc_id", "th", "idx").alias("ph"))
-    twice = cut(ph.groupBy("f1").agg(F.min("ph").alias("a"), F.max("ph").alias("b")).where("a <> b").select("f1"))
-    keys = p.where("g is not null").select(F.posexplode("g").alias("i", "x"), F.col("f1").alias("id")).select(F.xxhash64("i", "x").alias("key"), "id")
+    keys = p.select(F.posexplode("g").alias("i", "x"), F.col("f1").alias("id")).select(F.xxhash64("i", "x").alias("key"), "id")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        first = p.where("g is not null").join(ids.withColumnRenamed("id", "f1"), "f1", "left_semi").groupBy("f1").agg(F.min(place).alias("p"))
+        first = p.join(ids.withColumnRenamed("id", "f1"), "f1", "left_semi").groupBy("f1").agg(F.min(place).alias("p"))
         return _sets(docs, first.select("p.*", F.col("f1").alias("id")))
 
     comps = verified_components(keys, sets_of).withColumnRenamed("id", "f1")
-    some = twice.unionByName(comps.select("f1"))
-    hits = store(maybe_in(p.select("doc_id", "th", "idx", "n", "f1", "f2"), "f1", bitmap(some, "f1")))
-    hits = hits.join(some.distinct(), "f1", "left_semi")
-    # equal words have both hashes in common; what is linked is one by its component
-    found = cut(hits.join(comps, "f1", "left").select("doc_id", "th", "idx", "n", F.coalesce("comp", "f1").alias("c"), F.when(F.col("comp").isNull(), F.col("f2")).otherwise(F.lit(0)).alias("c2")).distinct())
-    first = found.groupBy("c", "c2").agg(F.min(place).alias("f"))
-    return found.join(first, ["c", "c2"]).where(place > F.col("f")).select("doc_id", "th", "idx", "n", F.col("f.doc_id").alias("d0"), F.col("f.th").alias("t0"), F.col("f.idx").alias("i0"))
+    found = cut(p.select("doc_id", "th", "idx", "f1").join(comps, "f1").select("doc_id", "th", "idx", "comp").distinct())
+    first = found.groupBy("comp").agg(F.min(place).alias("f"))
+    return cut(found.join(first, "comp").where(place > F.col("f")).select("doc_id", "th", "idx", F.col("f.doc_id").alias("d0"), F.col("f.th").alias("t0"), F.col("f.idx").alias("i0")))
 
 
 def runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """doc_id, th, runs: the paragraphs (first, last) to delete, with the place that stays and the words around it."""
-    later = later_places(docs)
-    at = F.struct("idx", "n", "d0", "t0", "i0")
-    per = later.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(at)).alias("s"))  # a document's paragraphs at most
-    edge = lambda a, b: a.isNull() | b.isNull() | (a.idx + 1 != b.idx)
-    starts = F.filter("s", lambda x, i: edge(F.get("s", i - 1), x))
-    ends = F.filter("s", lambda x, i: edge(x, F.get("s", i + 1)))
-    pairs = per.select("doc_id", "th", "s", F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("r"))
-    inside = F.filter("s", lambda x: x.idx.between(F.col("r.a.idx"), F.col("r.b.idx")))
-    words = F.aggregate(inside, F.lit(0), lambda t, x: t + x.n)
-    of = F.array_min(F.transform(inside, lambda x: x.d0))
-    own = F.exists(inside, lambda x: (x.d0 == F.col("doc_id")) & (x.t0 == F.col("th")))
-    good = cut(pairs.select("doc_id", "th", F.col("r.a").alias("a"), F.col("r.b").alias("b"), words.alias("w"), of.alias("of"), own.alias("own")).where(F.col("w") >= least))
-    kept = lambda c: good.select(F.col(f"{c}.d0").alias("doc_id"), F.col(f"{c}.t0").alias("th"), F.col(f"{c}.i0").alias("idx"))
-    around = cut(_around(docs, kept("a").unionByName(kept("b")).distinct()).dropDuplicates(["d0", "t0", "i0"]))
-    pre = around.select(*[F.col(c).alias(f"a_{c}") for c in ("d0", "t0", "i0")], "pre")
-    post = around.select(*[F.col(c).alias(f"b_{c}") for c in ("d0", "t0", "i0")], "post")
-    flat = good.select("doc_id", "th", "of", "own", F.col("a.idx").alias("first"), F.col("b.idx").alias("last"), *[F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in "ab" for c in ("d0", "t0", "i0")])
-    out = flat.join(pre, ["a_d0", "a_t0", "a_i0"]).join(post, ["b_d0", "b_t0", "b_i0"])
-    return out.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("first", "last", "of", "own", "pre", "post"))).alias("runs"))
-
-
-def spans(h: np.ndarray, starts: np.ndarray, found: list) -> list[tuple[int, int, int]]:
-    """(first word, word after the last, document that keeps it) of the extended runs, apart and in order.
-
-    Where a text keeps a passage that it repeats itself, nothing is extended: the run could reach its own kept place."""
-    alone = any(r["own"] for r in found)
-    h, ends, out = h.view(np.int64), [*starts[1:].tolist(), len(h)], []
-    for r in found:
-        a, b = int(starts[r["first"]]), ends[r["last"]]
-        if not alone:
-            low = out[-1][1] if out else 0
-            for x in r["pre"]:
-                if a <= low or h[a - 1] != x:
-                    break
-                a -= 1
-            for x in r["post"]:
-                if b >= len(h) or h[b] != x:
-                    break
-                b += 1
+    """doc_id, th and what to delete: exact (see later_windows; b -1: the whole text), near: paragraphs with the place
+    that stays and the words around it."""
+    again = copies(docs)
+    known = _originals(docs, again)
+    exact, near = later_windows(known, least), near_places(docs, known)
+    around = cut(_around(docs, near.select(F.col("d0").alias("doc_id"), F.col("t0").alias("th"), F.col("i0").alias("idx")).distinct(), least).dropDuplicates(["d0", "t0", "i0"]))
+    own = (F.col("d0") == F.col("doc_id")) & (F.col("t0") == F.col("th"))
+    per = near.join(around, ["d0", "t0", "i0"]).groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("idx", F.col("d0").alias("of"), own.alias("own"), "i0", "pre", "post"))).alias("near"))
+    whole = again.select("doc_id", "th", F.array(F.struct(F.lit(0).alias("a"), F.lit(-1).alias("b"), F.col("d0").alias("of"))).alias("exact"))
+    return exact.join(per, ["doc_id", "th"], "full").unionByName(whole, allowMissingColumns=True)
+
+
+def spans(h: np.ndarray, starts: np.ndarray, exact: list | None, near: list | None, least: int = LEAST) -> list[tuple[int, int, int]]:
+    """(first word, word after the last, document that keeps its first words) of the deleted runs, apart and in order."""
+    h, ends = h.view(np.int64), [*starts[1:].tolist(), len(h)]
+    found = [(int(r["a"]), len(h) if r["b"] < 0 else int(r["b"]), int(r["of"])) for r in (exact if exact is not None else []) if len(h) >= least]
+    for r in near if near is not None else []:
+        a, b = int(starts[r["idx"]]), int(ends[r["idx"]])
+        # words of the same text: those agreed with end before the paragraph, and it doesn't reach its kept place
+        most = a - ends[r["i0"]] if r["own"] else len(h)
+        pre, post = [x == y for x, y in zip(h[:a][::-1], r["pre"][:most])], [x == y for x, y in zip(h[b:], r["post"][:most])]
+        found.append((a - [*pre, False].index(False), b + [*post, False].index(False), int(r["of"])))
+    out: list[tuple[int, int, int]] = []
+    for a, b, of in sorted(found):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2])
         else:
-            out.append((a, b, int(r["of"])))
+            out.append((a, b, of))
     return out
 
 
@@ -222,16 +262,16 @@ def without(text: str, gone: list[tuple[int, int, int]]) -> str:
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """A row per deleted run: doc_id, first_word, n_words, kept_doc_id (the document where it stays), md5 of its words."""
+    """A row per deleted run: doc_id, first_word, n_words, kept_doc_id (the document where its first words stay), md5 of its words."""
     import hashlib
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches(pdfs, 256):
             out = []
-            for d, th, text, found in zip(part["doc_id"], part["th"], part["text"], part["runs"], strict=True):
+            for d, th, text, exact, near in zip(part["doc_id"], part["th"], part["text"], part["exact"], part["near"], strict=True):
                 h, starts, _ = paragraphs_of([text])
                 w = text.encode(errors="replace").lower().split()
-                for a, b, of in spans(h, starts, found):
+                for a, b, of in spans(h, starts, exact, near):
                     out.append((d, a, b - a, of, hashlib.md5(b" ".join(w[a:b])).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "first_word", "n_words", "kept_doc_id", "words_md5"])
 
@@ -244,9 +284,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches(pdfs, 256):
             out = []
-            for d, th, text, found in zip(part["doc_id"], part["th"], part["text"], part["runs"], strict=True):
+            for d, th, text, exact, near in zip(part["doc_id"], part["th"], part["text"], part["exact"], part["near"], strict=True):
                 h, starts, _ = paragraphs_of([text])
-                gone = spans(h, starts, found)
+                gone = spans(h, starts, exact, near)
                 out.append((d, th, without(text, gone), sum(b - a for a, b, _ in gone)))
             yield pd.DataFrame(out, columns=["new_id", "new_th", "new_text", "n_removed"])
 

@@ -289,6 +289,33 @@ def test_near_paragraphs_are_found(spark):
     assert again.tolist() == [*starts.tolist(), *(starts + 40).tolist()]
 
 
+def windowed(docs, least=12):
+    """Words left, by brute force."""
+    first, out = {}, {}
+    for d, t in sorted(docs):
+        w = t.lower().split()
+        gone = set()
+        for a in range(len(w) - least + 1):
+            at = first.setdefault(tuple(w[a : a + least]), (d, a))
+            if at != (d, a) and not (at[0] == d and a < at[1] + least):
+                gone |= set(range(a, a + least))
+        out[d] = [x for i, x in enumerate(t.split()) if i not in gone]
+    return out
+
+
+def test_every_repeat_of_twelve_words_goes(spark):
+    r = random.Random(5)
+    own = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    docs, shared = [], {}
+    for i, n in enumerate([12, 13, 16, 20, 24, 28, 32, 40, 11, 8] * 3):
+        passage = shared.setdefault(n, own(n))
+        docs.append((i, " ".join([*own(r.randrange(3, 40)), *passage, *own(r.randrange(3, 40))])))
+    docs += [(40, docs[3][1]), (41, "few words here"), (42, "few words here"), (43, "\n".join([" ".join(own(9)), " ".join(shared[13]), " ".join(own(9))]))]
+    got = {x["doc_id"]: x["text"].split() for x in paragraph_minhash.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(7)).collect()}
+    assert got == windowed(docs)
+    assert all(len(got[i]) == len(docs[i][1].split()) - (n if n >= 12 else 0) for i, n in enumerate([12, 13, 16, 20, 24, 28, 32, 40, 11, 8] * 3) if i >= 10)
+
+
 def test_white_space_and_bytes_stay():
     t = "Éa  b\n\nc d\te f"
     assert paragraph_minhash.without(t, [(1, 3, 0)]) == "Éa  d\te f"
