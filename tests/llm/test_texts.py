@@ -316,6 +316,20 @@ def test_every_repeat_of_twelve_words_goes(spark):
     assert all(len(got[i]) == len(docs[i][1].split()) - (n if n >= 12 else 0) for i, n in enumerate([12, 13, 16, 20, 24, 28, 32, 40, 11, 8] * 3) if i >= 10)
 
 
+def test_stretches_of_one_word_go(spark):
+    docs = [(i, " ".join([*(f"a{i}x{j}" for j in range(20)), *["and"] * n, *(f"b{i}x{j}" for j in range(20))])) for i, n in enumerate([296, 50, 948, 11])]
+    got = {x["doc_id"]: x["text"].split() for x in paragraph_minhash.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == windowed(docs)
+    assert [got[i].count("and") for i in range(4)] == [12, 0, 0, 11]
+
+
+def test_a_run_does_not_reach_its_own_kept_place():
+    h, starts = np.array([7] * 40, dtype=np.uint64), np.array([0, 14, 20])
+    r = {"idx": 2, "of": 1, "i0": 0, "pre": [7] * 12, "post": [7] * 12}
+    assert paragraph_minhash.spans(h, starts, None, [r | {"own": True}]) == [(14, 40, 1)]
+    assert paragraph_minhash.spans(h, starts, None, [r | {"own": False}]) == [(8, 40, 1)]
+
+
 def test_white_space_and_bytes_stay():
     t = "Éa  b\n\nc d\te f"
     assert paragraph_minhash.without(t, [(1, 3, 0)]) == "Éa  d\te f"
