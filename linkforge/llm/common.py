@@ -2,49 +2,96 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests), a temporary one of this driver."""
+    """The folder of spark.checkpoint.dir. Where that is unset a local session takes a temporary one; a cluster has no
+    folder that all its machines see, so there it's an error."""
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="linkforge-checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(at)
     return at
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder and cut the lineage; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Files of finished steps in the shared folder; what is gone already is no error."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
 
 
-def store(df: DataFrame) -> DataFrame:
-    """Like cut(), as Parquet: columns of numbers take far less room than a checkpoint's rows."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/linkforge-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Tables of a job's steps, as Parquet in the shared folder: they cut the lineage and survive lost executors.
 
+    As a context it deletes at its end what wasn't kept. drop() deletes a table that no later step reads, and lets the
+    driver's collector free the shuffle files of finished steps.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete(self.spark, *self.paths.values())
+        self.paths.clear()
+        self.collect()
+
+    def collect(self) -> None:
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark).rstrip('/')}/linkforge-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        return out
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Store a result that is read after the context's end."""
+        out = self.store(df)
+        del self.paths[id(out)]
+        return out
+
+    def drop(self, *dfs: DataFrame) -> None:
+        delete(self.spark, *[self.paths.pop(id(d)) for d in dfs if id(d) in self.paths])
+        self.collect()
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Compute once into the shared folder and cut the lineage; the table stays there."""
+    return Scratch(df.sparkSession).keep(df)
 
-#: Ids up to this number are broadcast (8 MB of longs); more are joined by a shuffle.
-MOST_BROADCAST = 1_000_000
+
+#: Ids up to this number are broadcast (2 MB of longs); more are joined by a shuffle.
+MOST_BROADCAST = 250_000
+
+
+def small(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """A stored table of short rows, marked for broadcast if it is counted to hold so few."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def pick(df: DataFrame, ids: DataFrame, how: str = "left_semi", most: int = MOST_BROADCAST) -> DataFrame:
     """Rows of df whose doc_id is among ids (doc_id), or isn't (left_anti). Texts are shuffled only if the ids are many."""
-    ids = cut(ids.select("doc_id").distinct())
-    return df.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", how).select(*df.columns)
+    return df.join(small(keep(ids.select("doc_id").distinct()), most), "doc_id", how).select(*df.columns)
 
 
 def bitmap(ids: DataFrame, column: str, bits: int = 27) -> np.ndarray:
@@ -121,67 +168,31 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return acc
 
 
-#: Edges up to this number are one task's work; more take rounds of joins.
-MOST_EDGES = 250_000
-
-
-def _joined(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Union-find over the edges of all batches."""
-    up: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        root = x
-        while up.setdefault(root, root) != root:
-            root = up[root]
-        while up[x] != root:
-            up[x], x = root, up[x]
-        return root
-
-    for b in pdfs:
-        for x, y in zip(b["a"].tolist(), b["b"].tolist(), strict=True):
-            x, y = find(x), find(y)
-            if x != y:
-                up[max(x, y)] = min(x, y)
-    ids = list(up)
-    yield pd.DataFrame({"id": ids, "comp": [find(x) for x in ids]}, dtype="int64")
-
-
-def components(edges: DataFrame, most_rounds: int = 60, one_task: int = MOST_EDGES) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a long, b long): rows (id, comp), comp the smallest id reachable.
 
-    Few edges (counted) are joined in one task. More take alternating large-star and small-star steps, all on
-    DataFrames: neighbourhoods are reduced by min with map-side combination and never gathered in one place. Each
-    round is checkpointed.
+    Alternating large-star and small-star steps, all on DataFrames: neighbourhoods are reduced by min with map-side
+    combination and never gathered in one place. Each round's edges are a table of their own; they have settled when
+    every node hangs on one node that hangs on none.
     """
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
-    now = cut(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    if now.count() <= one_task:
-        return cut(now.coalesce(1).mapInPandas(_joined, "id long, comp long"))
-
-    def mark(df: DataFrame) -> tuple:
-        r = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return r[0], r[1]
-
-    last = mark(now)
-    for _ in range(most_rounds):
-        if not last[0]:
-            break
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(low.select("a", F.col("m").alias("b")))
-            .where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        )
-        now = cut(small)
-        this = mark(now)
-        if this == last:
-            break
-        last = this
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(
-        now.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct()
-    )
+    with Scratch(edges.sparkSession) as s:
+        now = s.store(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        for _ in range(most_rounds):
+            ends = now.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(now.select(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+            if ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty():
+                break
+            both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+            large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            low = large.groupBy("a").agg(F.min("b").alias("m"))
+            small_star = (
+                large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                .unionByName(low.select("a", F.col("m").alias("b")))
+                .where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+            )
+            last, now = now, s.store(small_star)
+            s.drop(last)
+        else:
+            raise RuntimeError("components did not settle")
+        return s.keep(now.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct()))

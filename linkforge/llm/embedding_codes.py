@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import components, cut
+from linkforge.llm.common import components, keep as cut
 from linkforge.llm.linking import batches
 
 

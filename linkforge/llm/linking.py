@@ -2,18 +2,22 @@
 
 No pair of a bucket's members is ever a row of its own unless one of the two is the bucket's smallest id:
 
-1. every member of a bucket is held against the bucket's smallest id (a star), and what is similar is joined;
-2. buckets whose members are all in one component need no more; neither do buckets of two;
-3. the rest is put into clusters of touching open buckets. Those outside a cluster's largest component are held
-   against all its members, block by block: a task counts the common elements of two bounded blocks over an index
-   of one of them and gives only which components touch.
+1. every member of a bucket is held against the bucket's smallest id (a star): first by size alone, as sets that share
+   4/5 differ in size by a quarter at most, then on the sets, of which only those still wanted are made;
+2. a bucket falls into size classes (powers of 5/4); similar sets stand in one or in neighbouring classes, so a class
+   and the next make up a part of the bucket. Parts whose members are all in one component need no more;
+3. the rest is put into cells: touching open parts of one size class. Members outside a cell's largest component are
+   held against all its members, block by block: a task counts the common elements of two bounded blocks over an
+   index of one of them and gives only which components touch.
 
 So all candidates are decided exactly, whatever the size of a bucket; a bucket that holds many copies is reduced
-with map-side combination and its members are split over blocks.
+with map-side combination and its members are split over blocks. What grows beyond proportion are members that share
+keys and sizes with many others and are similar to none: each is held against all of its cell.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import components, cut
+from linkforge.llm.common import Scratch, components
 
 
 def similar(common, a, b, share: tuple[int, int] = (4, 5)):
@@ -50,46 +54,67 @@ def touching(own: list[np.ndarray], own_comp: np.ndarray, all_: list[np.ndarray]
     return out
 
 
-def verified_components(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], share: tuple[int, int] = (4, 5), block: int = 1024, block_elements: int = 1_000_000) -> DataFrame:
-    """keys (key long, id long): candidates share a key. sets_of(ids): rows (id, s array<long>) with distinct elements.
+def size_class(n, share: tuple[int, int] = (4, 5)):
+    """Sets whose sizes differ by less than share[1] / share[0] are in the same or in neighbouring classes."""
+    return F.floor(F.log(n.cast("double")) / math.log(share[1] / share[0]) + 1e-9).cast("int")
+
+
+def verified_components(keys: DataFrame, sizes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], share: tuple[int, int] = (4, 5), block: int = 1024, block_elements: int = 1_000_000) -> DataFrame:
+    """keys (key long, id long): candidates share a key. sizes (id, n): elements of each set, all distinct.
+    sets_of(ids): rows (id, s array<long>).
 
     Rows (id, comp) of ids with a link; comp: the smallest id reachable.
     """
-    lows = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key", "lo")
-    shared = cut(keys.join(lows, "key").select("key", "id", "lo"))
-    sets = cut(sets_of(shared.select("id").distinct()))
-    left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-    stars = shared.where("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct()
-    common = F.size(F.array_intersect("sa", "sb"))
-    links = cut(stars.join(left, "a").join(right, "b").where(similar(common, F.size("sa"), F.size("sb"), share)).select("a", "b"))
-    first = components(links)
-
-    labelled = shared.select("key", "id").distinct().join(first, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("c"))
-    labelled = cut(labelled)
-    opened = labelled.groupBy("key").agg(F.min("c").alias("m"), F.max("c").alias("x"), F.count(F.lit(1)).alias("n")).where("m <> x and n > 2").select("key", "m")
-    rest = cut(labelled.join(opened, "key").select("id", "c", "m").distinct())
-    if rest.isEmpty():
-        return first
-    clusters = components(rest.select(F.col("c").alias("a"), F.col("m").alias("b")).distinct()).withColumnRenamed("comp", "cluster").withColumnRenamed("id", "c")
-    members = cut(rest.select("id", "c").distinct().join(clusters, "c").join(sets.select("id", F.size("s").alias("n")), "id"))
-    by_comp = members.groupBy("cluster", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t"))
-    stats = by_comp.groupBy("cluster").agg(F.max(F.struct("k", "t", "c")).alias("top"), F.sum("k").alias("k"), F.sum("t").alias("t"))
-    blocks = lambda k, t: F.greatest(F.lit(1), F.ceil(k / F.lit(float(block))), F.ceil(t / F.lit(float(block_elements)))).cast("int")
-    plan = stats.select("cluster", F.col("top.c").alias("top"), blocks(F.col("k"), F.col("t")).alias("nm"), blocks(F.col("k") - F.col("top.k"), F.col("t") - F.col("top.t")).alias("no"))
-    full = members.join(plan, "cluster").join(sets, "id").withColumn("x", F.xxhash64("id"))
-    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    as_member = full.select("cluster", "c", "s", F.lit(False).alias("own"), F.pmod("x", "nm").cast("int").alias("bm"), upto(F.col("no")).alias("bo"))
-    as_own = full.where("c <> top").select("cluster", "c", "s", F.lit(True).alias("own"), F.pmod("x", "no").cast("int").alias("bo"), upto(F.col("nm")).alias("bm"))
-
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf["own"].to_numpy(dtype=bool)
-        s, c = pdf["s"].to_numpy(), pdf["c"].to_numpy(dtype="int64")
-        return pd.DataFrame(sorted(touching(list(s[own]), c[own], list(s[~own]), c[~own], share)), columns=["a", "b"], dtype="int64")
-
-    more = as_member.unionByName(as_own).groupBy("cluster", "bo", "bm").applyInPandas(kernel, "a long, b long")
-    second = components(more).select(F.col("id").alias("comp"), F.col("comp").alias("to"))
-    ids = first.unionByName(second.select(F.col("comp").alias("id"), "comp")).groupBy("id").agg(F.min("comp").alias("comp"))
-    return cut(ids.join(second, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")))
+    with Scratch(keys.sparkSession) as t:
+        lows = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key", "lo")
+        shared = t.store(keys.join(lows, "key").select("key", "id", "lo"))
+        t.collect()
+        sizes = t.store(sizes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "n"))
+        a, b = sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"))
+        stars = shared.where("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct().join(a, "a").join(b, "b")
+        stars = t.store(stars.where(similar(F.least("na", "nb"), F.col("na"), F.col("nb"), share)))
+        sets = t.store(sets_of(stars.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
+        left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+        links = t.store(stars.join(left, "a").join(right, "b").where(similar(F.size(F.array_intersect("sa", "sb")), F.size("sa"), F.size("sb"), share)).select("a", "b"))
+        t.drop(stars, sets)
+        first = components(links)
+        t.drop(links)
+
+        labelled = t.store(shared.select("key", "id").join(first, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("c")))
+        t.drop(shared)
+        opened = labelled.groupBy("key").agg(F.min("c").alias("m"), F.max("c").alias("x"), F.count(F.lit(1)).alias("n")).where("m <> x and n > 2").select("key")
+        z = size_class(F.col("n"), share)
+        parts = t.store(labelled.join(opened, "key").join(sizes, "id").select("key", "id", "c", "n", F.explode(F.array(z, z + 1)).alias("z")))
+        t.drop(labelled)
+        opened = parts.groupBy("key", "z").agg(F.min("c").alias("m"), F.max("c").alias("x")).where("m <> x").select("key", "z", "m")
+        rest = t.store(parts.join(opened, ["key", "z"]).select("id", "c", "n", "z", "m").distinct())
+        t.drop(parts)
+        if rest.isEmpty():
+            return t.keep(first)
+        clusters = components(rest.select(F.col("c").alias("a"), F.col("m").alias("b")).distinct()).select(F.col("id").alias("c"), F.col("comp").alias("cluster"))
+        members = t.store(rest.select("id", "c", "n", "z").distinct().join(clusters, "c"))
+        t.drop(rest)
+        cell = ["cluster", "z"]
+        by_comp = members.groupBy(*cell, "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t"))
+        stats = by_comp.groupBy(*cell).agg(F.max_by(F.struct("c", "k", "t"), F.struct("k", "t", "c")).alias("top"), F.sum("k").alias("k"), F.sum("t").alias("t"))
+        blocks = lambda k, t: F.greatest(F.lit(1), F.ceil(k / F.lit(float(block))), F.ceil(t / F.lit(float(block_elements)))).cast("int")
+        plan = stats.select(*cell, F.col("top.c").alias("top"), blocks(F.col("k"), F.col("t")).alias("nm"), blocks(F.col("k") - F.col("top.k"), F.col("t") - F.col("top.t")).alias("no"))
+        sets = t.store(sets_of(members.select("id").distinct()))
+        full = members.join(plan, cell).join(sets, "id").withColumn("x", F.xxhash64("id"))
+        upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        as_member = full.select(*cell, "c", "s", F.lit(False).alias("own"), F.pmod("x", "nm").cast("int").alias("bm"), upto(F.col("no")).alias("bo"))
+        as_own = full.where("c <> top").select(*cell, "c", "s", F.lit(True).alias("own"), F.pmod("x", "no").cast("int").alias("bo"), upto(F.col("nm")).alias("bm"))
+
+        def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+            own = pdf["own"].to_numpy(dtype=bool)
+            s, c = pdf["s"].to_numpy(), pdf["c"].to_numpy(dtype="int64")
+            return pd.DataFrame(sorted(touching(list(s[own]), c[own], list(s[~own]), c[~own], share)), columns=["a", "b"], dtype="int64")
+
+        more = t.store(as_member.unionByName(as_own).groupBy(*cell, "bo", "bm").applyInPandas(kernel, "a long, b long"))
+        t.drop(members, sets)
+        second = components(more).select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+        ids = first.unionByName(second.select(F.col("comp").alias("id"), "comp")).groupBy("id").agg(F.min("comp").alias("comp"))
+        return t.keep(ids.join(second, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")))
 
 
 def batches(pdfs: Iterator[pd.DataFrame], rows: int = 512) -> Iterator[pd.DataFrame]:

@@ -4,7 +4,7 @@ Each document's set of k-word shingles is hashed. Instead of one independent gro
 tables there are two small collections: `a` groups of `ka` minhashes and `b` groups of `kb`. Table (i, j) is keyed by
 the pair of the i-th group of the one and the j-th of the other, so a * ka + b * kb minhashes serve a * b tables of
 depth ka + kb; the pairs are formed in the JVM from the a + b groups. At a similarity of exactly 0.8 the chance to
-share no table is (1 - 0.8^ka)^a + (1 - 0.8^kb)^b, 0.008 % by default, and it falls fast above.
+share no table is (1 - 0.8^ka)^a + (1 - 0.8^kb)^b at most, 0.075 % by default, and it falls fast above.
 
 Documents with equal sets are one node from the start. Candidates are decided on the full sets (see linking), so no
 link is drawn below the threshold. Links: share[0] / share[1] of the union or more.
@@ -24,10 +24,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import M1, components, cut, mix, pick, shingle_hashes, word_hashes
+from linkforge.llm.common import M1, Scratch, components, mix, pick, shingle_hashes, word_hashes
 from linkforge.llm.linking import batches, verified_components
 
-TENSOR = (10, 2, 14, 3)
+TENSOR = (11, 3, 11, 3)
 
 
 def _constants(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,30 +87,36 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 
 def classes(docs: DataFrame, k: int = 2, share: tuple[int, int] = (4, 5), tensor: tuple[int, int, int, int] = TENSOR) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept."""
-    base = cut(sketches(docs, k, tensor))
-    some = base.where("doc_id is not null and n_shingles > 0")
-    # equal sets, and rows that share a doc_id, are one node; its id is the smallest doc_id
-    nodes = cut(some.groupBy("f1", "f2").agg(F.min("doc_id").alias("id")))
-    many = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("f1", "f2")).alias("lo"), F.max(F.struct("f1", "f2")).alias("hi")).where("lo <> hi").select("doc_id")
-    own = some.join(nodes, ["f1", "f2"])
-    same = own.join(many, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("id").alias("lo"), F.collect_set("id").alias("ids")).select(F.explode("ids").alias("a"), F.col("lo").alias("b"))
-    reps = own.where(F.col("doc_id") == F.col("id"))
-    cells = reps.select("id", F.posexplode("ga").alias("i", "x"), "gb").select("id", "i", "x", F.posexplode("gb").alias("j", "y"))
-    keys = cells.select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
-    text = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
-    def sets_of(ids: DataFrame) -> DataFrame:
-        # a doc_id with several texts stands for the union of their shingles
-        got = shingle_sets(pick(text, ids.select(F.col("id").alias("doc_id"))), k)
-        twice = got.join(many.select(F.col("doc_id").alias("id")), "id", "left_semi").select("id", F.explode("s").alias("x")).groupBy("id").agg(F.collect_set("x").alias("s"))
-        return got.join(many.select(F.col("doc_id").alias("id")), "id", "left_anti").unionByName(twice)
-
-    linked = verified_components(keys, sets_of, share)
-    edges = linked.select(F.col("id").alias("a"), F.col("comp").alias("b"))
-    again = same.where("a <> b")
-    comps = linked if again.isEmpty() else components(edges.unionByName(again))
-    ids = nodes.join(comps, "id", "left").select("f1", "f2", F.coalesce("comp", "id").alias("component_id"))
-    out = base.join(ids, ["f1", "f2"], "left")
+    with Scratch(docs.sparkSession) as t:
+        base = t.store(sketches(docs, k, tensor))
+        some = base.where("doc_id is not null and n_shingles > 0")
+        # equal sets, and rows that share a doc_id, are one node; its id is the smallest doc_id
+        nodes = some.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"))
+        many = t.store(some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+        own = t.store(some.select("doc_id", "f1", "f2", "n_shingles").join(nodes, ["f1", "f2"]))
+        same = t.store(own.join(many, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("id").alias("lo"), F.collect_set("id").alias("ids")).select(F.explode("ids").alias("a"), F.col("lo").alias("b")).where("a <> b"))
+        reps = some.join(own.where("doc_id = id").select("doc_id", "f1", "f2").distinct(), ["doc_id", "f1", "f2"], "left_semi").select(F.col("doc_id").alias("id"), "ga", "gb")
+        cells = reps.select("id", F.posexplode("ga").alias("i", "x"), "gb").select("id", "i", "x", F.posexplode("gb").alias("j", "y"))
+        keys = cells.select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
+        text = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        several = many.select(F.col("doc_id").alias("id"))
+
+        def sets_of(ids: DataFrame) -> DataFrame:
+            # a doc_id with several rows stands for the union of their shingles
+            got = shingle_sets(pick(text, ids.select(F.col("id").alias("doc_id"))), k)
+            if not repeated:
+                return got
+            twice = got.join(several, "id", "left_semi").select("id", F.explode("s").alias("x")).groupBy("id").agg(F.collect_set("x").alias("s"))
+            return got.join(several, "id", "left_anti").unionByName(twice)
+
+        repeated = not several.isEmpty()
+        sizes = own.where("doc_id = id").select("id", F.col("n_shingles").alias("n"))
+        if repeated:
+            sizes = sizes.join(several, "id", "left_anti").unionByName(sets_of(several).select("id", F.size("s").cast("long").alias("n")))
+        linked = verified_components(keys, sizes, sets_of, share)
+        comps = linked if same.isEmpty() else components(linked.select(F.col("id").alias("a"), F.col("comp").alias("b")).unionByName(same))
+        ids = nodes.join(comps, "id", "left").select("f1", "f2", F.coalesce("comp", "id").alias("component_id"))
+        out = t.keep(base.select("doc_id", "n_shingles", "f1", "f2").join(ids, ["f1", "f2"], "left"))
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

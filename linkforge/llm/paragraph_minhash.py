@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import M1, M2, MOST_BROADCAST, bitmap, cut, mix, pick, shingle_hashes, store, word_hashes
+from linkforge.llm.common import M1, M2, MOST_BROADCAST, bitmap, keep as cut, mix, pick, shingle_hashes, keep as store, word_hashes
 from linkforge.llm.linking import batches, verified_components
 from linkforge.llm.near_minhash import group_minhashes
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import cut, pick
+from linkforge.llm.common import keep as cut, pick
 from linkforge.llm.native import let, words
 
 D = 5
