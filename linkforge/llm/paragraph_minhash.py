@@ -1,245 +1,270 @@
-"""Operator 10: substring deduplication: repeated windows of words, and MinHash banding of paragraphs.
-
-Exact repeats: every run of `least` words that stands earlier in the corpus goes, whatever its surroundings. The
-smallest hash of short word sequences in each window of `least` words is its fingerprint; fingerprints of one place
-only are dropped (a bitmap lets few others through), and the windows left are held against their first place. A
-window that overlaps its own first place isn't later, so of one word repeated many times `least` words stay.
-
-Near repeats: passages are often pasted into running text, so lines are no reliable unit. A paragraph here runs from
-one content-defined cut to the next: a cut stands between two words whose joint hash is the smallest within `reach`
-places on both sides. A cut depends only on the words around it, so a passage is cut alike wherever it stands.
-Paragraphs of `long_words` or more are banded: `bands` tables of `rows` minhashes over their 5-word shingles (a pair at
-a similarity of 0.8 shares no table with a chance of 0.2 %), and colliding ones are verified by exact Jaccard on their
-shingles. Linked paragraphs form components; the first place of each stays and the others go, extended word by word
-on both sides as far as they agree with the words around the place that stays: up to `least` words, as longer
-agreements are exact repeats anyway. Within one text the words agreed with end before the paragraph itself.
-
-Earlier: by doc_id, then by the text's hash, then by position. Of equal texts under several doc_ids the first alone is
+"""Operator 10: substring deduplication by MinHash banding of paragraphs.
+
+A paragraph is a line of `least` words or more. Each has the set of its 5-word shingles, `bands` tables of `rows`
+minhashes (a pair at a similarity of 0.8 shares no table with a chance of 0.2 %); colliding paragraphs are verified by
+exact Jaccard on their sets and joined into components (see linking). The first place of each component stays, the
+other paragraphs go.
+
+Passages are often pasted into running text, so lines are no reliable unit for them. Beside its lines a text is
+therefore cut into small pieces at content-defined places: a cut stands between two words whose joint hash is the
+smallest within `reach` places on both sides, at both ends of a stretch of one word, and `longest` words after the last
+cut at the latest (in such a stretch `least` words, so of one word fewer than that may stay). Cuts depend only on the words around them, so a passage is cut alike wherever it stands: of 51
+words, 99.9 % hold a whole piece in any surroundings, of 40 words 99 %. A piece that stands earlier is held against its
+first place; pieces that follow each other there as here are one run, which is extended word by word on both sides
+over up to `longest` words, as whole pieces beyond that have matched themselves. Runs that only `gap` words or fewer
+part, here and there, are one where 4/5 of its words agree. Runs of `least` words or more go, shorter ones stay: they
+are too common to be copies, and line deduplication is for those.
+
+Earlier: in a text with a smaller doc_id, or the same one and a smaller hash. What a text repeats of itself stays, as
+that is no copy between documents (quality rules see to it); with within=True it goes but for its first place. Of equal texts under several doc_ids the first alone is
 searched; the others go as a whole. Words are compared with A-Z in lower case; deleted runs leave the white space
-before them. Null and empty texts, texts under `least` words and rows with a null doc_id stay as they are. Repeated
-rows (same doc_id and text) are one document and stay alike; rows that share only a doc_id are told apart by their
-texts. Extra columns stay.
+before them. Null and empty texts, texts under `least` words and rows with a null doc_id stay as they are. Texts of any
+length are searched whole; a very long one is one row of work. Repeated rows (same doc_id and text) are one document
+and stay alike; rows that share only a doc_id are told apart by their texts. Empty tables give empty ones. Extra
+columns stay; a column n_removed is replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from linkforge.llm.common import M1, M2, MOST_BROADCAST, bitmap, keep as cut, mix, pick, shingle_hashes, keep as store, word_hashes
+from linkforge.llm.common import _MEMO, M1, M2, Scratch, bitmap, maybe_in, mix, pick, shingle_hashes, small, word_hashes
 from linkforge.llm.linking import batches, verified_components
 from linkforge.llm.near_minhash import group_minhashes
 
-REACH, LONG_WORDS, BANDS, ROWS, LEAST, K = 4, 13, 6, 2, 12, 5
+REACH, LONGEST, BANDS, ROWS, LEAST, GAP, K = 5, 48, 6, 2, 30, 4, 5
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def cut_places(h: np.ndarray, doc: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Starts of paragraphs in the words of many documents; doc: the number of each word's document, ascending."""
+def piece_starts(h: np.ndarray, doc: np.ndarray, reach: int = REACH, longest: int = LONGEST) -> np.ndarray:
+    """Starts of pieces in the words of many documents; doc: the number of each word's document, ascending."""
     n = len(h)
     if not n:
         return np.empty(0, dtype=np.int64)
     joint = mix(h[:-1] * M1 + h[1:] * M2)
-    ok = doc[:-1] == doc[1:]
+    together = doc[:-1] == doc[1:]
+    ok = together.copy()
     for s in range(1, reach + 1):  # the leftmost of equals; places in other documents don't count
         same = doc[s:-1] == doc[: -s - 1]
         ok[s:] &= ~same | (joint[s:] < joint[:-s])
         same = doc[:-1][:-s] == doc[s + 1 :]
         ok[:-s] &= ~same | (joint[:-s] <= joint[s:])
-    first = np.flatnonzero(np.diff(doc, prepend=-1))
-    return np.union1d(first, np.flatnonzero(ok) + 1)
+    again = np.concatenate([[False], together & (h[:-1] == h[1:]), [False]]).astype(np.int8)
+    a, b = np.flatnonzero(np.diff(again) == 1), np.flatnonzero(np.diff(again) == -1) + 1
+    a, b = a[b - a > reach], b[b - a > reach]  # stretches of one word
+    edge = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edge, a, 1)
+    np.add.at(edge, b, -1)
+    inside = np.cumsum(edge)[:n] > 0
+    firsts = np.flatnonzero(np.diff(doc, prepend=-1))
+    cuts = np.flatnonzero(ok) + 1
+    starts = np.unique(np.concatenate([firsts, cuts[~(inside[cuts] & inside[cuts - 1])], a, b]))
+    starts = starts[starts < n]
+    most = np.where(inside[starts], LEAST, longest)
+    more = (np.diff(starts, append=n) - 1) // most
+    step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    return np.union1d(starts, np.repeat(starts, more) + step * np.repeat(most, more))
+
+
+def parsed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of many texts, each word's text, and the first words and numbers of words of all lines."""
+    hashes, counts, lens = [], [], []
+    for t in texts:
+        lines = [x.split() for x in t.encode(errors="replace").lower().split(b"\n")]
+        own = list(map(len, lines))
+        counts += own
+        hashes.append(_MEMO.of(list(chain.from_iterable(lines))))
+        lens.append(len(hashes[-1]))
+    n = np.array(counts, dtype=np.int64)
+    return np.concatenate([*hashes, np.empty(0, dtype=np.uint64)]), np.repeat(np.arange(len(texts)), lens), np.cumsum(n) - n, n
+
+
+def units(known: DataFrame, least: int = LEAST) -> DataFrame:
+    """doc_id, th (the text's hash), a (first word), n (words), f (hash of the words) of all pieces, and of paragraphs
+    (g: their bands, k: number of their shingles; null for pieces)."""
+
+    def hashed(h: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+        at = np.repeat(starts, n) + (within := np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        return mix(np.add.reduceat(mix(h[at] + within.astype(np.uint64) * M1), np.cumsum(n) - n) + n.astype(np.uint64)).view(np.int64)
 
-
-def paragraphs_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, paragraph starts, document of each paragraph) of many texts."""
-    hs = [word_hashes(t) for t in texts]
-    lens = np.array([len(h) for h in hs], dtype=np.int64)
-    h = np.concatenate([*hs, np.empty(0, dtype=np.uint64)])
-    doc = np.repeat(np.arange(len(hs)), lens)
-    starts = cut_places(h, doc)
-    return h, starts, doc[starts] if len(h) else starts
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches(pdfs, 256):
+            h, doc, lines, n = parsed(part["text"].tolist())
+            if not len(h):
+                continue
+            ids, ths, begin = part["doc_id"].to_numpy(), part["th"].to_numpy(), np.searchsorted(doc, np.arange(len(part)))
+            starts = piece_starts(h, doc)
+            sizes = np.diff(starts, append=len(h))
+            whole = sizes > REACH
+            starts, sizes = starts[whole], sizes[whole]
+            if len(starts):
+                d = doc[starts]
+                yield pd.DataFrame({"doc_id": ids[d], "th": ths[d], "a": (starts - begin[d]).astype("int32"), "n": sizes.astype("int32"), "f": hashed(h, starts, sizes), "k": pd.array([None] * len(d), dtype="Int32"), "g": None})
+            long = n >= least
+            lines, n = lines[long], n[long]
+            if len(lines):
+                d, m = doc[lines], n - K + 1
+                at = np.repeat(lines, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+                flat, first = shingle_hashes(h, K)[at], np.cumsum(m) - m
+                g = group_minhashes(flat, first, BANDS, ROWS, 21).view(np.int64)
+                k = [len(np.unique(flat[x : x + y])) for x, y in zip(first.tolist(), m.tolist(), strict=True)]
+                yield pd.DataFrame({"doc_id": ids[d], "th": ths[d], "a": (lines - begin[d]).astype("int32"), "n": n.astype("int32"), "f": hashed(h, lines, n), "k": pd.array(k, dtype="Int32"), "g": list(g)})
+
+    return known.mapInPandas(run, "doc_id long, th long, a int, n int, f long, k int, g array<long>")
 
 
 def _known(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
 
-def _of_docs(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """found (doc_id, th and more), with the text; repeated rows once."""
-    found = cut(found)
-    return _known(pick(docs, found)).dropDuplicates(["doc_id", "th"]).join(found, ["doc_id", "th"])
-
-
-def _beside(docs: DataFrame, found: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
-    """The same for few small rows of found: they go to the texts. Repeated rows come more than once."""
-    found = cut(found)
-    return _known(docs).join(F.broadcast(found) if found.count() <= most else found, ["doc_id", "th"])
+def _texts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """found (doc_id, th and more; stored) with the texts; repeated rows come more than once."""
+    ids = found.select("doc_id").distinct()
+    return _known(pick(docs, ids)).join(found, ["doc_id", "th"])
 
 
 def copies(docs: DataFrame) -> DataFrame:
     """doc_id, th of texts that stand under a smaller doc_id too, and the smallest one, d0."""
-    ids = cut(_known(docs).select("doc_id", "th").distinct())
+    ids = _known(docs).select("doc_id", "th").distinct()
     first = ids.groupBy("th").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("x")).where("d0 <> x").select("th", "d0")
-    return cut(ids.join(first, "th").where("doc_id > d0"))
-
-
-def _originals(docs: DataFrame, again: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
-    gone = again.select("doc_id", "th")
-    return _known(docs).join(F.broadcast(gone) if gone.count() <= most else gone, ["doc_id", "th"], "left_anti")
-
-
-def _grams(texts: list[str | None], least: int) -> tuple[np.ndarray, ...]:
-    """Of the windows of least words in many texts: document, first word, number of the fingerprint's place, fingerprint, and two hashes."""
-    hs = [word_hashes(t) for t in texts]
-    lens = np.array([len(h) for h in hs], dtype=np.int64)
-    h, doc = np.concatenate([*hs, np.empty(0, dtype=np.uint64)]), np.repeat(np.arange(len(hs)), lens)
-    n, size = max(len(h) - least + 1, 0), max(2 * least // 3, 1)
-    s = shingle_hashes(h, size)
-    best, at = s[:n].copy(), np.arange(n)
-    for j in range(1, least - size + 1):
-        less = s[j : j + n] < best
-        best[less], at[less] = s[j : j + n][less], np.flatnonzero(less) + j
-    ok = np.flatnonzero(doc[:n] == doc[least - 1 :]) if n else np.empty(0, dtype=np.int64)
-    x, y = s[ok], s[ok + (least - size)]
-    start = np.cumsum(lens) - lens
-    return doc[ok], ok - start[doc[ok]], at[ok], best[ok].view(np.int64), mix(x * M1 + y).view(np.int64), (mix(y * M2 + x) >> np.uint64(33)).astype("int32")
-
-
-def later_windows(known: DataFrame, least: int = LEAST) -> DataFrame:
-    """doc_id, th, exact: the runs (first word a, word after the last b, document of whose first place the first
-    window is) of windows of least words that stand earlier, in order and apart."""
-
-    def prints(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches(pdfs):
-            _, _, at, fp, _, _ = _grams(part["text"].tolist(), least)
-            x, n = np.unique(fp[np.diff(at, prepend=-1) != 0], return_counts=True)
-            yield pd.DataFrame({"fp": x, "n": n.astype("int32")})
-
-    often = known.select("text").mapInPandas(prints, "fp long, n int").groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp")
-    bits = bitmap(often, "fp")
-    shared, mask = known.sparkSession.sparkContext.broadcast(bits), (len(bits) << 6) - 1
-
-    def windows(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = shared.value
-        for part in batches(pdfs):
-            doc, at, _, fp, k1, k2 = _grams(part["text"].tolist(), least)
-            fp = fp & mask
-            hit = (b[fp >> 6] >> (fp & 63)) & 1 == 1
-            doc = doc[hit]
-            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[doc], "th": part["th"].to_numpy()[doc], "at": at[hit].astype("int32"), "k1": k1[hit], "k2": k2[hit]})
-
-    w = store(known.mapInPandas(windows, "doc_id long, th long, at int, k1 long, k2 int"))
-    place = F.struct("doc_id", "th", "at")
-    first = w.groupBy("k1", "k2").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f <> l").select("k1", "k2", "f")
-    same = (F.col("f.doc_id") == F.col("doc_id")) & (F.col("f.th") == F.col("th"))
-    later = w.join(first, ["k1", "k2"]).where((place > F.col("f")) & (~same | (F.col("at") >= F.col("f.at") + least)))
-    per = later.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.struct("at", F.col("f.doc_id").alias("d0")))).alias("s"))  # a document's words at most
-    starts = F.filter("s", lambda x, i: (i == 0) | (F.get("s", i - 1).at + least < x.at))
-    ends = F.filter("s", lambda x, i: F.get("s", i + 1).isNull() | (x.at + least < F.get("s", i + 1).at))
-    both = per.select("doc_id", "th", F.arrays_zip(starts.alias("a"), ends.alias("b")).alias("z"))
-    return cut(both.select("doc_id", "th", F.transform("z", lambda z: F.struct(z.a.at.alias("a"), (z.b.at + least).alias("b"), z.a.d0.alias("of"))).alias("exact")))
-
-
-def paragraphs(known: DataFrame) -> DataFrame:
-    """Of paragraphs of LONG_WORDS or more: doc_id, th (the text's hash), idx, f1 (hash of the words), g (bands)."""
+    return ids.join(first, "th").where("doc_id > d0")
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches(pdfs):
-            h, starts, doc = paragraphs_of(part["text"].tolist())
-            n = np.diff(starts, append=len(h))
-            long = np.flatnonzero(n >= LONG_WORDS)
-            if not len(long):
-                continue
-            par = np.repeat(np.arange(len(starts)), n)
-            rel = (np.arange(len(h)) - starts[par]).astype(np.uint64)
-            f1 = np.add.reduceat(mix(h + rel * M1), starts)[long]
-            sh = shingle_hashes(h, K)
-            inside = (par[: len(sh)] == par[K - 1 :]) & (n >= LONG_WORDS)[par[: len(sh)]]
-            flat, owner = sh[inside], par[: len(sh)][inside]
-            g = group_minhashes(flat, np.flatnonzero(np.diff(owner, prepend=-1)), BANDS, ROWS, 21).view(np.int64)
-            first = np.flatnonzero(np.diff(doc, prepend=-1))
-            idx = (np.arange(len(starts)) - np.repeat(first, np.diff(first, append=len(starts))))[long]
-            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[doc[long]], "th": part["th"].to_numpy()[doc[long]], "idx": idx.astype("int32"), "f1": f1.view(np.int64), "g": list(g)})
 
-    return known.mapInPandas(run, "doc_id long, th long, idx int, f1 long, g array<long>")
+PLACE = ["doc_id", "th", "a"]
 
 
-def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """places: doc_id, th, idx, id. The distinct shingles of these paragraphs: id, s."""
+def near_paragraphs(docs: DataFrame, paragraphs: DataFrame, within: bool = False) -> DataFrame:
+    """doc_id, th, a, n of paragraphs equal or similar to an earlier one, and the document d0 of the component's first."""
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sets(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches(pdfs, 256):
             out = []
             for text, want in zip(part["text"], part["want"], strict=True):
-                h, starts, _ = paragraphs_of([text])
-                ends = [*starts[1:].tolist(), len(h)]
-                out += [(w["id"], np.unique(shingle_hashes(h[starts[w["idx"]] : ends[w["idx"]]], K)).view(np.int64)) for w in want]
+                h = word_hashes(text)
+                out += [(w["id"], np.unique(shingle_hashes(h[w["a"] : w["a"] + w["n"]], K)).view(np.int64)) for w in want]
             yield pd.DataFrame(out, columns=["id", "s"])
 
-    wanted = places.groupBy("doc_id", "th").agg(F.collect_list(F.struct("idx", "id")).alias("want"))  # a document's at most
-    return _beside(docs, wanted).select("text", "want").mapInPandas(run, "id long, s array<long>").dropDuplicates(["id"])
+    with Scratch(docs.sparkSession) as t:
+        place = F.struct(*PLACE)
+        keys = paragraphs.select(F.posexplode("g").alias("i", "x"), F.col("f").alias("id")).select(F.xxhash64("i", "x").alias("key"), "id")
+        first = paragraphs.groupBy(F.col("f").alias("id")).agg(F.min(F.struct(*PLACE, "n")).alias("p"), F.max("k").cast("long").alias("n"))
+        first = t.store(first)
+
+        def sets_of(ids: DataFrame) -> DataFrame:
+            wanted = first.join(ids, "id", "left_semi").groupBy("p.doc_id", "p.th").agg(F.collect_list(F.struct(F.col("p.a").alias("a"), F.col("p.n").alias("n"), "id")).alias("want"))  # a document's at most
+            return _texts(docs, t.store(wanted)).select("text", "want").mapInPandas(sets, "id long, s array<long>")
+
+        comps = verified_components(keys, first.select("id", "n"), sets_of).withColumnRenamed("id", "f")
+        found = t.store(paragraphs.select(*PLACE, "n", "f").join(comps, "f", "left").select(*PLACE, "n", F.coalesce("comp", "f").alias("comp")).distinct())
+        kept = found.groupBy("comp").agg(F.min(place).alias("p"), F.max(place).alias("x")).where("p <> x").select("comp", "p")
+        later = place > F.col("p") if within else ~((F.col("doc_id") == F.col("p.doc_id")) & (F.col("th") == F.col("p.th")))
+        return t.keep(found.join(kept, "comp").where(later).select(*PLACE, "n", F.col("p.doc_id").alias("d0")))
+
+
+def chains(pieces: list) -> list[tuple[int, int, int, int, int, int]]:
+    """Pieces (a, n, d0, t0, a0) of a text -> (a, b, d0, t0, a0, b0): those that follow each other here and there are one."""
+    out: list[list[int]] = []
+    for p in sorted(pieces, key=lambda p: p["a"]):
+        a, n, d0, t0, a0 = (int(p[x]) for x in ("a", "n", "d0", "t0", "a0"))
+        if out and out[-1][1] == a and out[-1][2] == d0 and out[-1][3] == t0 and out[-1][5] == a0:
+            out[-1][1], out[-1][5] = a + n, a0 + n
+        else:
+            out.append([a, a + n, d0, t0, a0, a0 + n])
+    return [tuple(x) for x in out]
+
 
+def repeated_runs(docs: DataFrame, pieces: DataFrame, within: bool = False) -> DataFrame:
+    """doc_id, th, runs: chains of pieces that stand earlier, with the words around their first place (pre: nearest first)."""
 
-def _around(docs: DataFrame, places: DataFrame, most: int) -> DataFrame:
-    """places: doc_id, th, idx. The hashes of the words before (nearest first) and behind these paragraphs."""
+    def chained(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in pdfs:
+            out = [(d, th, *c) for d, th, p in zip(x["doc_id"].tolist(), x["th"].tolist(), x["pieces"], strict=True) for c in chains(p)]
+            yield pd.DataFrame(out, columns=["doc_id", "th", "a", "b", "d0", "t0", "a0", "b0"])
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def around(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches(pdfs, 256):
             out = []
-            for d, th, text, want in zip(part["doc_id"], part["th"], part["text"], part["want"], strict=True):
-                h, starts, _ = paragraphs_of([text])
-                h, ends = h.view(np.int64), [*starts[1:].tolist(), len(h)]
-                out += [(d, th, i, h[max(0, starts[i] - most) : starts[i]][::-1], h[ends[i] : ends[i] + most]) for i in want]
-            yield pd.DataFrame(out, columns=["d0", "t0", "i0", "pre", "post"])
-
-    wanted = places.groupBy("doc_id", "th").agg(F.collect_set("idx").alias("want"))
-    return _beside(docs, wanted).mapInPandas(run, "d0 long, t0 long, i0 int, pre array<long>, post array<long>")
-
-
-def near_places(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """doc_id, th, idx of paragraphs that are linked with an earlier one, and that one's d0, t0, i0."""
-    p = store(paragraphs(known))
-    place = F.struct("doc_id", "th", "idx")
-    keys = p.select(F.posexplode("g").alias("i", "x"), F.col("f1").alias("id")).select(F.xxhash64("i", "x").alias("key"), "id")
-
-    def sets_of(ids: DataFrame) -> DataFrame:
-        first = p.join(ids.withColumnRenamed("id", "f1"), "f1", "left_semi").groupBy("f1").agg(F.min(place).alias("p"))
-        return _sets(docs, first.select("p.*", F.col("f1").alias("id")))
-
-    comps = verified_components(keys, sets_of).withColumnRenamed("id", "f1")
-    found = cut(p.select("doc_id", "th", "idx", "f1").join(comps, "f1").select("doc_id", "th", "idx", "comp").distinct())
-    first = found.groupBy("comp").agg(F.min(place).alias("f"))
-    return cut(found.join(first, "comp").where(place > F.col("f")).select("doc_id", "th", "idx", F.col("f.doc_id").alias("d0"), F.col("f.th").alias("t0"), F.col("f.idx").alias("i0")))
-
-
-def runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """doc_id, th and what to delete: exact (see later_windows; b -1: the whole text), near: paragraphs with the place
-    that stays and the words around it."""
-    again = copies(docs)
-    known = _originals(docs, again)
-    exact, near = later_windows(known, least), near_places(docs, known)
-    around = cut(_around(docs, near.select(F.col("d0").alias("doc_id"), F.col("t0").alias("th"), F.col("i0").alias("idx")).distinct(), least).dropDuplicates(["d0", "t0", "i0"]))
-    own = (F.col("d0") == F.col("doc_id")) & (F.col("t0") == F.col("th"))
-    per = near.join(around, ["d0", "t0", "i0"]).groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("idx", F.col("d0").alias("of"), own.alias("own"), "i0", "pre", "post"))).alias("near"))
-    whole = again.select("doc_id", "th", F.array(F.struct(F.lit(0).alias("a"), F.lit(-1).alias("b"), F.col("d0").alias("of"))).alias("exact"))
-    return exact.join(per, ["doc_id", "th"], "full").unionByName(whole, allowMissingColumns=True)
-
-
-def spans(h: np.ndarray, starts: np.ndarray, exact: list | None, near: list | None, least: int = LEAST) -> list[tuple[int, int, int]]:
+            for d, th, text, want in zip(part["doc_id"].tolist(), part["th"].tolist(), part["text"], part["want"], strict=True):
+                h = word_hashes(text).view(np.int64)
+                out += [(d, th, w["a0"], w["b0"], h[max(0, w["a0"] - LONGEST) : w["a0"]][::-1], h[w["b0"] : w["b0"] + LONGEST]) for w in want]
+            yield pd.DataFrame(out, columns=["d0", "t0", "a0", "b0", "pre", "post"])
+
+    with Scratch(docs.sparkSession) as t:
+        place = F.struct(*PLACE)
+        first = t.store(pieces.groupBy("f").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("f", F.col("p.doc_id").alias("d0"), F.col("p.th").alias("t0"), F.col("p.a").alias("a0")))
+        often = maybe_in(pieces.select(*PLACE, "n", "f"), "f", bitmap(first, "f"))
+        later = often.join(first, "f").where(place > F.struct("d0", "t0", "a0") if within else (F.col("doc_id") != F.col("d0")) | (F.col("th") != F.col("t0")))
+        per = later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "n", "d0", "t0", "a0")).alias("pieces"))  # a document's at most
+        runs = t.store(per.mapInPandas(chained, "doc_id long, th long, a int, b int, d0 long, t0 long, a0 int, b0 int"))
+        t.drop(first)
+        wanted = t.store(runs.groupBy(F.col("d0").alias("doc_id"), F.col("t0").alias("th")).agg(F.collect_set(F.struct("a0", "b0")).alias("want")))
+        beside = t.store(_texts(docs, wanted).mapInPandas(around, "d0 long, t0 long, a0 int, b0 int, pre array<long>, post array<long>"))
+        at = ["d0", "t0", "a0", "b0"]
+        joined = runs.join(beside, at).select("doc_id", "th", F.struct("a", "b", F.col("d0").alias("of"), F.col("t0").alias("of_th"), "a0", "b0", "pre", "post").alias("r"))
+        return t.keep(joined.groupBy("doc_id", "th").agg(F.collect_list("r").alias("runs")))
+
+
+def removable(docs: DataFrame, least: int = LEAST, within: bool = False) -> DataFrame:
+    """doc_id, th and what to delete: whole (its words stand in this document), runs (see repeated_runs) and near
+    paragraphs."""
+    with Scratch(docs.sparkSession) as t:
+        again = t.store(copies(docs))
+        known = _known(docs).join(small(again).select("doc_id", "th"), ["doc_id", "th"], "left_anti")
+        found = t.store(units(known, least))
+        t.collect()
+        runs = repeated_runs(docs, found.where("k is null"), within)
+        near = near_paragraphs(docs, found.where("k is not null"), within)
+        t.drop(found)
+        per = near.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", (F.col("a") + F.col("n")).alias("b"), F.col("d0").alias("of"))).alias("near"))
+        both = runs.join(per, ["doc_id", "th"], "full").withColumn("whole", F.lit(None).cast("long"))
+        return t.keep(both.unionByName(again.select("doc_id", "th", F.col("d0").alias("whole")), allowMissingColumns=True))
+
+
+def extended(h: np.ndarray, own: tuple[int, int], runs: list, least: int = LEAST) -> list[tuple[int, int, int]]:
+    """(first word, word after the last, document that keeps it) of the runs of least words or more, after extension
+    over words that agree and over short gaps. own: doc_id and text hash of this text."""
+    h, found = h.view(np.int64), []
+    for r in runs:
+        a, b, a0, b0 = (int(r[x]) for x in ("a", "b", "a0", "b0"))
+        # in the same text a run doesn't reach its own kept place
+        most = a - b0 if own == (int(r["of"]), int(r["of_th"])) else len(h)
+        left = min(len(r["pre"]), a, max(0, most))
+        same = h[a - left : a][::-1] == r["pre"][:left]
+        left = left if same.all() else int(same.argmin())
+        right = min(len(r["post"]), len(h) - b)
+        same = h[b : b + right] == r["post"][:right]
+        right = right if same.all() else int(same.argmin())
+        found.append(((int(r["of"]), int(r["of_th"])), a - left, b + right, a0 - left, b0 + right))
+    out: list[list] = []
+    for key, a, b, a0, b0 in sorted(found):
+        if out and (c := out[-1])[0] == key and a <= c[2] + GAP and -GAP <= (a0 - a) - (c[4] - c[2]) <= GAP and a0 <= c[4] + GAP:
+            agree = c[5] + max(0, b - max(a, c[2]))
+            if 5 * agree >= 4 * (max(b, c[2]) - c[1]):
+                if b > c[2]:
+                    c[2], c[4] = b, b0
+                c[5] = agree
+                continue
+        out.append([key, a, b, a0, b0, b - a])
+    return [(a, b, key[0]) for key, a, b, _, _, _ in out if b - a >= least]
+
+
+def spans(text: str, own: tuple[int, int], whole, runs, near, least: int = LEAST) -> list[tuple[int, int, int]]:
     """(first word, word after the last, document that keeps its first words) of the deleted runs, apart and in order."""
-    h, ends = h.view(np.int64), [*starts[1:].tolist(), len(h)]
-    found = [(int(r["a"]), len(h) if r["b"] < 0 else int(r["b"]), int(r["of"])) for r in (exact if exact is not None else []) if len(h) >= least]
-    for r in near if near is not None else []:
-        a, b = int(starts[r["idx"]]), int(ends[r["idx"]])
-        # words of the same text: those agreed with end before the paragraph, and it doesn't reach its kept place
-        most = a - ends[r["i0"]] if r["own"] else len(h)
-        pre, post = [x == y for x, y in zip(h[:a][::-1], r["pre"][:most])], [x == y for x, y in zip(h[b:], r["post"][:most])]
-        found.append((a - [*pre, False].index(False), b + [*post, False].index(False), int(r["of"])))
+    h = word_hashes(text)
+    if whole is not None and whole == whole:
+        return [(0, len(h), int(whole))] if len(h) >= least else []
+    found = extended(h, own, runs, least) if runs is not None else []
+    found += [(int(r["a"]), int(r["b"]), int(r["of"])) for r in near] if near is not None else []
     out: list[tuple[int, int, int]] = []
     for a, b, of in sorted(found):
         if out and a <= out[-1][1]:
@@ -261,42 +286,47 @@ def without(text: str, gone: list[tuple[int, int, int]]) -> str:
     return b"".join(parts).decode()
 
 
-def removals(docs: DataFrame) -> DataFrame:
+def removals(docs: DataFrame, within: bool = False) -> DataFrame:
     """A row per deleted run: doc_id, first_word, n_words, kept_doc_id (the document where its first words stay), md5 of its words."""
-    import hashlib
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches(pdfs, 256):
             out = []
-            for d, th, text, exact, near in zip(part["doc_id"], part["th"], part["text"], part["exact"], part["near"], strict=True):
-                h, starts, _ = paragraphs_of([text])
-                w = text.encode(errors="replace").lower().split()
-                for a, b, of in spans(h, starts, exact, near):
-                    out.append((d, a, b - a, of, hashlib.md5(b" ".join(w[a:b])).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "first_word", "n_words", "kept_doc_id", "words_md5"])
+            for d, th, text, whole, runs, near in zip(part["doc_id"].tolist(), part["th"].tolist(), part["text"], part["whole"], part["runs"], part["near"], strict=True):
+                if got := spans(text, (d, th), whole, runs, near):
+                    w = text.encode(errors="replace").lower().split()
+                    out += [(d, th, a, b - a, of, hashlib.md5(b" ".join(w[a:b])).hexdigest()) for a, b, of in got]
+            yield pd.DataFrame(out, columns=["doc_id", "th", "first_word", "n_words", "kept_doc_id", "words_md5"])
 
-    return _of_docs(docs, runs(docs)).mapInPandas(run, "doc_id long, first_word long, n_words long, kept_doc_id long, words_md5 string")
+    found = _texts(docs, removable(docs, within=within)).select("doc_id", "th", "text", "whole", "runs", "near")
+    return found.mapInPandas(run, "doc_id long, th long, first_word long, n_words long, kept_doc_id long, words_md5 string").distinct().drop("th")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, within: bool = False) -> DataFrame:
     """docs with repeated passages taken out of text, and n_removed (words)."""
-
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches(pdfs, 256):
-            out = []
-            for d, th, text, exact, near in zip(part["doc_id"], part["th"], part["text"], part["exact"], part["near"], strict=True):
-                h, starts, _ = paragraphs_of([text])
-                gone = spans(h, starts, exact, near)
-                out.append((d, th, without(text, gone), sum(b - a for a, b, _ in gone)))
-            yield pd.DataFrame(out, columns=["new_id", "new_th", "new_text", "n_removed"])
-
-    found = cut(runs(docs))
-    new = _of_docs(docs, found).mapInPandas(run, "new_id long, new_th long, new_text string, n_removed long")
-    none = F.lit(0).cast("long")
-    rest, hit = pick(docs, found, "left_anti").withColumn("n_removed", none), pick(docs, found)
-    joined = hit.join(new, (hit["doc_id"] == new["new_id"]) & (F.xxhash64(hit["text"]) == new["new_th"]), "left")
-    done = joined.withColumn("text", F.coalesce("new_text", "text")).withColumn("n_removed", F.coalesce("n_removed", none))
-    return rest.unionByName(done.select(*docs.columns, "n_removed"))
+    docs = docs.drop("n_removed")
+    mine = [f"linkforge {x}" for x in ("id", "th", "whole", "runs", "near")]
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in found:
+            for i in range(0, whole_batch.num_rows, 256):
+                b = whole_batch.slice(i, 256)
+                ids, ths, whole, runs, near = (b.column(x).to_pylist() for x in mine)
+                texts, n = b.column("text").to_pylist(), []
+                for j, text in enumerate(texts):
+                    got = spans(text, (ids[j], ths[j]), whole[j], [r | {x: np.array(r[x], dtype=np.int64) for x in ("pre", "post")} for r in runs[j]] if runs[j] is not None else None, near[j]) if ids[j] is not None else []
+                    if got:
+                        texts[j] = without(text, got)
+                    n.append(sum(y - x for x, y, _ in got))
+                yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field("text").type) if c == "text" else b.column(c) for c in docs.columns] + [pa.array(n, pa.int64())], names=[*docs.columns, "n_removed"])
+
+    found = removable(docs, within=within)
+    ids = found.select("doc_id")
+    rest = pick(docs, ids, "left_anti").withColumn("n_removed", F.lit(0).cast("long"))
+    found = found.select(F.col("doc_id").alias(mine[0]), F.col("th").alias(mine[1]), *[F.col(x.split()[1]).alias(x) for x in mine[2:]])
+    hit = pick(docs, ids)
+    hit = hit.join(found, (F.col("doc_id").cast("long") == F.col(f"`{mine[0]}`")) & (F.xxhash64("text") == F.col(f"`{mine[1]}`")), "left")
+    return rest.unionByName(hit.mapInArrow(run, StructType([*docs.schema.fields, StructField("n_removed", LongType())])))
 
 
 def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,10 +334,12 @@ def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated passages; a document of which nothing is left goes. n_chars follows the text."""
-    out = dedup(docs.select("doc_id", "text", "lang", "source", "n_chars"))
-    same = F.col("n_removed") == 0
-    return out.where(same | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "text", "lang", "source", F.when(same, F.col("n_chars")).otherwise(F.length("text").cast("long")).alias("n_chars"))
+    """Texts without repeated passages; a document of which nothing is left goes. n_chars, if there, follows the text."""
+    out = dedup(docs)
+    out = out.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns) if "n_removed" not in docs.columns else out
 
 
 QUERIES = {"op10_paragraph_minhash": op10_paragraph_minhash}
