@@ -1,34 +1,42 @@
 """Operator 1: quality rules and robust outliers by minimum covariance determinant.
 
-Base rules: see `statistics`. Then each document has a vector of transformed statistics, in whole 1/256ths: log mean
-word length, and log(1 + 100 x) of the shares of symbols, repeated lines, repeated words and capitals, all drawn a
-little to a prior so that short texts don't stand out by chance. For each (language, source) group the vectors' centre
-and covariance are estimated by concentration steps: from medians and quartiles, take the `share` of rows nearest by
-Mahalanobis distance, estimate anew, and again. Rows beyond `cutoff` times the median squared distance's expected
-value are rejected.
-
-Vectors are whole numbers, so sums are exact and results don't depend on partitioning; medians and quantiles are
-exact and are gathered as counts of distinct values, which are few and bounded. Groups are never gathered.
-
-Groups under `least` rows are pooled by language, pools under `least` over all languages; a last pool under `least`
-has no estimate and rejects nothing. Null lang or source is a group value of its own. Null text counts as empty:
-no words, base_failed. Texts that fail the base rules aren't part of the estimates. Repeated rows count each.
+Base rules: see `statistics`. Then each document has a vector of transformed statistics, in whole 1/256ths: the logs of
+mean word length, of the share of marks (characters that are neither letters, digits nor space) among word characters
+and of the share of words of three characters or fewer, each drawn a little to a prior so that short texts don't stand
+out by chance. For each (language, source) group centre and covariance are estimated by the minimum covariance
+determinant: from several starts (quartiles; all rows; rows within a box about the medians) concentration steps take
+the `share` of rows nearest by Mahalanobis distance and estimate anew until no determinant changes; the smallest wins.
+Distances are made consistent by their median, the rows within the 97.5 % quantile of the chi-square distribution give
+the reweighted estimate, and rows whose distance that distribution exceeds with a chance of `tail` only are rejected.
+Covariances are only kept from being singular: by the variance of rounding to 1/256ths.
+
+Vectors are whole numbers, so sums are exact and results don't depend on partitioning. "Nearest" is by distance in
+steps of 1/128 of its log: rows are summed by group, start and step on the map side, and only these sums, whose number
+doesn't grow with the rows, are shuffled; so groups are never gathered, however large.
+
+Groups under `least` rows (5 for each part of the vector) are pooled by language, pools under `least` over all
+languages; a last pool under `least` has no estimate and rejects nothing. Null lang or source is a group value of its
+own. Null text counts as empty: no words, base_failed. Texts of any length are counted whole, as one row. Texts that
+fail the base rules aren't part of the estimates. Ties: rows in one step are taken together. Repeated rows count each.
+Empty tables give empty ones. Extra columns are ignored, and kept by the stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linkforge.llm.common import keep as cut, pick
+from linkforge.llm.common import Scratch, keep, pick, small
 from linkforge.llm.native import let, words
 
-D = 5
-X = [f"x{j}" for j in range(D)]
+X = ("x0", "x1", "x2")
+D = len(X)
 UNIT = 256.0
-#: Least standard deviations of the vector's parts: estimates of 0 spread are common, as most texts have no symbols.
-FLOOR = (0.05, 0.35, 0.8, 0.5, 0.30)
-CHI2_MEDIAN = 4.3515  # of D degrees of freedom
+STEPS = 128.0
+#: Of the chi-square distribution with D degrees of freedom: median, 97.5 % quantile, and where 1e-9 are left.
+CHI2_MEDIAN, CHI2_975, CHI2_TAIL = 2.36597, 9.34840, 44.8418
+ROUNDING = 1 / UNIT**2
+PAIRS = [(i, j) for i in range(D) for j in range(i + 1)]
 
 
 def repeated_words(w: Column, k: int = 5) -> Column:
@@ -44,83 +52,133 @@ def statistics(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, the base columns and the vector. docs: doc_id, text, lang, source and more."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    line_counts = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
-    word_counts = let(words(text), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("rep")))
+    dup_lines = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    word_counts = let(words(text), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("rep"), F.size(F.filter(w, lambda x: F.length(x) <= 3)).alias("short")))
     base = docs.select(
-        "doc_id", "lang", "source", word_counts.alias("w"), line_counts.alias("l"),
+        "doc_id", "lang", "source", word_counts.alias("w"), dup_lines.cast("long").alias("n_dup_lines"),
         F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).alias("caps"),
+        F.length(F.regexp_replace(text, r"[\p{L}\p{N}\x20\x09-\x0D]+", "")).alias("marks"),
     ).select(
         "doc_id", "lang", "source", F.col("w.n").cast("long").alias("n_words"), "word_chars", "n_symbols",
-        F.col("l.dup").cast("long").alias("n_dup_lines"), F.col("w.rep").alias("n_repeat_words"), F.col("l.n").alias("n_lines"), "caps",
+        "n_dup_lines", F.col("w.rep").alias("n_repeat_words"), F.col("w.short").alias("short"), "marks",
     )
-    some = lambda a, b, prior: F.log1p(100.0 * F.col(a) / (F.col(b) + prior))
-    vector = [
-        F.log((F.col("word_chars") + 6.0 * 60) / (F.col("n_words") + 60.0)), some("n_symbols", "word_chars", 200.0), some("n_dup_lines", "n_lines", 5.0),
-        some("n_repeat_words", "n_words", 60.0), some("caps", "word_chars", 200.0),
-    ]
+    # priors of 60 words of 5.2 characters, of which 3.5 % are marks, and 30 % short words
+    n, chars = F.col("n_words") + 60.0, F.col("word_chars") + 312.0
+    vector = [F.log(chars / n), F.log((F.col("marks") + 10.92) / chars), F.log((F.col("short") + 18.0) / n)]
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return base.select("*", failed.alias("base_failed"), *[F.round(v * UNIT).cast("long").alias(x) for v, x in zip(vector, X, strict=True)])
 
 
-def _distance(params: str = "p") -> Column:
+def _distance(p: Column) -> Column:
     """Squared Mahalanobis distance by forward substitution with the Cholesky factor in p."""
     z: list[Column] = []
     total = F.lit(0.0)
     for i in range(D):
-        v = F.col(X[i]) / UNIT - F.col(f"{params}.m{i}")
+        v = F.col(X[i]) / UNIT - p[f"m{i}"]
         for j in range(i):
-            v = v - F.col(f"{params}.l{i}{j}") * z[j]
-        z.append(v / F.col(f"{params}.l{i}{i}"))
+            v = v - p[f"l{i}{j}"] * z[j]
+        z.append(v / p[f"l{i}{i}"])
         total = total + z[-1] * z[-1]
     return total
 
 
-def _factor(groups: DataFrame, centre: list[Column], cov: dict[tuple[int, int], Column]) -> DataFrame:
-    """g and p: the centre and the Cholesky factor of the covariance, with FLOOR squared added to its diagonal."""
-    out = groups.select("g", *[c.alias(f"m{i}") for i, c in enumerate(centre)], *[(cov[i, j] + (FLOOR[i] ** 2 if i == j else 0.0)).alias(f"s{i}{j}") for i in range(D) for j in range(i + 1)])
-    for i in range(D):
-        for j in range(i + 1):
-            v = F.col(f"s{i}{j}")
-            for k in range(j):
-                v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(1e-9))) if i == j else v / F.col(f"l{j}{j}"))
-    return cut(out.select("g", F.struct(*[f"m{i}" for i in range(D)], *[f"l{i}{j}" for i in range(D) for j in range(i + 1)]).alias("p")))
-
-
-def estimate(rows: DataFrame, share: float = 0.75, steps: int = 2) -> DataFrame:
-    """Rows (g, x0..): per g the struct p of centre and factor, and scale."""
-    quart = rows.groupBy("g").agg(*[F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(x) for x in X])
-    zero = F.lit(0.0)
-    p = _factor(quart, [F.get(x, F.lit(1)) / UNIT for x in X], {(i, j): F.pow((F.get(X[i], F.lit(2)) - F.get(X[i], F.lit(0))) / (1.349 * UNIT), 2) if i == j else zero for i in range(D) for j in range(i + 1)})
-    level = F.floor(F.log1p(_distance()) * 64).cast("long")
-    for _ in range(steps):
-        near = rows.join(p, "g").withColumn("q", level)
-        bound = near.groupBy("g").agg(F.percentile("q", F.lit(share)).alias("bound"))
-        sums = [F.sum(x).cast("double").alias(f"t{x}") for x in X] + [F.sum(F.col(X[i]) * F.col(X[j])).cast("double").alias(f"t{i}{j}") for i in range(D) for j in range(i + 1)]
-        t = near.join(bound, "g").where("q <= bound").groupBy("g").agg(F.count(F.lit(1)).cast("double").alias("n"), *sums)
-        mean = [F.col(f"t{x}") / F.col("n") / UNIT for x in X]
-        p = _factor(t, mean, {(i, j): F.col(f"t{i}{j}") / F.col("n") / UNIT**2 - mean[i] * mean[j] for i in range(D) for j in range(i + 1)})
-    mid = rows.join(p, "g").withColumn("q", level).groupBy("g").agg(F.percentile("q", F.lit(0.5)).alias("mid"))
-    return p.join(mid, "g").select("g", "p", F.greatest(F.lit(1.0), F.expm1((F.col("mid") + 0.5) / 64) / CHI2_MEDIAN).alias("scale"))
-
-
-def judge(docs: DataFrame, share: float = 0.75, cutoff: float = 80.0, least: int = 50) -> DataFrame:
-    """The base columns, distance (null without an estimate), base_failed and kept."""
-    stats = cut(statistics(docs))
-    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null"))
-    good = stats.where(~F.col("base_failed")).select(name("lang").alias("a"), name("source").alias("b"), *X)
-    n = good.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    small = n.where(F.col("n") < least).groupBy("a").agg(F.sum("n").alias("pool"))
-    groups = n.join(small, "a", "left").select("a", "b", F.when(F.col("n") >= least, F.concat_ws("|", "a", "b")).when(F.col("pool") >= least, F.col("a")).otherwise(F.lit("*")).alias("g"))
-    groups = cut(groups)
-    rows = good.join(groups, ["a", "b"]).select("g", *X)
-    enough = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    rows = cut(rows.join(enough.select("g"), "g", "left_semi"))
-    params = groups.join(estimate(rows, share), "g").select("a", "b", "p", "scale")
-    out = stats.withColumns({"a": name("lang"), "b": name("source")}).join(params, ["a", "b"], "left")
-    far = F.when(~F.col("base_failed"), _distance() / F.col("scale"))
+def _step(distance: Column) -> Column:
+    return F.floor(F.log1p(distance) * STEPS).cast("long")
+
+
+def _factor(df: DataFrame, *by: str) -> DataFrame:
+    """df: centre m0.. and covariance s00.. -> by, det (log of the determinant) and p: centre and Cholesky factor."""
+    for i, j in PAIRS:
+        v = F.col(f"s{i}{j}") + (ROUNDING if i == j else 0.0)
+        for k in range(j):
+            v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+        df = df.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(ROUNDING / 16))) if i == j else v / F.col(f"l{j}{j}"))
+    det = sum((F.log(F.col(f"l{i}{i}")) for i in range(1, D)), F.log("l00")) * 2.0
+    return df.select(*by, det.alias("det"), F.struct(*[f"m{i}" for i in range(D)], *[f"l{i}{j}" for i, j in PAIRS]).alias("p"))
+
+
+def _sums() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"t{i}") for i, x in enumerate(X)], *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"t{i}{j}") for i, j in PAIRS]]
+
+
+def _moments(sums: DataFrame, *by: str) -> DataFrame:
+    """Centre and covariance of sums n, t0.., t00..; rows of one group added up first."""
+    names = ["n", *[f"t{i}" for i in range(D)], *[f"t{i}{j}" for i, j in PAIRS]]
+    t = sums.groupBy(*by).agg(*[F.sum(x).cast("double").alias(x) for x in names])
+    mean = [F.col(f"t{i}") / F.col("n") / UNIT for i in range(D)]
+    return t.select(*by, *[m.alias(f"m{i}") for i, m in enumerate(mean)], *[(F.col(f"t{i}{j}") / F.col("n") / UNIT**2 - mean[i] * mean[j]).alias(f"s{i}{j}") for i, j in PAIRS])
+
+
+def _upto(counts: DataFrame, part: float, *by: str, order: str = "q") -> DataFrame:
+    """Rows of counts (by, order, n and more) up to where `part` of all n of their group is reached."""
+    w = Window.partitionBy(*by)
+    before = F.coalesce(F.sum("n").over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counts.withColumns({"before": before, "all": F.sum("n").over(w)}).where(F.col("before") < part * F.col("all")).drop("before", "all")
+
+
+def _scaled(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """params (g, p) and scale: the median squared distance over its expected value."""
+    q = rows.join(small(params), "g").groupBy("g", _step(_distance(F.col("p"))).alias("q")).agg(F.count(F.lit(1)).alias("n"))
+    mid = _upto(q, 0.5, "g").groupBy("g").agg(F.max("q").alias("q"))
+    return params.join(mid, "g").select("g", "p", (F.expm1((F.col("q") + 0.5) / STEPS) / CHI2_MEDIAN).alias("scale"))
+
+
+def estimate(rows: DataFrame, share: float = 0.75, most: int = 30) -> DataFrame:
+    """Rows (g, x0..): per g the struct p of centre and factor (reweighted), and scale. most: concentration steps."""
+    with Scratch(rows.sparkSession) as t:
+        values = rows.select("g", F.posexplode(F.array(*X)).alias("i", "q")).groupBy("g", "i", "q").agg(F.count(F.lit(1)).alias("n"))
+        values = t.store(values)
+        quart = None
+        for name, part in (("a", 0.25), ("b", 0.5), ("c", 0.75)):
+            got = _upto(values, part, "g", "i").groupBy("g", "i").agg(F.max("q").alias(name))
+            quart = got if quart is None else quart.join(got, ["g", "i"])
+        wide = quart.select("g", "i", (F.col("b") / UNIT).alias("m"), ((F.col("c") - F.col("a")) / (1.349 * UNIT)).alias("s")).groupBy("g").agg(
+            *[F.max(F.when(F.col("i") == i, F.col("m"))).alias(f"m{i}") for i in range(D)], *[F.max(F.when(F.col("i") == i, F.col("s"))).alias(f"d{i}") for i in range(D)]
+        )
+        wide = t.store(wide)
+        diagonal = wide.select("g", *[f"m{i}" for i in range(D)], *[(F.col(f"d{i}") * F.col(f"d{i}") if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i, j in PAIRS])
+        inside = F.lit(True)
+        for i in range(D):
+            inside = inside & (F.abs(F.col(X[i]) / UNIT - F.col(f"m{i}")) <= 1.5 * F.col(f"d{i}") + 1 / UNIT)
+        boxed = rows.join(small(wide), "g").groupBy("g", inside.alias("box")).agg(*_sums())
+        boxed = t.store(boxed)
+        starts = [diagonal, _moments(boxed, "g"), _moments(boxed.where("box"), "g")]
+        params = None
+        for k, df in enumerate(starts):
+            one = _factor(df, "g").withColumn("start", F.lit(k))
+            params = one if params is None else params.unionByName(one)
+        params = t.store(params)
+        for _ in range(most):
+            tried = small(t.store(params.groupBy("g").agg(F.collect_list(F.struct("start", "p")).alias("tries"))))  # as many as starts
+            q = rows.join(tried, "g").select("g", *X, F.explode("tries").alias("y")).groupBy("g", F.col("y.start").alias("start"), _step(_distance(F.col("y.p"))).alias("q")).agg(*_sums())
+            last, params = params, t.store(_factor(_moments(_upto(q, share, "g", "start"), "g", "start"), "g", "start"))
+            moved = params.join(last.select("g", "start", F.col("det").alias("was")), ["g", "start"]).where(F.abs(F.col("det") - F.col("was")) > 1e-9)
+            if moved.isEmpty():
+                break
+        best = t.store(params.groupBy("g").agg(F.min_by("p", F.struct("det", "start")).alias("p")))
+        raw = t.store(_scaled(rows, best))
+        near = rows.join(small(raw), "g").where(_distance(F.col("p")) <= CHI2_975 * F.col("scale")).groupBy("g").agg(*_sums())
+        again = t.store(_factor(_moments(near, "g"), "g").select("g", "p"))
+        return t.keep(_scaled(rows, again))
+
+
+def judge(docs: DataFrame, share: float = 0.75, cutoff: float = CHI2_TAIL, least: int = 5 * D) -> DataFrame:
+    """The base columns, distance (null without an estimate), base_failed and kept. cutoff: a chi-square quantile."""
+    with Scratch(docs.sparkSession) as t:
+        stats = keep(statistics(docs))
+        name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null"))
+        good = stats.where(~F.col("base_failed")).select(name("lang").alias("a"), name("source").alias("b"), *X)
+        n = t.store(good.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
+        pools = n.where(F.col("n") < least).groupBy("a").agg(F.sum("n").alias("pool"))
+        groups = n.join(pools, "a", "left").select("a", "b", "n", F.when(F.col("n") >= least, F.concat_ws("|", "a", "b")).when(F.col("pool") >= least, F.col("a")).otherwise(F.lit("*")).alias("g"))
+        groups = t.store(groups)
+        enough = groups.groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("g")
+        groups = t.store(groups.join(enough, "g").select("a", "b", "g"))
+        rows = t.store(good.join(small(groups), ["a", "b"]).select("g", *X))
+        params = keep(groups.join(estimate(rows, share), "g").select("a", "b", "p", "scale"))
+    out = stats.withColumns({"a": name("lang"), "b": name("source")}).join(small(params), ["a", "b"], "left")
+    far = F.when(~F.col("base_failed"), _distance(F.col("p")) / F.col("scale"))
     return out.withColumn("distance", far).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))).alias("kept"), F.round("distance", 4).alias("distance"),
@@ -133,7 +191,7 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are kept. A doc_id whose rows differ in verdict keeps none of them."""
-    bad = cut(judge(docs).where(~F.col("kept")).select("doc_id").distinct())
+    bad = keep(judge(docs).where(~F.col("kept")).select("doc_id").distinct())
     out = pick(docs, bad, "left_anti")
     # a null doc_id joins with nothing
     return out if bad.where("doc_id is null").isEmpty() else out.where("doc_id is not null")
