@@ -127,14 +127,35 @@ def test_estimates_are_unbiased_and_bounded():
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b = a + 0.3 * r.standard_normal((400, 64)) / 8
     b /= np.linalg.norm(b, axis=1, keepdims=True)
-    errors = []
+    errors, n = [], len(a)
+    p, q = np.arange(n), np.arange(n, 2 * n)
     for seed in range(8):
-        signs, f = embedding_codes.encode(a, 256, seed)
-        est = (signs * (b @ embedding_codes.lift(64, 256, seed))).sum(1) / (16 * f)
-        errors.append(est - (a * b).sum(1))
+        signs, factor = embedding_codes.encode(a, 256, seed)
+        both = np.vstack([a, b])
+        signs, factor = embedding_codes.encode(both, 256, seed)
+        codes = embedding_codes.Codes(64, 256, [x.tobytes() for x in np.packbits(signs, axis=1)], factor, *[list(x) for x in (*[[v.tobytes() for v in embedding_codes.rounded(both)[0]]], *embedding_codes.rounded(both)[1:])], seed=seed)
+        estimate = (codes.signs[p] * codes.rotated[q]).sum(1) / codes.scale[p]
+        errors.append(estimate - (a * b).sum(1))
+        assert np.std(errors[-1]) < 1.2 * codes.deviation.mean()
+        may = codes.may_link(p, q, 0.9, 5.0)
+        assert not (((a * b).sum(1) >= 0.9) & ~may).any()
+        far = codes.may_link(p, np.roll(q, 1), 0.9, 5.0)
+        assert far.mean() < 0.02
+        assert (codes.may_link_all(0.9, 5.0, slice(0, 2 * n))[p, q] == may).mean() > 0.99
     assert abs(np.mean(errors)) < 0.002
-    may = embedding_codes.may_link(a, b, 0.9, 5.0, 256)
-    assert not (((a @ b.T) >= 0.9) & ~may).any() and may.mean() < 0.1
+
+
+def test_codes_leave_little_to_recompute():
+    """Of the pairs that share a key, codes leave under a quarter for exact recomputation where few are near."""
+    r = np.random.default_rng(7)
+    u = r.standard_normal((1500, 64)) + 1.2 * r.standard_normal(64)  # all somewhat alike, as embeddings are
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    signs, factor = embedding_codes.encode(u, 1200)
+    q, top, left = embedding_codes.rounded(u)
+    codes = embedding_codes.Codes(64, 1200, [x.tobytes() for x in np.packbits(signs, axis=1)], factor, [x.tobytes() for x in q], top, left)
+    key = (signs[:, :20] * (1 << np.arange(20))).sum(1)
+    p, q = np.nonzero(np.triu(key[:, None] == key[None, :], 1))
+    assert len(p) > 50 and codes.may_link(p, q, 0.95, 5.0).sum() < len(p) / 4
 
 
 def test_minhash_estimates():
