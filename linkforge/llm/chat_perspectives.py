@@ -8,7 +8,9 @@ masked). Parts in order of `place` make up the dialogue.
 
 Order: turn (null first), then role, then text. Null text is empty, a null or empty role is the speaker `unknown`;
 rows without conv_id are left out. Repeated rows stay, each with its own place. A conversation of `never` alone has
-no perspective. Marks in a text are broken up so that it can't pose as structure.
+no perspective. Marks in texts and roles are broken up, and line ends in roles are spaces, so that neither can pose as
+structure; roles that are equal then are one speaker. Very long turns are one row's work. Empty tables give empty
+ones; other columns, whatever their names, are ignored.
 
 Places are running sums in two steps, within blocks of turns and over blocks' totals, so that a very long
 conversation is not one task's work; no conversation is gathered.
@@ -24,9 +26,10 @@ BLOCK = 1024
 
 def rotate(turns: DataFrame, never: tuple[str, ...] = ("system",)) -> DataFrame:
     role = F.when(F.coalesce(F.length("role"), F.lit(0)) > 0, F.col("role")).otherwise(F.lit("unknown"))
-    clean = lambda c: F.replace(c, F.lit("<|"), F.lit("<​|"))
+    clean = lambda c: F.replace(c, F.lit("<|"), F.lit("<\u200b|"))
+    name = F.replace(clean(F.translate(role, "\r\n", "  ")), F.lit("|>"), F.lit("|\u200b>"))
     rows = turns.where(F.col("conv_id").isNotNull()).select(
-        "conv_id", "turn", clean(role).alias("speaker"), F.concat(clean(F.coalesce(F.col("text"), F.lit(""))), F.lit("<|end|>")).alias("said")
+        "conv_id", "turn", name.alias("speaker"), F.concat(clean(F.coalesce(F.col("text"), F.lit(""))), F.lit("<|end|>")).alias("said")
     ).withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**60))))
     who = rows.where(~F.col("speaker").isin(*never)).select("conv_id", F.col("speaker").alias("perspective")).distinct()
     own = F.col("speaker") == F.col("perspective")
@@ -54,7 +57,8 @@ QUERIES = {"op3_chat_perspectives": op3_chat_perspectives}
 SQL = {
     "op3_chat_perspectives": """
 WITH r AS (
-  SELECT conv_id, turn, replace(CASE WHEN coalesce(length(role), 0) > 0 THEN role ELSE 'unknown' END, '<|', '<' || chr(8203) || '|') AS speaker,
+  SELECT conv_id, turn, replace(replace(translate(CASE WHEN coalesce(length(role), 0) > 0 THEN role ELSE 'unknown' END, chr(13) || chr(10), '  '),
+                                '<|', '<' || chr(8203) || '|'), '|>', '|' || chr(8203) || '>') AS speaker,
          replace(coalesce(text, ''), '<|', '<' || chr(8203) || '|') || '<|end|>' AS said
   FROM conversations WHERE conv_id IS NOT NULL),
 w AS (SELECT DISTINCT conv_id, speaker AS perspective FROM r WHERE speaker <> 'system'),

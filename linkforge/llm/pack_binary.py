@@ -2,15 +2,18 @@
 
 Each document (its ids, then id `eos`) is cut into pieces whose lengths are powers of two: as many of `longest` as
 fit, then the binary digits of the rest from the largest. A piece is a sequence by itself, so no sequence crosses
-documents and, its length being a power of two, none is padded; sequences of one length form a bucket.
+documents and, its length being a power of two, none is padded; sequences of one length form a bucket, named by the
+power of two (`bucket`); write_buckets() gives a folder for each.
 
 Ids are those of the tokenizer's encode(): the content of an added token within a text is that token's id. Null text
-counts as empty: one piece with `eos` alone. Repeated rows are packed each for itself. Null doc_ids are
-kept. Other columns are ignored.
+counts as empty: one piece with `eos` alone. Texts of any length are cut alike, as one row of work. Repeated rows are
+packed each for itself. Null doc_ids are kept. A sequence_id is unique in its table, no more. Empty tables give empty
+ones; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -28,6 +31,16 @@ BREAKS = re.compile(r"[ \t\n\r]+")
 PLAIN = re.compile(r"[!-~\u00c0-\u012f\u0131-\u017e]*")
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017e0-9]+")
 
+#: The tokenizer's own settings that the three patterns above rely on.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 
 def chunks_of(text: str) -> list[str]:
     return BREAKS.split(text) if any(c in text for c in SEPARATORS) else text.split()
@@ -64,6 +77,9 @@ class Chunks(dict):
         added = list(self.tokenizer.get_added_tokens_decoder().values())
         #: Added tokens that no chunk shows: across white space, or sought in normalised text.
         self.whole = any(t.normalized or len(chunks_of(f"|{t.content}|")) > 1 for t in added)
+        made = json.loads(self.tokenizer.to_str())
+        #: Chunks and PIECES stand for this normaliser, this pattern and a plain model; with any other each text is encoded whole.
+        self.whole |= made["normalizer"] != NORMALIZER or made["pre_tokenizer"] != PRE_TOKENIZER or made["model"].get("dropout") is not None
         self.marks = re.compile("|".join(re.escape(t.content) for t in added) or "(?!)")
 
     def encoded(self, text: str) -> bytes:
@@ -137,12 +153,13 @@ def pack(docs: DataFrame, path: str, longest: int = 2048, eos: int = 1, ids: boo
         docs.select("doc_id", "text").mapInPandas(run, schema)
         .withColumn("sequence_id", F.monotonically_increasing_id())
         .withColumn("offset", F.lit(0).cast("long"))
+        .withColumn("bucket", F.round(F.log2("length")).cast("int"))
     )
 
 
 def write_buckets(packed: DataFrame, path: str) -> None:
     """A folder for each length, for training with batches of one length."""
-    packed.write.mode("overwrite").partitionBy("length").parquet(path)
+    packed.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def op7_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -305,6 +305,7 @@ def removals(docs: DataFrame, within: bool = False) -> DataFrame:
 def dedup(docs: DataFrame, within: bool = False) -> DataFrame:
     """docs with repeated passages taken out of text, and n_removed (words)."""
     docs = docs.drop("n_removed")
+    columns = docs.columns
     mine = [f"linkforge {x}" for x in ("id", "th", "whole", "runs", "near")]
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +319,7 @@ def dedup(docs: DataFrame, within: bool = False) -> DataFrame:
                     if got:
                         texts[j] = without(text, got)
                     n.append(sum(y - x for x, y, _ in got))
-                yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field("text").type) if c == "text" else b.column(c) for c in docs.columns] + [pa.array(n, pa.int64())], names=[*docs.columns, "n_removed"])
+                yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field("text").type) if c == "text" else b.column(c) for c in columns] + [pa.array(n, pa.int64())], names=[*columns, "n_removed"])
 
     found = removable(docs, within=within)
     ids = found.select("doc_id")
