@@ -35,6 +35,10 @@ def delete(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+#: Rows of a batch that goes to a Python worker.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 class Scratch:
     """Tables of a job's steps, as Parquet in the shared folder: they cut the lineage and survive lost executors.
 
@@ -59,7 +63,12 @@ class Scratch:
 
     def store(self, df: DataFrame) -> DataFrame:
         path = f"{shared_dir(self.spark).rstrip('/')}/linkforge-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(BATCH)
+        self.spark.conf.set(BATCH, min(int(before), 2000) if int(before) > 0 else 2000)  # texts and sets can be long
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(BATCH, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         return out
@@ -121,7 +130,7 @@ def maybe_in(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
 class WordHashes(dict):
     """Word -> 64-bit hash; a bounded memo."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from linkforge.llm.common import _MEMO, M1, M2, Scratch, bitmap, maybe_in, mix, pick, shingle_hashes, small, word_hashes
+from linkforge.llm.common import _MEMO, M1, M2, Scratch, bitmap, keep, maybe_in, mix, pick, shingle_hashes, small, word_hashes
 from linkforge.llm.linking import batches, verified_components
 from linkforge.llm.near_minhash import group_minhashes
 
@@ -299,7 +299,7 @@ def removals(docs: DataFrame, within: bool = False) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "th", "first_word", "n_words", "kept_doc_id", "words_md5"])
 
     found = _texts(docs, removable(docs, within=within)).select("doc_id", "th", "text", "whole", "runs", "near")
-    return found.mapInPandas(run, "doc_id long, th long, first_word long, n_words long, kept_doc_id long, words_md5 string").distinct().drop("th")
+    return keep(found.mapInPandas(run, "doc_id long, th long, first_word long, n_words long, kept_doc_id long, words_md5 string").distinct().drop("th"))
 
 
 def dedup(docs: DataFrame, within: bool = False) -> DataFrame:
