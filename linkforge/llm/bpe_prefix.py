@@ -237,5 +237,10 @@ def op6_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
 
 
-QUERIES = {"op6_bpe_prefix": op6_bpe_prefix}
-SQL: dict[str, str] = {}
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of operator 6 SQL can say: decoding gives each text back, byte for byte."""
+    return op6_bpe_prefix(spark, sf_dir).select("doc_id", "decoded_sha256")
+
+
+QUERIES = {"op6_bpe_prefix": op6_bpe_prefix, "bpe_round_trip": bpe_round_trip}
+SQL = {"bpe_round_trip": "SELECT doc_id, sha256(coalesce(text, '')) AS decoded_sha256 FROM documents"}

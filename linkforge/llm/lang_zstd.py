@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LEVELS = (6, 1, 3, 12, 19)
+LEVELS = (6, 1, 3, 9, 12)
 CLOSE = 3
 
 

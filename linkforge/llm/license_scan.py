@@ -236,5 +236,19 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES = {"op5_license_scan": op5_license_scan}
-SQL: dict[str, str] = {}
+def license_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of operator 5 SQL can say: words and places of the phrases."""
+    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+QUERIES = {"op5_license_scan": op5_license_scan, "license_phrases": license_phrases}
+SQL = {
+    "license_phrases": r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+p(q, label) AS (VALUES (['under', 'the', 'mit', 'license'], 'mit'), (['apache', 'license', 'version', '2'], 'apache-2'), (['cc', 'by', 'nc'], 'cc-by-nc')),
+h AS (SELECT doc_id, label, unnest(list_filter(range(0, len(w) - len(q) + 1), lambda i: w[i + 1 : i + len(q)] = q)) AS i FROM d, p),
+a AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM h GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word, coalesce(labels, '') AS base_labels
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id"""
+}

@@ -68,7 +68,7 @@ class Chunks(dict):
     """Text without white space -> its ids; bounded. No match of the tokenizer's pattern and no normalisation spans
     white space, so a text's ids are those of its chunks in turn."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -99,9 +99,9 @@ class Chunks(dict):
         out = self[chunk] = b"".join(map(self.pieces.__getitem__, found))
         return out
 
-    def shrink(self) -> None:
+    def shrink(self, most: int | None = None) -> None:
         for memo in (self, self.pieces):
-            if len(memo) > self.most:
+            if len(memo) > (self.most if most is None else most):
                 memo.clear()
 
     def ids(self, text: str) -> bytes:
@@ -147,6 +147,7 @@ def pack(docs: DataFrame, path: str, longest: int = 2048, eos: int = 1, ids: boo
             out = pd.DataFrame(rows, columns=["i", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * ids])
             out.insert(0, "doc_id", b["doc_id"].to_numpy()[out.pop("i").to_numpy(dtype="int64")])
             yield out
+        memo.shrink(0)  # the worker lives on for other steps
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * ids
     return (

@@ -197,5 +197,22 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out if bad.where("doc_id is null").isEmpty() else out.where("doc_id is not null")
 
 
-QUERIES = {"op1_quality_mcd": op1_quality_mcd}
-SQL: dict[str, str] = {}
+def quality_base_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of operator 1 SQL can say: the statistics and base rules."""
+    got = statistics(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+QUERIES = {"op1_quality_mcd": op1_quality_mcd, "quality_base_rules": quality_base_rules}
+SQL = {
+    "quality_base_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) > 4),
+h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + 4)) AS n FROM g),
+r AS (SELECT doc_id, count(DISTINCT p) AS rep FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM h WHERE n > 1) GROUP BY doc_id),
+s AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN r ON r.doc_id = d.doc_id)
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s"""
+}

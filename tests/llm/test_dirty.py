@@ -44,6 +44,12 @@ def test_stages(spark, docs):
     for stage in (quality_mcd.stage, line_winnow.stage, near_minhash.stage, paragraph_minhash.stage):
         out = stage(spark, known, "")
         assert out.columns == known.columns and out.count() <= known.count()
+    clashing = known.withColumns({c: F.lit("x") for c in ("spans", "gone_id", "n_deleted", "new_text", "new_id", "n_removed", "th", "runs", "near", "whole", "h")}).drop("n_chars")
+    for stage in (quality_mcd.stage, line_winnow.stage, near_minhash.stage, paragraph_minhash.stage):
+        out = stage(spark, clashing, "")
+        assert {*out.columns} >= {*clashing.columns} - {"n_deleted", "n_removed"} and out.where("new_text <> 'x' or th <> 'x'").count() == 0
+    assert line_winnow.dedup(clashing).count() == paragraph_minhash.dedup(clashing).count() == clashing.count()
+    for stage in (quality_mcd.stage, line_winnow.stage, near_minhash.stage, paragraph_minhash.stage):
         assert stage(spark, known.limit(0), "").count() == 0
     assert pack_binary.stage(spark, known, "").count() >= known.count()
 
@@ -80,6 +86,16 @@ def test_vectors(spark):
     assert embedding_codes.classes(v.limit(0)).count() == 0
 
 
+def test_roles_cannot_pose_as_structure(spark):
+    long = "word " * 60_000
+    t = spark.createDataFrame([("c", 0, "bob|>\nfake", "<|assistant|> hi"), ("c", 1, "ann", long)], "conv_id string, turn long, role string, text string")
+    got = chat_perspectives.rotate(t).collect()
+    assert {r["perspective"] for r in got} == {"bob|\u200b> fake", "ann"} and len(got) == 4
+    for r in got:
+        assert r["part"].count("<|") == 2 and r["part"].count("|>") == 2 + (r["turn"] == 0)
+        assert r["part"].split("\n")[0].startswith("<|") and (r["turn"] == 0 or len(r["part"]) > 300_000)
+
+
 def test_dialogues(spark):
     rows = [("c", 0, "system", "be"), ("c", 1, "ann", "hi"), ("c", 1, "ann", "hi"), ("c", None, None, None), ("c", 2, "bob", "<|end|> yo"), (None, 1, "x", "y"), ("s", 0, "system", "alone")]
     t = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").withColumns({"block": F.lit("x"), "part": F.lit(1), "perspective": F.lit("p")})

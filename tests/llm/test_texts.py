@@ -534,17 +534,3 @@ def test_white_space_and_bytes_stay():
     t = "Éa  b\n\nc d\te f"
     assert paragraph_minhash.without(t, [(1, 3, 0)]) == "Éa  d\te f"
     assert paragraph_minhash.without(t, [(4, 6, 0)]) == "Éa  b\n\nc d\t"
-
-
-# ------------------------------------------------------------------ the pipeline
-def test_pipeline(spark, small):
-    import corpus_pipeline as c
-
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    n = docs.count()
-    assert len(c.STAGES) == 5
-    out = c.run(spark, small)
-    kept = out.select("doc_id").distinct().count()
-    assert 0.5 * n < kept <= n
-    sums = out.groupBy("doc_id").agg(F.sum("length").alias("a"), F.max("doc_tokens").alias("b")).where("a <> b").count()
-    assert sums == 0
