@@ -11,11 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkforge.functions import dates, text, urls
+from linkforge.knowledge_base import configured
 from linkforge.operators import analysis, blocking, closure, curation, edits, enrich, evaluate, features, models, rules, validate
+from linkforge import schema
+from linkforge.plans import linking
 from linkforge.schema import MOVIE_PIDS
 from linkforge.session import table
+from linkforge.sources import knowledge
+from linkforge.sources.discogs import DiscogsReader
+from linkforge.sources.musicbrainz import MusicBrainzReader
 from linkforge.streaming import incremental
 
+KB = configured()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -123,7 +130,7 @@ def url_validate(spark, d):
     return table(spark, d, "pages").select("page_id", F.expr(_BARE).alias("u")).select("page_id", urls.validate(F.col("u")).alias("url"))
 
 
-@query(f"SELECT page_id, regexp_matches({HOST_SQL.replace('{u}', 'u')}, 'wikipedia|wikidata|wikibooks') AS wiki FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN replace(url, 'example', 'wikipedia') WHEN page_id % 3 = 1 THEN url || '/wikipedia' ELSE url END AS u FROM pages)")
+@query(f"SELECT page_id, regexp_matches({HOST_SQL.replace('{u}', 'u')}, 'wikipedia|wikibooks') AS wiki FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN replace(url, 'example', 'wikipedia') WHEN page_id % 3 = 1 THEN url || '/wikipedia' ELSE url END AS u FROM pages)")
 def url_is_wiki(spark, d):
     u = F.when(F.col("page_id") % 3 == 0, F.replace("url", F.lit("example"), F.lit("wikipedia"))).when(F.col("page_id") % 3 == 1, F.concat("url", F.lit("/wikipedia"))).otherwise(F.col("url"))
     return table(spark, d, "pages").select("page_id", urls.is_wiki(u).alias("wiki"))
@@ -223,10 +230,15 @@ def linker_superset(spark, d):
     return blocking.supersets(s, t)
 
 
-@query("SELECT DISTINCT a.doc_id AS qid, b.doc_id AS tid FROM documents a JOIN documents b ON lower(a.text) = lower(b.text) AND a.doc_id < b.doc_id")
+@query("SELECT doc_id, min(doc_id) OVER (PARTITION BY lower(text)) AS class FROM documents WHERE text IS NOT NULL")
 def linker_exact_name(spark, d):
-    t = table(spark, d, "documents")
-    return blocking.exact(t.select(F.col("doc_id").alias("qid"), "text"), t.select(F.col("doc_id").alias("tid"), "text"), F.col("text"), F.col("text")).where("qid < tid")
+    return blocking.exact_classes(table(spark, d, "documents"), "doc_id", F.col("text"))
+
+
+@query("SELECT s_suppkey AS qid, c_custkey AS tid FROM supplier JOIN customer ON lower(replace(s_name, 'Supplier', 'X')) = lower(replace(c_name, 'Customer', 'x'))")
+def linker_equal_names(spark, d):
+    s, c = table(spark, d, "supplier"), table(spark, d, "customer")
+    return blocking.exact(s, c, F.replace("s_name", F.lit("Supplier"), F.lit("X")), F.replace("c_name", F.lit("Customer"), F.lit("x")), "s_suppkey", "c_custkey").select(F.col("s_suppkey").alias("qid"), F.col("c_custkey").alias("tid"))
 
 
 @query(f"{_SHARED}, k AS (SELECT qid, min(tid) AS tid FROM c GROUP BY qid), b AS (SELECT qid, tid, row_number() OVER (PARTITION BY qid ORDER BY shared DESC, tid) AS r FROM c) SELECT count(*) AS known, count(b.r) AS found, round(count(b.r) / count(*), 6) AS recall FROM k LEFT JOIN b ON k.qid = b.qid AND k.tid = b.tid AND b.r <= 5")
@@ -338,19 +350,26 @@ def redirects(spark, d):
 
 
 # ---------------------------------------------------------------- aggregation and validation
-@query("""SELECT c_custkey AS tid, array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') AS priorities, array_to_string(list_sort(list(DISTINCT l_returnflag)), ',') AS flags,
-count(DISTINCT o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY c_custkey""")
+@query(f"""SELECT CAST(c_custkey AS VARCHAR) AS tid, any_value({norm_sql('c_name')}) AS names, any_value(lower(c_mktsegment)) AS tokens, coalesce(array_to_string(list_sort(list(DISTINCT o_orderpriority)), ','), '') AS urls,
+coalesce(array_to_string(list_sort(list(DISTINCT o_orderstatus)), ','), '') AS descriptions, coalesce(array_to_string(list_sort(list(DISTINCT strftime(o_orderdate, '%Y-%m-%d')) FILTER (o_orderstatus = 'F')), ','), '') AS dates
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""")
 def aggregate_target(spark, d):
-    o, li = table(spark, d, "orders"), table(spark, d, "lineitem")
-    flags = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set("l_returnflag").alias("f"))
-    per = o.join(flags, "o_orderkey", "left").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_set("o_orderpriority")).alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("f")))).alias("f"), F.count(F.lit(1)).alias("n"))
-    rows = table(spark, d, "customer").select("c_custkey").join(per, "c_custkey", "left")
-    return rows.select(F.col("c_custkey").alias("tid"), F.when(F.size("p") > 0, F.array_join("p", ",")).alias("priorities"), F.when(F.size("f") > 0, F.array_join("f", ",")).alias("flags"), F.coalesce("n", F.lit(0)).alias("n"))
+    o = table(spark, d, "orders").withColumn("catalog_id", F.col("o_custkey").cast("string"))
+    c = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("catalog_id"), F.col("c_name").alias("name"), F.array(F.lower("c_mktsegment")).alias("name_tokens"))
+    born = o.where("o_orderstatus = 'F'").select("catalog_id", F.col("o_orderdate").cast("date").alias("born"))
+    main = c.join(born, "catalog_id", "left").withColumns({"born_precision": F.lit(11), "died": F.lit(None).cast("date"), "died_precision": F.lit(None).cast("int")})
+    link = o.select("catalog_id", F.col("o_orderpriority").alias("url"), F.split("o_orderpriority", "-").alias("url_tokens"))
+    nlp = o.select("catalog_id", F.col("o_orderstatus").alias("description"), F.array("o_orderstatus").alias("description_tokens"))
+    got = linking.prepare_target(main, link, nlp)
+    joined = lambda c: F.coalesce(F.array_join(c, ","), F.lit(""))
+    padded = lambda x, i, n: F.lpad(F.get(x, F.lit(i)).cast("string"), n, "0")
+    days = F.transform("born", lambda x: F.concat_ws("-", padded(x, 0, 4), padded(x, 1, 2), padded(x, 2, 2)))
+    return got.select("tid", joined("name").alias("names"), joined("name_tokens").alias("tokens"), joined("url").alias("urls"), joined("description").alias("descriptions"), joined(F.array_sort(days)).alias("dates"))
 
 
 @query("SELECT source AS qid, CAST(count(*) AS BIGINT) AS n, md5(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id)) AS ids FROM documents GROUP BY source")
 def aggregate_ids(spark, d):
-    ids = table(spark, d, "documents").groupBy(F.col("source").alias("qid")).agg(F.array_sort(F.collect_set("doc_id")).alias("tid"))
+    ids = knowledge.aggregate_ids(table(spark, d, "documents").select(F.col("source").alias("qid"), F.col("doc_id").alias("tid")))
     return ids.select("qid", long(F.size("tid")).alias("n"), F.md5(F.array_join(F.col("tid").cast("array<string>"), ",")).alias("ids"))
 
 
@@ -372,12 +391,12 @@ def validate_sets(spark, d):
     return got["marked"].groupBy("tid", side).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
-@query("""WITH s AS (SELECT DISTINCT p_brand AS k, p_name AS v FROM part WHERE p_size <= 3), t AS (SELECT DISTINCT p_brand AS k, p_name AS v FROM part WHERE p_size >= 48)
+@query("""WITH s AS (SELECT DISTINCT p_brand AS k, p_name AS v FROM part WHERE p_size % 7 < 3), t AS (SELECT DISTINCT p_brand AS k, p_name AS v FROM part WHERE p_size % 7 >= 3)
 SELECT k AS tid, k AS qid FROM (SELECT DISTINCT k FROM s) JOIN (SELECT DISTINCT k FROM t) USING (k) WHERE k NOT IN (SELECT s.k FROM s JOIN t ON s.k = t.k AND s.v = t.v)""")
 def validate_deprecate(spark, d):
     p = table(spark, d, "part").select(F.col("p_brand").alias("k"), F.col("p_name").alias("value"), "p_size")
     ids = p.select(F.col("k").alias("qid"), F.col("k").alias("tid")).distinct()
-    return validate.compare_sets(ids, p.where("p_size <= 3").select(F.col("k").alias("qid"), "value"), p.where("p_size >= 48").select(F.col("k").alias("tid"), "value"))["deprecate"]
+    return validate.compare_sets(ids, p.where("p_size % 7 < 3").select(F.col("k").alias("qid"), "value"), p.where("p_size % 7 >= 3").select(F.col("k").alias("tid"), "value"))["deprecate"]
 
 
 @query(r"""WITH u AS (SELECT CAST(page_id % 50 AS VARCHAR) AS k, url, page_id FROM pages), s AS (SELECT DISTINCT k, url FROM u WHERE page_id % 3 <> 0), t AS (SELECT DISTINCT k, url FROM u WHERE page_id % 3 <> 1),
@@ -427,8 +446,8 @@ def unpivot_bio(spark, d):
     return validate.bio_rows(main)
 
 
-@query("""SELECT 'Q' || CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS qid, CAST(p_partkey AS VARCHAR) AS tid, 'https://www.wikidata.org/wiki/Q' || CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS item, 'https://www.wikidata.org/wiki/Property:P21' AS predicate,
-CASE WHEN p_size % 2 = 0 THEN 'https://www.wikidata.org/wiki/Q' || p_size ELSE p_name END AS value FROM part""")
+@query(f"""SELECT 'Q' || CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS qid, CAST(p_partkey AS VARCHAR) AS tid, '{KB.item_url}Q' || CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS item, '{KB.property_url}P21' AS predicate,
+CASE WHEN p_size % 2 = 0 THEN '{KB.item_url}Q' || p_size ELSE p_name END AS value FROM part""")
 def catalog_statements(spark, d):
     q = F.concat(F.lit("Q"), F.when(F.col("p_size") <= 25, 1).otherwise(2))
     v = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("Q"), "p_size")).otherwise(F.col("p_name"))
@@ -481,21 +500,88 @@ def earliest_date(spark, d):
 
 
 # ---------------------------------------------------------------- import shapes
-@query("SELECT p_partkey, p_name AS name FROM part UNION SELECT p_partkey, reverse(p_name) FROM part WHERE p_size > 25")
-def name_variants(spark, d):
-    other = F.when(F.col("p_size") > 25, F.reverse("p_name"))
-    return table(spark, d, "part").select("p_partkey", F.explode(F.array_distinct(F.filter(F.array("p_name", other), lambda x: x.isNotNull()))).alias("name"))
+@query("""WITH v AS (SELECT p_partkey, p_size, p_type, p_name AS name FROM part UNION SELECT p_partkey, p_size, p_type, reverse(p_name) FROM part WHERE p_size > 20)
+SELECT CASE WHEN p_size % 2 = 0 THEN 'musician' ELSE 'group' END AS entity, CAST(p_partkey AS VARCHAR) AS catalog_id, name, p_type AS real_name, 'correct' AS data_quality FROM v WHERE p_size % 5 > 0 OR p_size % 2 = 0""")
+def discogs_artists(spark, d):
+    p, even = table(spark, d, "part"), F.col("p_size") % 2 == 0
+    some = F.array(F.lit("x"))
+    nodes = p.select(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("realname"), F.lit("Correct").alias("data_quality"), F.lit("").alias("profile"),
+        F.when(F.col("p_size") > 20, F.struct(F.array(F.reverse("p_name"), F.lit("")).alias("name"))).alias("namevariations"), F.struct(F.array().cast("array<string>").alias("url")).alias("urls"),
+        F.when(even, F.struct(some.alias("name"))).alias("groups"), F.when(F.col("p_size") % 5 > 0, F.struct(some.alias("name"))).alias("members"),
+    )
+    made = DiscogsReader().artists(nodes)
+    one = lambda e: made[f"discogs_{e}"].select(F.lit(e).alias("entity"), "catalog_id", "name", "real_name", "data_quality")
+    return one("musician").unionByName(one("group"))
 
 
-@query("SELECT DISTINCT l_partkey AS from_catalog_id, l_suppkey AS to_catalog_id FROM lineitem")
-def relationship(spark, d):
-    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("from_catalog_id"), F.col("l_suppkey").alias("to_catalog_id")).distinct()
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS catalog_id, p_name AS name, CASE WHEN p_size > 10 THEN CAST(1900 + p_size AS VARCHAR) || '-01-01' END AS born, CASE WHEN p_size > 10 THEN 9 END AS precision,
+array_to_string(list_sort(list_distinct([lower(replace(p_brand, '#', '')), 'jazz'])), ',') AS genres FROM part""")
+def discogs_masters(spark, d):
+    nodes = table(spark, d, "part").select(
+        F.col("p_partkey").cast("string").alias("_id"), F.col("p_name").alias("title"), F.when(F.col("p_size") > 10, 1900 + F.col("p_size")).otherwise(0).cast("int").alias("year"), F.lit("1").alias("main_release"), F.lit("x").alias("data_quality"),
+        F.struct(F.array(F.replace("p_brand", F.lit("#"), F.lit(""))).alias("genre")).alias("genres"), F.struct(F.array(F.lit("Jazz")).alias("style")).alias("styles"), F.struct(F.array(F.struct(F.lit("1").alias("id"))).alias("artist")).alias("artists"),
+    )
+    got = DiscogsReader().masters(nodes)["discogs_master"]
+    return got.select("catalog_id", "name", F.date_format("born", "yyyy-MM-dd").alias("born"), F.col("born_precision").alias("precision"), F.array_join("genres", ",").alias("genres"))
 
 
-@query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY event_type")
+@query("SELECT DISTINCT 'g' || l_partkey AS from_catalog_id, 'a' || l_suppkey AS to_catalog_id FROM lineitem")
+def relationship(spark, d):
+    li = table(spark, d, "lineitem").select("l_partkey", "l_suppkey")
+    t = {
+        "artist_credit_name": li.select(F.col("l_partkey").alias("artist_credit"), F.col("l_suppkey").alias("artist")), "artist": table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("a"), "s_suppkey").alias("gid")),
+        "release_group": table(spark, d, "part").select(F.col("p_partkey").alias("artist_credit"), F.concat(F.lit("g"), "p_partkey").alias("gid")),
+    }
+    return MusicBrainzReader().performers(t)
+
+
+@query("SELECT DISTINCT 's' || l_suppkey AS from_catalog_id, 'p' || l_partkey AS to_catalog_id FROM lineitem")
+def band_members(spark, d):
+    li, turned = table(spark, d, "lineitem"), F.col("l_linenumber") % 2 == 1
+    sup, part = F.col("l_suppkey") * 2, F.col("l_partkey") * 2 + 1
+    artist = table(spark, d, "supplier").select((F.col("s_suppkey") * 2).alias("id"), F.concat(F.lit("s"), "s_suppkey").alias("gid"), F.lit(1).alias("type_id"))
+    artist = artist.unionByName(table(spark, d, "part").select((F.col("p_partkey") * 2 + 1).alias("id"), F.concat(F.lit("p"), "p_partkey").alias("gid"), F.lit(2).alias("type_id")))
+    t = {
+        "artist": artist, "link": table(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("id"), F.when(F.col("r_regionkey") == 1, 855).otherwise(7).cast("long").alias("link_type")),
+        "l_artist_artist": li.select(F.when(turned, 1).otherwise(2).cast("long").alias("link"), F.when(turned, part).otherwise(sup).alias("entity0"), F.when(turned, sup).otherwise(part).alias("entity1")),
+    }
+    return MusicBrainzReader().members(t)
+
+
+@query("SELECT o_orderkey, json_object('o_orderkey', o_orderkey, 'o_orderstatus', o_orderstatus, 'o_orderpriority', o_orderpriority)::VARCHAR AS line FROM orders")
 def props_json(spark, d):
-    k = F.from_json("props", "k long").k
-    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(k).alias("total"))
+    return table(spark, d, "orders").select("o_orderkey", text.json_line("o_orderkey", "o_orderstatus", "o_orderpriority").alias("line"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'N' || n_regionkey END AS label FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 3 > 0")
+def label_lookup(spark, d):
+    """Labels of the entities that are asked for."""
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    made = c.join(n, F.col("n_nationkey") == F.col("c_nationkey")).select(F.concat(F.lit("Q"), "c_custkey").alias("id"), F.create_map(F.lit("en"), F.struct(F.concat(F.lit("N"), "n_regionkey").alias("value"))).alias("labels"))
+    ids = c.where("c_custkey % 3 > 0").select(F.concat(F.lit("Q"), "c_custkey").alias("id"))
+    return knowledge.labels(made, ids).select(F.substring("id", 2, 20).cast("long").alias("c_custkey"), "label")
+
+
+@query("SELECT 'Q' || o_custkey AS qid, CAST(o_orderkey AS VARCHAR) AS tid FROM orders WHERE o_orderstatus = 'O'")
+def items_with_identifier(spark, d):
+    """Items of a class, subclasses included, that have the catalogue's identifier."""
+    o = table(spark, d, "orders").select(F.concat(F.lit("Q"), "o_custkey").alias("qid"), F.concat("o_custkey", F.lit("-"), "o_orderkey").alias("guid"), F.col("o_orderkey").cast("string").alias("value"), "o_orderstatus")
+    t = schema.target("discogs", "band")
+    ids = o.where("o_orderstatus = 'O'").select("qid", F.lit(t.pid).alias("pid"), F.lit("string").alias("kind"), "value", "guid")
+    kinds = o.select("qid", F.lit("P31").alias("pid"), F.lit("wikibase-entityid").alias("kind"), F.lit("Q1000").alias("value"), "guid").distinct()
+    edges = spark.range(1).select(F.lit("Q1000").alias("child"), F.lit("Q215380").alias("parent"))
+    return knowledge.with_identifier(ids.unionByName(kinds), edges, t)
+
+
+@query(f"""WITH t AS (SELECT 'Q' || doc_id AS qid, {tokens_sql(norm_sql('text'))} AS t FROM documents), g AS (SELECT CAST(item_id AS VARCHAR) AS tid, {tokens_sql(norm_sql('text'))} AS t FROM benchmark),
+st AS (SELECT qid, unnest(t) AS w FROM t), gt AS (SELECT tid, unnest(t) AS w FROM g), c AS (SELECT qid, tid, count(*) AS shared FROM st JOIN gt USING (w) GROUP BY qid, tid),
+r AS (SELECT qid, tid, row_number() OVER (PARTITION BY qid ORDER BY shared DESC, shared / (len(t.t) + len(g.t) - shared) DESC, tid) AS r FROM c JOIN t USING (qid) JOIN g USING (tid)) SELECT qid, tid FROM r WHERE r <= 5""")
+def linking_samples(spark, d):
+    """Candidates as the linking plan takes them: items with prepared names against a catalogue's main table."""
+    items = table(spark, d, "documents").select(F.concat(F.lit("Q"), "doc_id").alias("qid"), text.tokenize(F.col("text")).alias("name_tokens"))
+    main = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("catalog_id"), text.tokenize(F.col("text")).alias("name_tokens"))
+    return linking.samples(items, main)
 
 
 @query("""SELECT p_partkey, CASE p_brand WHEN 'Brand#1' THEN 'Q33999' WHEN 'Brand#2' THEN 'Q28389,Q33999' ELSE '' END AS occupations FROM part""")
@@ -535,26 +621,26 @@ def linking_rules(spark, d):
     p = table(spark, d, "part")
     pairs = p.select(F.col("p_name").alias("qid"), F.col("p_brand").alias("tid")).distinct().withColumn("confidence", F.lit(0.75))
     source = p.select(F.col("p_name").alias("qid")).distinct().withColumn("name", F.array("qid"))
-    target = p.groupBy(F.col("p_brand").alias("tid")).agg(F.array(F.min("p_name")).alias("name")).withColumn("url", F.when(F.col("tid") == "Brand#1", F.array(F.lit("https://x.org"), F.lit("https://www.wikidata.org/wiki/Q7"))))
+    target = p.groupBy(F.col("p_brand").alias("tid")).agg(F.array(F.min("p_name")).alias("name")).withColumn("url", F.when(F.col("tid") == "Brand#1", F.array(F.lit("https://x.org"), F.lit(f"{KB.item_url}Q7"))))
     return rules.apply_rules(pairs, source, target)
 
 
 @query("SELECT 'Q' || page_id AS qid, CAST(page_id AS VARCHAR) AS tid FROM pages WHERE page_id % 5 = 0")
 def existing_links(spark, d):
     p = table(spark, d, "pages")
-    u = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("https://www.wikidata.org/wiki/Q"), "page_id")).otherwise(F.col("url"))
+    u = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit(f"{KB.item_url}Q"), "page_id")).otherwise(F.col("url"))
     rows = p.select(F.col("page_id").cast("string").alias("catalog_id"), u.alias("url")).withColumns({"is_wiki": urls.is_wiki(F.col("url")), "url_tokens": urls.tokenize(F.col("url"))})
     return rules.existing_links(rows)
 
 
 # ---------------------------------------------------------------- curation and edit plans
 @query(f"""WITH {_SCORES}, r AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY confidence DESC, qid) AS r FROM s), b AS (SELECT * FROM r WHERE r = 1),
-c AS (SELECT DISTINCT p_name AS ext_id FROM part WHERE p_size = 7) SELECT ext_id, 999 AS q, 4 AS "user" FROM c UNION ALL SELECT tid, CAST(substr(qid, 2) AS INT), 0 FROM b WHERE tid NOT IN (FROM c)""")
+c AS (SELECT DISTINCT p_name AS ext_id FROM part WHERE p_size % 7 = 0) SELECT ext_id, 999 AS q, 4 AS "user" FROM c UNION ALL SELECT tid, CAST(substr(qid, 2) AS INT), 0 FROM b WHERE tid NOT IN (FROM c)""")
 def curated_sync(spark, d):
     from linkforge.schema import CURATION_ENTRY
 
     p = table(spark, d, "part")
-    old = p.where("p_size = 7").select("p_name").distinct()
+    old = p.where("p_size % 7 = 0").select("p_name").distinct()
     fields = {"catalog": F.lit(1), "ext_id": F.col("p_name"), "q": F.lit(999), "user": F.lit(4)}
     current = old.select(*[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CURATION_ENTRY.fields])
     stale = current.withColumns({"ext_id": F.concat(F.lit("old "), "ext_id"), "user": F.lit(0)})
@@ -562,14 +648,14 @@ def curated_sync(spark, d):
     return curation.sync_matches(current.unionByName(stale), _scores(spark, d), main, 1, "band", "https://x.org/$1").select("ext_id", "q", "user")
 
 
-@query("""WITH s AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS v FROM lineitem WHERE l_linenumber = 1), c AS (SELECT l_suppkey AS k, l_partkey AS v, l_orderkey || '-' || l_linenumber AS guid FROM lineitem WHERE l_linenumber = 2)
-SELECT 'reference' AS action, 'Q' || s.k AS subject, CAST(s.v AS VARCHAR) AS value, guid FROM s JOIN c ON s.k = c.k AND s.v = c.v
+@query("""WITH s AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS v FROM lineitem WHERE l_linenumber % 2 = 1), c AS (SELECT l_suppkey AS k, l_partkey AS v, l_orderkey || '-' || l_linenumber AS guid FROM lineitem WHERE l_linenumber % 2 = 0)
+SELECT DISTINCT 'reference' AS action, 'Q' || s.k AS subject, CAST(s.v AS VARCHAR) AS value, guid FROM s JOIN c ON s.k = c.k AND s.v = c.v
 UNION ALL SELECT 'add', 'Q' || k, CAST(v AS VARCHAR), NULL FROM s WHERE (k, v) NOT IN (SELECT (k, v) FROM c)""")
 def edit_plan(spark, d):
     li = table(spark, d, "lineitem")
     q = F.concat(F.lit("Q"), "l_suppkey")
-    links = li.where("l_linenumber = 1").select(q.alias("qid"), F.col("l_partkey").cast("string").alias("tid")).distinct()
-    claims = li.where("l_linenumber = 2").select(q.alias("qid"), F.lit("P1").alias("pid"), F.col("l_partkey").cast("string").alias("value"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("guid"))
+    links = li.where("l_linenumber % 2 = 1").select(q.alias("qid"), F.col("l_partkey").cast("string").alias("tid")).distinct()
+    claims = li.where("l_linenumber % 2 = 0").select(q.alias("qid"), F.lit("P1").alias("pid"), F.col("l_partkey").cast("string").alias("value"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("guid"))
     return edits.add_identifiers(links, claims, "P1", "Q42").select("action", "subject", "value", "guid")
 
 
@@ -584,10 +670,10 @@ def edit_plan_works(spark, d):
     return edits.add_works_statements(s, claims, "P345", "Q37312", film=True).select("action", "subject", "predicate", "value").distinct()
 
 
-@query("SELECT 'deprecate' AS action, 'Q' || l_suppkey AS subject, CAST(l_partkey AS VARCHAR) AS value, l_orderkey || '-' || l_linenumber AS guid FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size = 1")
+@query("SELECT 'deprecate' AS action, 'Q' || l_suppkey AS subject, CAST(l_partkey AS VARCHAR) AS value, l_orderkey || '-' || l_linenumber AS guid FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size % 2 = 1")
 def retire_plan(spark, d):
     li = table(spark, d, "lineitem").select(F.concat(F.lit("Q"), "l_suppkey").alias("qid"), F.col("l_partkey").cast("string").alias("value"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("guid"), F.lit("P1").alias("pid"))
-    bad = li.join(table(spark, d, "part").where("p_size = 1").select(F.col("p_partkey").cast("string").alias("value")), "value").select(F.col("value").alias("tid"), "qid").distinct()
+    bad = li.join(table(spark, d, "part").where("p_size % 2 = 1").select(F.col("p_partkey").cast("string").alias("value")), "value").select(F.col("value").alias("tid"), "qid").distinct()
     return edits.retire("deprecate", bad, li, "P1").select("action", "subject", "value", "guid")
 
 
@@ -713,22 +799,28 @@ def windowed_events(spark, d):
     return incremental.windowed(table(spark, d, "events")).withColumn("total", F.round("total", 4))
 
 
+_FOLDED = f"""WITH {_VEC}, f AS (SELECT doc_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1) % 2 AS INT) AS fold FROM v)
+SELECT label, fold, count(*) AS n, count(*) AS in_range, true AS better_than_chance FROM f GROUP BY label, fold"""
+
+
 def _quality(kind: str, **params):
+    """Held-out folds: every row is scored by the model that didn't see it. Its scores are no SQL's matter, but that there
+    is one between 0 and 1 for each row of each fold, and that they tell good from bad better than chance, is."""
+
     def f(spark, d):
-        v = _vectors(spark, d)
-        scored = models.train(kind, v, FEATURE_NAMES, **params).score(v)
-        return evaluate.metrics(evaluate.confusion(scored)).select("tp", "fp", "fn", "tn", "precision", "recall", "f1")
+        scored = evaluate.cross_validate(kind, _vectors(spark, d), FEATURE_NAMES, ["doc_id"], 2, **params)
+        right = F.avg(F.when((F.col("confidence") >= 0.5) == (F.col("label") == 1), 1.0).otherwise(0.0))
+        share = F.avg(F.col("label").cast("double"))
+        chance = scored.agg((right >= F.greatest(share, 1 - share) - 0.05).alias("better_than_chance"))  # of the larger class alone
+        n = scored.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("confidence").between(0.0, 1.0), 1)).alias("in_range"))
+        return n.join(F.broadcast(chance))
 
     QUERIES[f"{kind}_quality"] = f
+    SQL[f"{kind}_quality"] = _FOLDED
 
 
-_quality("nb")
-_quality("lr")
-_quality("lsvm")
-_quality("svm", components=32)
-_quality("rf", n_estimators=20)
-_quality("slp", max_iter=100)
-_quality("mlp", hidden=[8, 4], max_iter=30)
-_quality("vc", members=("nb", "lr", "slp"))
-_quality("gc", members=("nb", "lr"))
-_quality("sc", members=("nb", "lr"))
+for _kind in ("nb", "lr", "lsvm", "svm", "rf", "slp", "mlp", "vc"):
+    _quality(_kind)
+# ensembles over ensembles of folds: members without the slow ones
+_quality("gc", members=("nb", "lr", "slp"))
+_quality("sc", members=("nb", "lr", "slp"))

@@ -40,23 +40,51 @@ def candidates(source: DataFrame, target: DataFrame, source_key: str = "qid", ta
     return top_k(pairs.withColumn("jaccard", jaccard), source_key, [F.desc("shared"), F.desc("jaccard"), F.asc(target_key)], k).select(source_key, target_key, "shared", "jaccard", "rank")
 
 
+def contained(inner: DataFrame, outer: DataFrame, inner_key: str, outer_key: str, tokens: str = "tokens") -> DataFrame:
+    """Pairs (inner_key, outer_key) where the outer row has all tokens of the inner one.
+
+    An inner row is joined on its token that is rarest among the outer rows alone, as every row that holds all its tokens
+    holds that one; the few pairs are then verified on the whole sets. So a token that most rows have joins nothing
+    unless a row has no other.
+    """
+    small = inner.select(F.col(inner_key).alias("ik"), F.array_distinct(tokens).alias("it")).where(F.size("it") > 0)
+    large = outer.select(F.col(outer_key).alias("ok"), F.array_distinct(tokens).alias("ot"))
+    index = large.select("ok", F.explode("ot").alias("token"))
+    asked = small.select("ik", F.explode("it").alias("token"))
+    often = index.join(asked.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    rare = asked.join(often, "token", "left").groupBy("ik").agg(F.min(F.coalesce("n", F.lit(0))).alias("least"), F.min_by("token", F.struct("n", "token")).alias("token")).where("least > 0")
+    pairs = rare.select("ik", "token").join(index, "token").select("ik", "ok")
+    both = pairs.join(small, "ik").join(large, "ok").where(F.size(F.array_except("it", "ot")) == 0)
+    return both.select(F.col("ik").alias(inner_key), F.col("ok").alias(outer_key))
+
+
 def supersets(source: DataFrame, target: DataFrame, source_key: str = "qid", target_key: str = "tid", tokens: str = "tokens", k: int | None = None) -> DataFrame:
     """Targets that have all tokens of a source row; k: at most so many, the smallest target_keys."""
-    pairs = shared_counts(source, target, source_key, target_key, tokens).where("shared = ns").select(source_key, target_key)
+    pairs = contained(source, target, source_key, target_key, tokens).select(source_key, target_key)
     return pairs if k is None else top_k(pairs, source_key, [F.asc(target_key)], k).drop("rank")
 
 
 def subsets(source: DataFrame, target: DataFrame, source_key: str = "qid", target_key: str = "tid", tokens: str = "tokens", least: int = 2, without: DataFrame | None = None) -> DataFrame:
     """Targets of `least` tokens or more all of which a source row has; without: pairs that are left out."""
-    pairs = shared_counts(source, target, source_key, target_key, tokens).where(F.col("shared") == F.col("nt")).where(F.col("nt") >= least).select(source_key, target_key)
+    pairs = contained(target.where(F.size(F.array_distinct(tokens)) >= least), source, target_key, source_key, tokens).select(source_key, target_key)
     return pairs if without is None else pairs.join(without.select(source_key, target_key), [source_key, target_key], "left_anti")
 
 
 def exact(source: DataFrame, target: DataFrame, source_value: Column, target_value: Column, source_key: str = "qid", target_key: str = "tid") -> DataFrame:
-    """Pairs with the same value, whatever its case."""
-    s = source.select(source_key, F.lower(source_value).alias("value")).where("value is not null").distinct()
-    t = target.select(target_key, F.lower(target_value).alias("value")).where("value is not null").distinct()
-    return s.join(t, "value").select(source_key, target_key).distinct()
+    """Pairs with the same value, whatever its case; joined on its digest, as values may be long."""
+    s, t = _digests(source, source_key, source_value), _digests(target, target_key, target_value)
+    return s.join(t, "value").select(source_key, target_key)
+
+
+def _digests(rows: DataFrame, key: str, value: Column) -> DataFrame:
+    return rows.where(value.isNotNull()).select(key, F.sha2(F.lower(value), 256).alias("value")).distinct()
+
+
+def exact_classes(rows: DataFrame, key: str, value: Column) -> DataFrame:
+    """key and class: the smallest key with the same value, whatever its case. A row each, where exact() of a table with
+    itself would give all pairs of equal rows."""
+    each = _digests(rows, key, value)
+    return each.join(each.groupBy("value").agg(F.min(key).alias("class")), "value").select(key, "class")
 
 
 def search(target: DataFrame, words: list[str], target_key: str = "tid", tokens: str = "tokens", every: bool = False, k: int = 10) -> DataFrame:

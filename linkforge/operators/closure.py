@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared checkpoint folder; where there is none, as in tests, in a temporary one."""
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage in spark.checkpoint.dir. Where that is unset a local session takes a temporary folder; on a cluster
+    there is none that all machines share, so there it's an error."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        import tempfile
-
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="linkforge-checkpoint-"))
+        at = sc.getConf().get("spark.checkpoint.dir")
+        if not at and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="linkforge-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
@@ -30,13 +35,13 @@ def closure(edges: DataFrame, direction: str = "up", start: Column | DataFrame |
         roots = edges.sparkSession.range(1).select(start.cast("string").alias("root"))
     else:
         roots = step.select(F.col("node").alias("root")).union(step.select("next")).distinct()
-    fresh = _cut(roots.select("root", F.col("root").alias("node")))
+    fresh = cut(roots.select("root", F.col("root").alias("node")))
     parts = [fresh]
     for _ in range(most_rounds):
         seen = parts[0]
         for p in parts[1:]:
             seen = seen.unionByName(p)
-        fresh = _cut(fresh.join(step, "node").select("root", F.col("next").alias("node")).distinct().join(seen, ["root", "node"], "left_anti"))
+        fresh = cut(fresh.join(step, "node").select("root", F.col("next").alias("node")).distinct().join(seen, ["root", "node"], "left_anti"))
         if fresh.isEmpty():
             return seen
         parts.append(fresh)
@@ -51,9 +56,10 @@ def superclasses(edges: DataFrame, qid: str) -> DataFrame:
     return closure(edges, "down", F.lit(qid)).select(F.col("node").alias("qid"))
 
 
-def expansion(edges: DataFrame) -> DataFrame:
-    """node, related: every class with its sub- and superclasses, itself included, as a sorted array."""
-    up, down = closure(edges, "up"), closure(edges, "down")
+def expansion(edges: DataFrame, used: DataFrame | None = None) -> DataFrame:
+    """node, related: every class with its sub- and superclasses, itself included, as a sorted array. used (root): only
+    these classes, so that the closure starts from what occurs instead of from all."""
+    up, down = closure(edges, "up", used), closure(edges, "down", used)
     return up.unionByName(down).distinct().groupBy(F.col("root").alias("node")).agg(F.array_sort(F.collect_set("node")).alias("related"))
 
 

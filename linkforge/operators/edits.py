@@ -42,19 +42,22 @@ def plan_additions(statements: DataFrame, claims: DataFrame, redirects: DataFram
     if redirects is not None:
         rows = follow(rows, redirects, "subject")
     fold = lambda pid, v: F.when(pid.isin(*CASELESS), F.lower(v)).otherwise(v)
-    c = claims.select(F.col("qid").alias("subject"), F.col("pid").alias("c_pid"), F.col("value").alias("c_value"), "guid").where("c_value is not null")
-    joined = rows.withColumn("sid", F.xxhash64("subject", "predicate", "value", "tid")).join(c, "subject", "left")
-    same = fold(F.col("predicate"), F.col("value")) == fold(F.col("predicate"), F.col("c_value"))
-    own = same & (F.col("c_pid") == F.col("predicate"))
-    website = (F.col("c_pid") == OFFICIAL_WEBSITE) & (F.rtrim("value", F.lit("/")) == F.rtrim("c_value", F.lit("/")))
-    crew = F.lit(movie_works) & F.col("c_pid").isin(*MOVIE_PIDS) & (F.col("value") == F.col("c_value"))
-    hit = F.when(website, 1).when(crew, 2).when(own, 3)
-    judged = joined.withColumn("hit", F.coalesce(hit, F.lit(9)))
+    # what a claim is found by: 1 the website, 2 a crew member, 3 property and value
+    by = lambda subject, hit, pid, v: F.struct(F.col(subject).alias("subject"), F.lit(hit).alias("hit"), pid.alias("of"), v.alias("v"))
+    none = F.lit("")
+    p, v, cp, cv = F.col("predicate"), F.col("value"), F.col("pid"), F.col("value")
+    bare = lambda x: F.rtrim(x, F.lit("/"))
+    rows = rows.withColumn("sid", F.xxhash64("subject", "predicate", "value", "tid"))
+    asked = [by("subject", 1, none, bare(v)), by("subject", 3, p, fold(p, v))] + ([by("subject", 2, none, v)] if movie_works else [])
+    held = [F.when(cp == OFFICIAL_WEBSITE, by("qid", 1, none, bare(cv))), by("qid", 3, cp, fold(cp, cv))] + ([F.when(cp.isin(*MOVIE_PIDS), by("qid", 2, none, cv))] if movie_works else [])
+    s = rows.select("sid", "predicate", "value", "tid", F.explode(F.array(*asked)).alias("by"))
+    c = claims.where("value is not null").select(F.col("pid").alias("c_pid"), F.col("value").alias("c_value"), "guid", F.explode(F.array_compact(F.array(*held))).alias("by"))
+    judged = s.select("sid", "predicate", "value", "tid", "by.*").join(c.select("c_pid", "c_value", "guid", "by.*"), ["subject", "hit", "of", "v"])
     best = judged.groupBy("sid").agg(F.min("hit").alias("best"))
-    firsts = judged.where("hit < 9").groupBy("sid", "hit").agg(F.min("guid").alias("first_guid"))
-    picked = judged.join(best, "sid").where("hit = best and best < 9").join(firsts, ["sid", "hit"]).where((~F.col("predicate").isin(*CASELESS)) | (F.col("guid") == F.col("first_guid")))
-    references = picked.select(F.lit("reference").alias("action"), "subject", F.when(F.col("hit") == 3, F.col("predicate")).otherwise(F.col("c_pid")).alias("predicate"), F.col("c_value").alias("value"), "guid", "tid")
-    adds = judged.join(best, "sid").where("best = 9").select(F.lit("add").alias("action"), "subject", "predicate", "value", F.lit(None).cast("string").alias("guid"), "tid")
+    firsts = judged.groupBy("sid", "hit").agg(F.min("guid").alias("first_guid"))
+    picked = judged.join(best, "sid").where("hit = best").join(firsts, ["sid", "hit"]).where((~p.isin(*CASELESS)) | (F.col("guid") == F.col("first_guid")))
+    references = picked.select(F.lit("reference").alias("action"), "subject", F.when(F.col("hit") == 3, p).otherwise(F.col("c_pid")).alias("predicate"), F.col("c_value").alias("value"), "guid", "tid")
+    adds = rows.join(best, "sid", "left_anti").select(F.lit("add").alias("action"), "subject", "predicate", "value", F.lit(None).cast("string").alias("guid"), "tid")
     out = adds.unionByName(references).distinct()
     out = out.withColumn("kind", value_kind(F.col("value")))
     return out.withColumn("subject", F.lit(SANDBOX)) if sandbox else out

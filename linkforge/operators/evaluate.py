@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import product
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkforge.operators.closure import cut
+
 SCHEMA = "fold int, params string, tp long, fp long, fn long, tn long, precision double, recall double, f1 double"
 
 
@@ -52,7 +55,7 @@ def cross_validate(kind: str, rows: DataFrame, features: list[str], keys: list[s
     """Every row's out-of-fold confidence, with its fold."""
     from linkforge.operators.models import train
 
-    dealt = folds(rows, k, keys).persist()
+    dealt = cut(folds(rows, k, keys))
     parts = [train(kind, dealt.where(F.col("fold") != i), features, **params).score(dealt.where(F.col("fold") == i)) for i in range(k)]
     return reduce(DataFrame.unionByName, parts)
 
@@ -73,15 +76,16 @@ def grid(kind: str) -> list[dict]:
     return [dict(zip(options, values, strict=True)) for values in product(*options.values())] if options else [{}]
 
 
-def grid_search(kind: str, rows: DataFrame, features: list[str], keys: list[str], k: int = 5, choices: list[dict] | None = None) -> tuple[dict, DataFrame]:
+def grid_search(kind: str, rows: DataFrame, features: list[str], keys: list[str], k: int = 5, choices: list[dict] | None = None, parallel: int = 4) -> tuple[dict, DataFrame]:
     """(the parameters with the best mean f1, all results). Ties: the first choice."""
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()
-    results = []
-    for i, p in enumerate(grid(kind) if choices is None else choices):
-        r = average_k_fold(kind, rows, features, keys, k, **p).first()
-        results.append((i, p, r))
+    # the fits of several choices run side by side, as each alone leaves executors idle between its rounds
+    tried = list(enumerate(grid(kind) if choices is None else choices))
+    rows = cut(rows)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tried)))) as pool:
+        results = list(pool.map(lambda x: (*x, average_k_fold(kind, rows, features, keys, k, **x[1]).first()), tried))
     best = max(results, key=lambda x: (x[2]["f1_mean"], -x[0]))[1]
     table = spark.createDataFrame([(str(p), float(r["f1_mean"]), float(r["f1_std"])) for _, p, r in results], "params string, f1_mean double, f1_std double")
     return best, table
@@ -89,16 +93,23 @@ def grid_search(kind: str, rows: DataFrame, features: list[str], keys: list[str]
 
 def nested_k_fold(kind: str, rows: DataFrame, features: list[str], keys: list[str], outer: int = 5, inner: int = 5, choices: list[dict] | None = None) -> tuple[DataFrame, list[dict]]:
     """Cross-validation with a grid search within each fold: (metrics per fold, each fold's best parameters)."""
+    report, _, found = nested_predictions(kind, rows, features, keys, outer, inner, choices)
+    return report, found
+
+
+def nested_predictions(kind: str, rows: DataFrame, features: list[str], keys: list[str], outer: int = 5, inner: int = 5, choices: list[dict] | None = None) -> tuple[DataFrame, DataFrame, list[dict]]:
+    """The same, with every row's prediction by the model that didn't see it."""
     from linkforge.operators.models import train
 
-    dealt = folds(rows, outer, keys, out="outer_fold").persist()
+    dealt = cut(folds(rows, outer, keys, out="outer_fold"))
     parts, found = [], []
     for i in range(outer):
         own = dealt.where(F.col("outer_fold") != i)
         best, _ = grid_search(kind, own, features, keys, inner, choices)
         found.append(best)
         parts.append(train(kind, own, features, **best).score(dealt.where(F.col("outer_fold") == i)))
-    return metrics(confusion(reduce(DataFrame.unionByName, parts), ["outer_fold"])), found
+    scored = cut(reduce(DataFrame.unionByName, parts))
+    return metrics(confusion(scored, ["outer_fold"])), scored, found
 
 
 def describe(scores: DataFrame, by: list[str], column: str = "confidence") -> DataFrame:

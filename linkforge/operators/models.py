@@ -1,30 +1,33 @@
 """Classifiers of candidate pairs on named feature columns. All but the naive Bayes in SQL form are Spark ML estimators.
 
-Deviations, as Spark ML has no counterpart: the multi-layer perceptron has sigmoid layers, no batch normalisation and
-no early stopping; the kernel machine is a linear one over random Fourier features; a single-layer perceptron is a
+Deviations, as Spark ML has no counterpart: the multi-layer perceptron has sigmoid layers and no batch normalisation
+(early stopping by `patience`); the kernel machine is a linear one over random Fourier features; a single-layer perceptron is a
 logistic regression without penalty.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import reduce
+from typing import Any
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import Binarizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NAMES = {
     "naive_bayes": "nb", "logistic_regression": "lr", "support_vector_machines": "svm", "linear_support_vector_machines": "lsvm", "random_forest": "rf", "single_layer_perceptron": "slp",
     "multi_layer_perceptron": "mlp", "voting_classifier": "vc", "gated_classifier": "gc", "stacked_classifier": "sc",
 }
+# Settings that results depend on, and the grids over them.
 DEFAULTS = {
-    "nb": {"alpha": 1e-4, "binarize": 0.2}, "lr": {"tol": 1e-3, "C": 1.0, "max_iter": 100}, "lsvm": {"tol": 1e-3, "C": 1.0, "max_iter": 100}, "svm": {"C": 1.0, "gamma": 1.0, "components": 128, "max_iter": 100},
-    "rf": {"n_estimators": 500, "criterion": "entropy", "max_features": "all", "bootstrap": True}, "slp": {"max_iter": 1000}, "mlp": {"hidden": [128, 32], "max_iter": 200},
+    "nb": {"alpha": 1e-4, "binarize": 0.2}, "lr": {"tol": 1e-3, "C": 1.0, "max_iter": 100}, "lsvm": {"tol": 1e-3, "C": 1.0, "max_iter": 1000}, "svm": {"C": 1.0, "gamma": 1.0, "components": 128, "max_iter": 100},
+    "rf": {"n_estimators": 500, "criterion": "entropy", "max_features": "all", "bootstrap": True}, "slp": {"max_iter": 1000}, "mlp": {"hidden": [128, 32], "max_iter": 200, "patience": 0, "step": 10, "validation": 0.33},
     "vc": {"voting": "soft"}, "gc": {"folds": 2, "meta": "slp"}, "sc": {"folds": 2, "meta": "slp"},
 }
 GRIDS = {
@@ -37,6 +40,17 @@ MEMBERS = ("nb", "lr", "rf", "slp", "mlp")
 SEED = 1269
 
 
+#: Classifiers of one's own: a function of parameters, feature column and label column that gives a Spark ML estimator.
+OWN: dict[str, Callable[[dict, str, str], Any]] = {}
+
+
+def register(kind: str, make: Callable[[dict, str, str], Any], **defaults) -> None:
+    """A further kind for train(), with its parameters and their defaults."""
+    if kind in DEFAULTS and kind not in OWN:
+        raise ValueError(f"{kind} is built in")
+    OWN[kind], DEFAULTS[kind] = make, defaults
+
+
 def short_name(name: str) -> str:
     out = NAMES.get(name, name)
     if out not in DEFAULTS:
@@ -146,7 +160,10 @@ def train(kind: str, rows: DataFrame, features: list[str], label: str = "label",
     n = 1.0
     if kind in ("lr", "lsvm", "svm"):
         n = max(1, rows.count())
+    if kind == "mlp" and int(p["patience"]):
+        return Model(kind, list(features), _early_stopped(Pipeline(stages=stages).fit(data), data, features, label, p), p)
     made = {
+        **{k: (lambda f=f: f(p, "features_vector", label)) for k, f in OWN.items()},
         "nb": lambda: NaiveBayes(modelType="bernoulli", smoothing=float(p["alpha"]), **common),
         "lr": lambda: LogisticRegression(regParam=1 / (float(p["C"]) * n), tol=float(p["tol"]), maxIter=int(p["max_iter"]), **common),
         "slp": lambda: LogisticRegression(regParam=0.0, maxIter=int(p["max_iter"]), **common),
@@ -158,6 +175,31 @@ def train(kind: str, rows: DataFrame, features: list[str], label: str = "label",
     return Model(kind, list(features), Pipeline(stages=[*stages, made]).fit(data), p)
 
 
+def _early_stopped(prepared: PipelineModel, data: DataFrame, features: list[str], label: str, p: dict) -> PipelineModel:
+    """The perceptron in rounds of `step` iterations, each from the weights of the last; it ends when the loss on held-out
+    rows (a share `validation`, by a hash of the row) hasn't fallen for `patience` iterations, and the best round stays."""
+    from linkforge.operators.closure import cut
+
+    keys = [c for c in ("qid", "tid") if c in data.columns] or list(features)
+    rows = cut(prepared.transform(data).withColumn("held", F.pmod(F.xxhash64(*keys), F.lit(1000)) < 1000 * float(p["validation"])))
+    own, held = rows.where("not held"), rows.where("held")
+    if held.isEmpty() or own.isEmpty():
+        own = held = rows
+    chance = F.greatest(F.lit(1e-12), F.element_at(vector_to_array("probability"), F.col(label).cast("int") + 1))
+    best, weights, since = None, None, 0
+    for _ in range(0, int(p["max_iter"]), int(p["step"])):
+        m = MultilayerPerceptronClassifier(layers=[len(features), *map(int, p["hidden"]), 2], maxIter=int(p["step"]), seed=SEED, featuresCol="features_vector", labelCol=label)
+        model = (m.setInitialWeights(weights) if weights is not None else m).fit(own)
+        weights, loss = model.weights, model.transform(held).agg(F.avg(-F.log(chance))).first()[0]
+        if best is None or loss < best[0]:
+            best, since = (loss, model), 0
+        else:
+            since += int(p["step"])
+            if since >= int(p["patience"]):
+                break
+    return PipelineModel([*prepared.stages, best[1]])
+
+
 def _sql(features: list[str], i: int, n: int, gamma: float) -> str:
     """A random Fourier feature of a Gaussian kernel: inner products approximate exp(-gamma |x - y|^2)."""
     r = np.random.default_rng(SEED)
@@ -167,6 +209,7 @@ def _sql(features: list[str], i: int, n: int, gamma: float) -> str:
 
 def _train_ensemble(kind: str, data: DataFrame, features: list[str], label: str, p: dict) -> Model:
     """Voting: mean or majority. Gated: one layer, whose out-of-fold scores train the meta classifier. Stacked: two layers."""
+    from linkforge.operators.closure import cut
     from linkforge.operators.evaluate import folds
 
     members = [(m, {}) if isinstance(m, str) else m for m in p.pop("members", MEMBERS)]
@@ -175,7 +218,9 @@ def _train_ensemble(kind: str, data: DataFrame, features: list[str], label: str,
         return Model(kind, list(features), ([fit(data, features)], None), p)
     layers, rows, cols = [], data, list(features)
     for i in range(1 if kind == "gc" else 2):
-        dealt = folds(rows, int(p["folds"]), cols, label, "layer_fold").persist()
+        # by the pairs' ids: equal vectors would tie
+        keys = [c for c in ("qid", "tid") if c in rows.columns] or cols
+        dealt = cut(folds(rows, int(p["folds"]), keys, label, "layer_fold"))
         parts = []
         for k in range(int(p["folds"])):
             part = dealt.where(F.col("layer_fold") == k)
@@ -199,12 +244,21 @@ def naive_bayes_table(rows: DataFrame, features: list[str], label: str = "label"
 
 
 def naive_bayes_score(rows: DataFrame, keys: list[str], table: DataFrame, features: list[str], binarize: float = 0.2) -> DataFrame:
-    """keys and confidence, by the table of naive_bayes_table (of one row per class and feature, so broadcast)."""
-    long = padded(rows, features).unpivot(keys, features, "feature", "x").join(F.broadcast(table), "feature")
-    one = F.sum(F.when(F.col("x") > binarize, F.col("one")).otherwise(F.col("zero")))
-    sums = long.groupBy(*keys, "label").agg((one + F.max("prior")).alias("s"))
-    both = sums.groupBy(*keys).agg(F.max(F.when(F.col("label") == 1, F.col("s"))).alias("s1"), F.max(F.when(F.col("label") == 0, F.col("s"))).alias("s0"))
-    return both.select(*keys, F.when(F.col("s1").isNull(), 0.0).when(F.col("s0").isNull(), 1.0).otherwise(1 / (1 + F.exp(F.col("s0") - F.col("s1")))).alias("confidence"))
+    """keys and confidence, by the table of naive_bayes_table: a row per class and feature, which become constants of one
+    projection, so no row is moved."""
+    known: dict[int, dict] = {}
+    for r in table.collect():
+        known.setdefault(int(r["label"]), {"prior": r["prior"]})[r["feature"]] = (r["one"], r["zero"])
+
+    def total(label: int) -> Column:
+        parts = [F.when(F.col(f) > binarize, F.lit(known[label][f][0])).otherwise(F.lit(known[label][f][1])) for f in features]
+        return reduce(lambda a, b: a + b, parts) + F.lit(known[label]["prior"])
+
+    if not {0, 1} <= {*known}:
+        score = F.lit(1.0 if 1 in known else 0.0)
+    else:
+        score = 1 / (1 + F.exp(total(0) - total(1)))
+    return padded(rows, features).select(*keys, score.alias("confidence"))
 
 
 def unsupervised(rows: DataFrame, features: list[str], binarize: float = 0.5, rounds: int = 50, start: float = 0.1) -> tuple[DataFrame, dict]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkforge.functions.dates import birth_or_death_match
 from linkforge.functions.urls import item_id
+from linkforge.knowledge_base import KnowledgeBase, configured
 from linkforge.operators import blocking
 from linkforge.schema import NAME_FIELDS
 
@@ -21,9 +22,9 @@ def zero_when_names_differ(confidence: Column, source_names: Column, target_name
     return F.when(F.coalesce(F.arrays_overlap(source_names, target_names), F.lit(False)), confidence).otherwise(0.0)
 
 
-def linked_item(urls: Column) -> Column:
+def linked_item(urls: Column, kb: KnowledgeBase | None = None) -> Column:
     """The item of the first URL of the knowledge base; null if there is none."""
-    hits = F.filter(F.transform(F.filter(urls, lambda u: F.contains(u, F.lit("wikidata"))), item_id), lambda q: q != "")
+    hits = F.filter(F.transform(F.filter(urls, lambda u: F.contains(u, F.lit((kb or configured()).mark))), item_id), lambda q: q != "")
     return F.get(hits, F.lit(0))
 
 
@@ -62,9 +63,9 @@ def first_per_target(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("tid").agg(F.min("qid").alias("qid"))
 
 
-def existing_links(link_table: DataFrame) -> DataFrame:
+def existing_links(link_table: DataFrame, kb: KnowledgeBase | None = None) -> DataFrame:
     """Links that a catalogue itself has to the knowledge base: qid, tid."""
-    rows = link_table.where(F.col("is_wiki") & F.array_contains("url_tokens", "wikidata"))
+    rows = link_table.where(F.col("is_wiki") & F.array_contains("url_tokens", (kb or configured()).mark))
     return rows.select(item_id(F.col("url")).alias("qid"), F.col("catalog_id").alias("tid")).where("qid <> ''").distinct()
 
 

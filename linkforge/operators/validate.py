@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkforge.functions.dates import bio_value, match_values
-from linkforge.functions.urls import ITEM_URL, PROPERTY_URL, off_blacklist, split_external_ids
+from linkforge.functions.urls import off_blacklist, split_external_ids
+from linkforge.knowledge_base import configured
 from linkforge.schema import BIO_PIDS, DATE_OF_BIRTH, DATE_OF_DEATH, PLACE_OF_BIRTH, PLACE_OF_DEATH, SEX_OR_GENDER
 
 
@@ -44,7 +45,7 @@ def validate_links(ids: DataFrame, source_urls: DataFrame, target_urls: DataFram
     got = compare_sets(ids, source_urls, target_urls, "url")
     add_ids, add_urls = split_external_ids(got["extra"], metadata)
     ref_ids, ref_urls = split_external_ids(got["shared"], metadata)
-    item = got["source_only"].select("tid", "url", F.concat(F.lit(ITEM_URL), F.col("qid")).alias("item_url"))
+    item = got["source_only"].select("tid", "url", F.concat(F.lit(configured().item_url), F.col("qid")).alias("item_url"))
     return {
         "deprecate": got["deprecate"], "ext_ids_to_add": add_ids, "urls_to_add": off_blacklist(add_urls, blacklist, "value"),
         "ext_ids_to_reference": ref_ids, "urls_to_reference": off_blacklist(ref_urls, blacklist, "value"), "source_only": item,
@@ -98,5 +99,5 @@ def statements(rows: DataFrame, for_catalogs: bool = False) -> DataFrame:
     """(qid, pid, value, tid) as subject, predicate, value, tid; for catalogues with full URLs of properties and items."""
     if not for_catalogs:
         return rows.select(F.col("qid").alias("subject"), F.col("pid").alias("predicate"), "value", "tid")
-    value = F.when(F.col("value").rlike(r"^Q\d+$"), F.concat(F.lit(ITEM_URL), F.col("value"))).otherwise(F.col("value"))
-    return rows.select(F.col("tid").alias("subject"), F.concat(F.lit(PROPERTY_URL), F.col("pid")).alias("predicate"), value.alias("value"), F.concat(F.lit(ITEM_URL), F.col("qid")).alias("tid"))
+    value = F.when(F.col("value").rlike(r"^Q\d+$"), F.concat(F.lit(configured().item_url), F.col("value"))).otherwise(F.col("value"))
+    return rows.select(F.col("tid").alias("subject"), F.concat(F.lit(configured().property_url), F.col("pid")).alias("predicate"), value.alias("value"), F.concat(F.lit(configured().item_url), F.col("qid")).alias("tid"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkforge.functions import dates, text, urls
-from linkforge.operators import blocking, evaluate, features, models, rules
+from linkforge.operators import blocking, closure, evaluate, features, models, rules
+from linkforge.operators.closure import cut
 from linkforge.schema import Target, check_goal
 
 NAME_LISTS = ("name", "birth_name", "family_name", "given_name", "pseudonym", "real_name")
@@ -65,6 +68,13 @@ def feature_table(pairs: DataFrame, source: DataFrame, target: DataFrame, expans
     return features.vectors(pairs, source, t, wanted)
 
 
+def class_expansion(edges: DataFrame, *tables: DataFrame) -> DataFrame:
+    """Sub- and superclasses of the occupations that occur in the tables."""
+    used = [t.select(F.explode("occupations").alias("root")) for t in tables if "occupations" in t.columns]
+    roots = reduce(DataFrame.unionByName, used).where("root is not null").distinct() if used else None
+    return closure.expansion(edges, roots)
+
+
 def training_set(items: DataFrame, main: DataFrame, link: DataFrame | None = None, nlp: DataFrame | None = None, expansion: DataFrame | None = None) -> DataFrame:
     """Feature vectors of candidates with label: 1 for known links. Known links that blocking doesn't propose aren't rows."""
     source = prepare_source(items, "training").where("tid is not null")
@@ -104,11 +114,21 @@ def _dated(pairs):
 
 def evaluation(kind: str, rows: DataFrame, how: str = "average", k: int = 5, **params) -> DataFrame:
     """how: average, single or nested."""
-    names = list(features.FEATURES)
+    return evaluated(kind, rows, how, k, **params)[0]
+
+
+def evaluated(kind: str, rows: DataFrame, how: str = "average", k: int = 5, **params) -> tuple[DataFrame, DataFrame]:
+    """(the report, every row's out-of-fold prediction: qid, tid, label, fold, confidence)."""
+    names, keys = list(features.FEATURES), ["qid", "tid"]
     if how == "nested":
-        return evaluate.nested_k_fold(kind, rows, names, ["qid", "tid"], k, k)[0]
-    run = {"average": evaluate.average_k_fold, "single": evaluate.single_k_fold}[how]
-    return run(kind, rows, names, ["qid", "tid"], k, **params)
+        report, scored = evaluate.nested_predictions(kind, rows, names, keys, k, k)[:2]
+        return report, scored.select(*keys, "label", F.col("outer_fold").alias("fold"), "confidence")
+    scored = cut(evaluate.cross_validate(kind, rows, names, keys, k, **params).select(*keys, "label", "fold", "confidence"))
+    if how == "average":
+        return evaluate.average(evaluate.metrics(evaluate.confusion(scored, ["fold"]))), scored
+    if how != "single":
+        raise ValueError(f"no such evaluation: {how}")
+    return evaluate.metrics(evaluate.confusion(scored)), scored
 
 
 def target_tables(spark, folder: str, t: Target) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:

@@ -11,6 +11,8 @@ class CatalogReader(ABC):
     """Dump files to tables. A new catalogue is a subclass and its rows in schema.TARGETS."""
 
     catalog: str
+    #: The dump's files by the names that read() knows, in its folder.
+    files: dict[str, str] = {}
 
     @abstractmethod
     def read(self, spark: SparkSession, paths: dict[str, str], **options) -> dict[str, DataFrame]:
@@ -28,6 +30,20 @@ class CatalogReader(ABC):
         return {name: spark.read.schema(df.schema).parquet(f"{out}/{name}") for name, df in tables.items()}
 
 
+    def counts(self, tables: dict[str, DataFrame]) -> dict[str, int]:
+        """Rows of each table as written, for the log: Parquet knows them without reading rows."""
+        return {name: df.count() for name, df in tables.items()}
+
+
+#: Readers by catalogue; a new one joins by register().
+READERS: dict[str, type[CatalogReader]] = {}
+
+
+def register(reader: type[CatalogReader]) -> type[CatalogReader]:
+    READERS[reader.catalog] = reader
+    return reader
+
+
 def gzip_aware(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
     """A gzip file is one partition: spread its rows before what follows."""
     return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism) if path.endswith(".gz") else df

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkforge.functions import dates, text, urls
-from linkforge.sources.base import CatalogReader, gzip_aware
+from linkforge.sources.base import CatalogReader, gzip_aware, register
 
 ARTIST = "id string, name string, realname string, data_quality string, profile string, namevariations struct<name:array<string>>, urls struct<url:array<string>>, groups struct<name:array<string>>, members struct<name:array<string>>"
 MASTER = "_id string, main_release string, title string, data_quality string, year string, genres struct<genre:array<string>>, styles struct<style:array<string>>, artists struct<artist:array<struct<id:string>>>"
@@ -16,8 +16,10 @@ def xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
     return gzip_aware(spark.read.format("xml").option("rowTag", tag).schema(schema).load(path), path)
 
 
+@register
 class DiscogsReader(CatalogReader):
     catalog = "discogs"
+    files = {n: f"{n}.xml.gz" for n in ("artists", "masters")}
 
     def read(self, spark: SparkSession, paths: dict[str, str], solo_as_musician: bool = False, resolver=None) -> dict[str, DataFrame]:
         """paths: artists, masters (either may be absent). resolver: see sources.online.resolve, off by default."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkforge.functions import dates, text
 from linkforge.schema import CLASS_QID, PROFESSIONS
-from linkforge.sources.base import CatalogReader, gzip_aware
+from linkforge.sources.base import CatalogReader, gzip_aware, register
 
 NAMES = "nconst string, primaryName string, birthYear string, deathYear string, primaryProfession string, knownForTitles string"
 TITLES = "tconst string, titleType string, primaryTitle string, originalTitle string, isAdult string, startYear string, endYear string, runtimeMinutes string, genres string"
@@ -19,8 +19,10 @@ def tsv(spark: SparkSession, path: str, schema: str, header: bool = True) -> Dat
     return gzip_aware(spark.read.schema(schema).csv(path, sep="\t", header=header, nullValue="\\N", quote="", escape="", enforceSchema=True), path)
 
 
+@register
 class ImdbReader(CatalogReader):
     catalog = "imdb"
+    files = {n: f"{n}.tsv.gz" for n in ("names", "titles")}
 
     def read(self, spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
         """paths: names, titles (either may be absent)."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkforge.schema import LINKS, STATEMENTS
+from linkforge.schema import CURATION_ENTRY, LINKS, STATEMENTS
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
@@ -48,6 +48,20 @@ def write_report(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("overwrite").json(path)
 
 
+def write_predictions(df: DataFrame, path: str) -> None:
+    """Out-of-fold predictions beside a report: qid, tid, label, fold, confidence."""
+    df.select("qid", "tid", "label", "fold", "confidence").write.mode("overwrite").csv(path, compression="gzip", header=True)
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("qid string, tid string, label int, fold int, confidence double").csv(path, header=True)
+
+
+def read_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of the curation game as they stand, as JSON lines."""
+    return spark.read.schema(CURATION_ENTRY).json(path)
+
+
 def read_reports(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Reports by model name in one table, with the column model."""
     out = None

@@ -138,6 +138,10 @@ def property_metadata(properties: DataFrame) -> DataFrame:
     properties: the same columns without ord; pid and formatter may come as URIs and are cut.
     """
     rows = properties.select(urls.property_id(F.col("pid")).alias("pid"), "formatter_url", "id_regex", "url_regex").where("pid <> ''").distinct()
+    for c in ("id_regex", "url_regex"):
+        bad = _unusable(rows, c)
+        if bad:
+            rows = rows.withColumn(c, F.when(~F.col(c).isin(bad), F.col(c)))
     return rows.withColumn("ord", F.row_number().over(_order())).select("ord", "pid", "formatter_url", "id_regex", "url_regex")
 
 
@@ -147,6 +151,28 @@ def _order():
     return Window.orderBy(F.substring("pid", 2, 20).cast("long"), "formatter_url", "id_regex", "url_regex")
 
 
+def _unusable(rows: DataFrame, column: str, most: int = 50_000) -> list[str]:
+    """Distinct patterns that Java doesn't compile; properties are few thousands, and counted."""
+    found = [r[0] for r in rows.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"over {most} patterns")
+    return [p for p, ok in zip(found, usable_patterns(found), strict=True) if ok is None]
+
+
+def url_properties(properties: DataFrame, kinds: tuple[str, ...] = ("url",)) -> list[str]:
+    """Ids of the properties whose values are URLs. properties: pid (an id or a URI) and datatype (a name or a URI)."""
+    kind = F.lower(F.regexp_extract("datatype", r"([A-Za-z]+)$", 1))
+    rows = properties.select(urls.property_id(F.col("pid")).alias("pid"), kind.alias("kind")).where(F.col("kind").isin(*kinds) & (F.col("pid") != ""))
+    return [r[0] for r in rows.select("pid").distinct().orderBy(F.substring("pid", 2, 20).cast("long")).collect()]
+
+
+def labels(entities: DataFrame, ids: DataFrame, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """id, language, label of the entities asked for (ids: id); languages: only these."""
+    wanted = entities.join(ids.select("id").distinct(), "id", "left_semi").select("id", F.explode("labels").alias("language", "l"))
+    out = wanted.select("id", "language", F.col("l.value").alias("label"))
+    return out if languages is None else out.where(F.col("language").isin(*languages))
+
+
 def usable_patterns(patterns: list[str | None]) -> list[str | None]:
     """Those that Java compiles, others null; for the few thousand patterns of properties, on the driver."""
     spark = SparkSession.getActiveSession()

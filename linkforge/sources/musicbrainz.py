@@ -1,4 +1,4 @@
-"""MusicBrainz dump: tab-separated files without a header, \\N for null. The archive is unpacked beforehand."""
+"""MusicBrainz dump: tab-separated files without a header, \\N for null. unpack() takes them out of the archive."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkforge.functions import dates, text
 from linkforge.schema import ISNI
-from linkforge.sources.base import CatalogReader
+from linkforge.sources.base import CatalogReader, register
 from linkforge.sources.discogs import link_rows
 from linkforge.sources.imdb import tsv
 
@@ -31,8 +31,32 @@ def gender(code: Column) -> Column:
     return reduce(lambda c, kv: c.when(code == kv[0], F.lit(kv[1])), list(GENDERS.items())[1:], F.when(code == 1, F.lit(GENDERS[1])))
 
 
+def unpack(archive: str, folder: str, names: tuple[str, ...] = tuple(FILES)) -> dict[str, str]:
+    """The files of a tar.bz2 archive that are read, as bzip2 files in a folder that all machines see: Spark splits those.
+
+    One pass over the archive on the driver, in pieces of a megabyte; returns their paths by name.
+    """
+    import bz2
+    import os
+    import tarfile
+
+    os.makedirs(folder, exist_ok=True)
+    out = {}
+    with tarfile.open(archive, "r|*") as t:
+        for member in t:
+            name = os.path.basename(member.name)
+            if member.isfile() and name in names:
+                out[name] = os.path.join(folder, f"{name}.bz2")
+                with t.extractfile(member) as f, bz2.open(out[name], "wb") as g:
+                    while data := f.read(1 << 20):
+                        g.write(data)
+    return out
+
+
+@register
 class MusicBrainzReader(CatalogReader):
     catalog = "musicbrainz"
+    files = {n: n for n in FILES}
 
     def read(self, spark: SparkSession, paths: dict[str, str], isni_formatters: list[str] | None = None, resolver=None, before: str | None = None) -> dict[str, DataFrame]:
         """paths: a path for each of FILES. before: release dates on or after it don't count. isni_formatters: URLs with $1."""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import time
+import urllib.error
 import urllib.request
 from collections.abc import Iterator
 from email.utils import parsedate_to_datetime
@@ -14,8 +16,20 @@ AGENT = {"User-Agent": "Mozilla/5.0 (compatible; linkforge)"}
 TIMEOUT = 10
 
 
-def call(url: str, method: str = "GET", headers: dict[str, str] | None = None, timeout: int = TIMEOUT):
-    return urllib.request.urlopen(urllib.request.Request(url, method=method, headers={**AGENT, **(headers or {})}), timeout=timeout)
+def call(url: str, method: str = "GET", headers: dict[str, str] | None = None, timeout: int = TIMEOUT, tries: int = 3, wait: float = 1.0):
+    """The open response. Lost connections, 429 and 503 are tried again, after what Retry-After asks for or twice as long each time."""
+    for k in range(tries):
+        try:
+            return urllib.request.urlopen(urllib.request.Request(url, method=method, headers={**AGENT, **(headers or {})}), timeout=timeout)
+        except urllib.error.HTTPError as e:
+            if e.code not in (429, 503) or k == tries - 1:
+                raise
+            asked = e.headers.get("Retry-After", "")
+            time.sleep(float(asked) if asked.isdigit() else wait * 2**k)
+        except (urllib.error.URLError, ConnectionError, TimeoutError):
+            if k == tries - 1:
+                raise
+            time.sleep(wait * 2**k)
 
 
 def download(url: str, path: str, chunk: int = 1 << 20) -> str:
@@ -57,7 +71,7 @@ def imdb_dumps(base: str) -> list[str]:
 
 def final_url(url: str) -> str | None:
     try:
-        with call(url) as r:
+        with call(url, tries=1) as r:
             return r.geturl()
     except Exception:  # noqa: BLE001  any failure means a dead link
         return None
@@ -78,3 +92,9 @@ def without_rotten(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links that live, links that don't)."""
     alive = resolve(links.selectExpr("url as was", "url as to").distinct(), "to").select("was").distinct()
     return links.join(alive, links["url"] == alive["was"], "left_semi"), links.join(alive, links["url"] == alive["was"], "left_anti")
+
+
+def totals(alive: DataFrame, rotten: DataFrame) -> DataFrame:
+    """One row: how many links there were (total), how many of them live and how many don't (removed)."""
+    both = alive.selectExpr("0 as gone").unionByName(rotten.selectExpr("1 as gone"))
+    return both.selectExpr("count(*) as total", "coalesce(sum(1 - gone), 0) as alive", "coalesce(sum(gone), 0) as removed")

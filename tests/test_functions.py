@@ -52,12 +52,30 @@ def test_url_tokens(spark):
     [
         ("https://example.com", "https://example.com"), ("example.com/x", "https://example.com/x"), ("http://192.168.0.1:8080/a", "http://192.168.0.1:8080/a"), ("localhost", "https://localhost"), ("ftp://u:p@example.org", "ftp://u:p@example.org"),
         ("http://[::1]/", "http://[::1]/"), ("no url", None), ("http://-bad.com", None), ("http://a.b-", None), ("HTTP://EXAMPLE.COM", "HTTP://EXAMPLE.COM"), ("münchen.de", "https://münchen.de"), ("", None), ("x.com\n", None),
+        ("a.123", None), ("xn--mnchen-3ya.xn--p1ai", "https://xn--mnchen-3ya.xn--p1ai"), ("http://256.1.1.1/", None), ("a_b.com", None), ("http://x.com:1/", None), ("x.com.", "https://x.com."), ("http://x.com/a b", None),
     ],
 )
 def test_validate_url(spark, given, want):
     assert one(spark, urls.validate(F.col("a")), a=given) == want
 
 
+def test_frequent_tokens(spark):
+    df = spark.createDataFrame([(["a", "x%d" % i],) for i in range(60)] + [(["b", "a"],)] * 40, "url_tokens array<string>")
+    assert urls.frequent_tokens(df, share=0.3) == ["a", "b"]
+
+
+def test_knowledge_base_is_configured(spark, tmp_path):
+    from linkforge import knowledge_base
+    from linkforge.operators import rules
+
+    (tmp_path / "kb.json").write_text('{"mark": "things", "item_url": "https://things.example/", "property_url": "https://things.example/p/", "wiki_hosts": ["things"]}')
+    kb = knowledge_base.KnowledgeBase.read(tmp_path / "kb.json")
+    assert one(spark, urls.is_wiki(F.col("a"), kb), a="https://things.example/Q1") is True
+    assert one(spark, rules.linked_item(F.array(F.col("a")), kb), a="https://things.example/Q17") == "Q17"
+    assert one(spark, rules.linked_item(F.array(F.col("a"))), a="https://things.example/Q17") is None
+    assert knowledge_base.configured().mark == "itembase"
+
+
 def test_clean_and_wiki(spark):
     assert one(spark, urls.clean(F.col("a")), a=" http://a.org  http://b.org ") == ["http://a.org", "http://b.org"]
     assert one(spark, urls.living(F.col("a")), a="http://a.org nothing b.org") == ["http://a.org", "https://b.org"]

@@ -42,7 +42,7 @@ def test_closure(spark):
 def test_rules(spark):
     p = spark.createDataFrame([("Q1", "t1", 0.9), ("Q1", "t2", 0.9), ("Q2", "t3", 0.2), ("Q2", "t4", 0.9)], "qid string, tid string, confidence double")
     s = spark.createDataFrame([("Q1", ["ann"], ["a"]), ("Q2", ["bob"], None)], "qid string, name array<string>, pseudonym array<string>")
-    wd = "https://www.wikidata.org/wiki/Q"
+    wd = "https://www.itembase.example/wiki/Q"
     t = spark.createDataFrame([("t1", ["a"], None), ("t2", ["b"], [wd + "1"]), ("t3", ["x"], None), ("t4", ["bob"], ["http://z", wd + "9"])], "tid string, name array<string>, url array<string>")
     assert rows(rules.apply_rules(p, s, t), "tid", "confidence") == [("t1", 0.9), ("t2", 1.0), ("t3", 0.0), ("t4", 0.0)]
     links = spark.createDataFrame([("Q1", "t1", 0.4), ("Q2", "t1", 0.9), ("Q3", "t2", 0.7), ("Q2", "t2", 0.7)], "qid string, tid string, confidence double")
@@ -190,3 +190,23 @@ def test_reports_and_phonetics(spark, tmp_path):
     got = interchange.read_reports(spark, {m: str(tmp_path / m) for m in ("nb", "lr")})
     assert rows(analysis.means(got, ["model"], ("f1",))) == [("lr", 0.75), ("nb", 0.5)]
     assert spark.range(1).select(text.soundex(F.lit("Müller")) == text.soundex(F.lit("mueler"))).first()[0]
+
+
+def test_containment_equals_brute_force(spark):
+    import random
+
+    r = random.Random(4)
+    word = lambda: "the" if r.random() < 0.4 else f"w{r.randrange(12)}"
+    small = [(f"q{i}", [word() for _ in range(r.randrange(0, 4))]) for i in range(60)] + [("n", None)]
+    large = [(f"t{i}", [word() for _ in range(r.randrange(0, 9))]) for i in range(60)]
+    s, t = spark.createDataFrame(small, "qid string, tokens array<string>"), spark.createDataFrame(large, "tid string, tokens array<string>")
+    got = sorted(tuple(x) for x in blocking.supersets(s, t).collect())
+    assert got == sorted((q, u) for q, a in small if a for u, b in large if {*a} <= {*b})
+    swapped = blocking.subsets(t.select(F.col("tid").alias("qid"), "tokens"), s.select(F.col("qid").alias("tid"), "tokens"))
+    assert sorted(tuple(x) for x in swapped.collect()) == sorted((u, q) for q, a in small if a and len({*a}) >= 2 for u, b in large if {*a} <= {*b})
+    assert {x["rank"] for x in blocking.top_k(blocking.supersets(s, t), "qid", [F.asc("tid")], 2).collect()} <= {1, 2}
+
+
+def test_classes_of_equal_values(spark):
+    df = spark.createDataFrame([(1, "A"), (2, "a"), (3, "b"), (4, None), (5, "a")], "id long, v string")
+    assert sorted(tuple(x) for x in blocking.exact_classes(df, "id", F.col("v")).collect()) == [(1, 1), (2, 1), (3, 3), (5, 1)]

@@ -159,3 +159,37 @@ def test_registry():
     assert target("imdb", "writer").needs_occupations and not target("discogs", "band").needs_occupations
 
 
+
+
+def test_archive_is_unpacked(spark, tmp_path):
+    import tarfile
+
+    from linkforge.sources import musicbrainz
+
+    (tmp_path / "mbdump").mkdir()
+    (tmp_path / "mbdump" / "area").write_text("1\tg\tHere\n")
+    (tmp_path / "mbdump" / "other").write_text("no")
+    with tarfile.open(tmp_path / "a.tar.bz2", "w:bz2") as t:
+        t.add(tmp_path / "mbdump", "mbdump")
+    got = musicbrainz.unpack(str(tmp_path / "a.tar.bz2"), str(tmp_path / "out"))
+    assert list(got) == ["area"] and spark.read.csv(got["area"], sep="\t").first()[2] == "Here"
+
+
+def test_properties_and_labels(spark):
+    from linkforge.sources import knowledge
+
+    p = spark.createDataFrame([("http://x/entity/P12", "http://x/ontology#Url"), ("P3", "url"), ("P4", "ExternalId"), ("", "url")], "pid string, datatype string")
+    assert knowledge.url_properties(p) == ["P3", "P12"]
+    m = spark.createDataFrame([("P1", "https://x/$1", "[0-9]+", None), ("P2", "https://y/$1", "(?P<bad", "(")], "pid string, formatter_url string, id_regex string, url_regex string")
+    assert [(r["pid"], r["id_regex"], r["url_regex"]) for r in knowledge.property_metadata(m).orderBy("ord").collect()] == [("P1", "[0-9]+", None), ("P2", None, None)]
+    e = spark.createDataFrame([("Q1", {"en": ("Ann",), "de": ("Anna",)}), ("Q2", {"en": ("Bob",)})], "id string, labels map<string,struct<value:string>>")
+    ids = spark.createDataFrame([("Q1",)], "id string")
+    assert sorted(tuple(r) for r in knowledge.labels(e, ids).collect()) == [("Q1", "de", "Anna"), ("Q1", "en", "Ann")]
+    assert [tuple(r) for r in knowledge.labels(e, ids, ("en",)).collect()] == [("Q1", "en", "Ann")]
+
+
+def test_totals(spark):
+    from linkforge.sources import online
+
+    a, b = spark.createDataFrame([("u",), ("v",)], "url string"), spark.createDataFrame([("w",)], "url string")
+    assert tuple(online.totals(a, b).first()) == (3, 2, 1)
