@@ -5,7 +5,8 @@ mean word length, of the share of marks (characters that are neither letters, di
 and of the share of words of three characters or fewer, each drawn a little to a prior so that short texts don't stand
 out by chance. For each (language, source) group centre and covariance are estimated by the minimum covariance
 determinant: from several starts (quartiles; all rows; rows within a box about the medians) concentration steps take
-the `share` of rows nearest by Mahalanobis distance and estimate anew until no determinant changes; the smallest wins.
+the `share` of rows nearest by Mahalanobis distance and estimate anew; after two the start with the smallest determinant
+goes on until it doesn't change.
 Distances are made consistent by their median, the rows within the 97.5 % quantile of the chi-square distribution give
 the reweighted estimate, and rows whose distance that distribution exceeds with a chance of `tail` only are rejected.
 Covariances are only kept from being singular: by the variance of rounding to 1/256ths.
@@ -124,8 +125,9 @@ def _scaled(rows: DataFrame, params: DataFrame) -> DataFrame:
     return params.join(mid, "g").select("g", "p", (F.expm1((F.col("q") + 0.5) / STEPS) / CHI2_MEDIAN).alias("scale"))
 
 
-def estimate(rows: DataFrame, share: float = 0.75, most: int = 30) -> DataFrame:
-    """Rows (g, x0..): per g the struct p of centre and factor (reweighted), and scale. most: concentration steps."""
+def estimate(rows: DataFrame, share: float = 0.75, most: int = 30, both: int = 2) -> DataFrame:
+    """Rows (g, x0..): per g the struct p of centre and factor (reweighted), and scale. most: concentration steps, of which
+    all starts take the first `both`, and the one with the smallest determinant the rest."""
     with Scratch(rows.sparkSession) as t:
         values = rows.select("g", F.posexplode(F.array(*X)).alias("i", "q")).groupBy("g", "i", "q").agg(F.count(F.lit(1)).alias("n"))
         values = t.store(values)
@@ -149,13 +151,16 @@ def estimate(rows: DataFrame, share: float = 0.75, most: int = 30) -> DataFrame:
             one = _factor(df, "g").withColumn("start", F.lit(k))
             params = one if params is None else params.unionByName(one)
         params = t.store(params)
-        for _ in range(most):
+        for k in range(most):
             tried = small(t.store(params.groupBy("g").agg(F.collect_list(F.struct("start", "p")).alias("tries"))))  # as many as starts
             q = rows.join(tried, "g").select("g", *X, F.explode("tries").alias("y")).groupBy("g", F.col("y.start").alias("start"), _step(_distance(F.col("y.p"))).alias("q")).agg(*_sums())
             last, params = params, t.store(_factor(_moments(_upto(q, share, "g", "start"), "g", "start"), "g", "start"))
-            moved = params.join(last.select("g", "start", F.col("det").alias("was")), ["g", "start"]).where(F.abs(F.col("det") - F.col("was")) > 1e-9)
-            if moved.isEmpty():
-                break
+            if k + 1 == both:
+                params = t.store(params.groupBy("g").agg(F.min_by(F.struct("start", "det", "p"), F.struct("det", "start")).alias("b")).select("g", "b.*"))
+            elif k + 1 > both:
+                moved = params.join(last.select("g", "start", F.col("det").alias("was")), ["g", "start"]).where(F.abs(F.col("det") - F.col("was")) > 1e-9)
+                if moved.isEmpty():
+                    break
         best = t.store(params.groupBy("g").agg(F.min_by("p", F.struct("det", "start")).alias("p")))
         raw = t.store(_scaled(rows, best))
         near = rows.join(small(raw), "g").where(_distance(F.col("p")) <= CHI2_975 * F.col("scale")).groupBy("g").agg(*_sums())

@@ -1,12 +1,14 @@
 """The pipeline against a plain version of its five stages, and on dirty rows."""
 
+import itertools
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from test_near import brute
-from test_texts import plain_distances, repeated_windows, winnowed
+from test_texts import near_lines, plain_distances, repeated_windows, winnowed
 
 from linkforge.llm import pack_binary, quality_mcd
 
@@ -53,9 +55,14 @@ def plain(spark, rows):
     component = brute(docs, 5)
     docs = [(d, t) for d, t in docs if component[d] == d]
     gone = repeated_windows(docs, 30)
+    for d, own in gone.items():  # up to four words between repeated ones go with them
+        for a, b in itertools.pairwise(sorted({*own})):
+            own |= set(range(a, b)) if b - a <= 5 else set()
+    for d, a, n, _ in near_lines(docs):
+        gone[d] |= set(range(a, a + n))
     left = {}
     for d, t in docs:
-        words = [(m.start(), m.end()) for m in __import__("re").finditer(r"[^\x20\x09-\x0D]+", t)]
+        words = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", t)]
         keep = "".join(t[a : words[i + 1][0] if i + 1 < len(words) else len(t)] for i, (a, _) in enumerate(words) if i not in gone[d])
         left[d] = keep if gone[d] else t
     return {d: t for d, t in left.items() if t.strip() or not gone[d]}

@@ -207,19 +207,19 @@ def plain_distances(x, share=0.75):
     a, b, c = (np.sort(x, 0)[int(np.ceil(part * n)) - 1] / quality_mcd.UNIT for part in (0.25, 0.5, 0.75))
     s = (c - a) / 1.349
     box = (np.abs(v - b) <= 1.5 * s + 1 / quality_mcd.UNIT).all(1)
-    best = None
-    for start in [(b, np.diag(s**2) + quality_mcd.ROUNDING * np.eye(d)), params(v), params(v[box])]:
-        last = None
-        for _ in range(50):
-            start = params(v[upto(steps(start), share)])
-            det = np.linalg.slogdet(start[1])[1]
-            if last is not None and abs(det - last) <= 1e-9:
-                break
-            last = det
-        if best is None or det < best[0] - 1e-9:
-            best = det, start
+    def better(start):
+        return params(v[upto(steps(start), share)])
+
+    def det(p):
+        return np.linalg.slogdet(p[1])[1]
+
+    starts = [(b, np.diag(s**2) + quality_mcd.ROUNDING * np.eye(d)), params(v), params(v[box])]
+    raw = min((better(better(p)) for p in starts), key=det)
+    for _ in range(50):
+        last, raw = raw, better(raw)
+        if abs(det(raw) - det(last)) <= 1e-9:
+            break
     scale = lambda p: np.expm1((np.sort(steps(p))[int(np.ceil(n / 2)) - 1] + 0.5) / quality_mcd.STEPS) / quality_mcd.CHI2_MEDIAN
-    raw = best[1]
     final = params(v[distances(raw) <= quality_mcd.CHI2_975 * scale(raw)])
     return distances(final) / scale(final)
 
@@ -433,13 +433,8 @@ def paragraphs(docs):
             at += len(w)
 
 
-def test_near_paragraphs_equal_brute_force(spark):
-    """All pairs of paragraphs, linked by Jaccard of 0.8 or more; each but the first of a component goes."""
-    r = random.Random(9)
-    own = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
-    bases = [own(n) for n in (30, 45, 60, 120, 300)]
-    edited = lambda w, share: [x if r.random() > share else f"e{r.randrange(10**9)}" for x in w]
-    docs = [(i, "\n".join(" ".join(x) for x in [own(r.randrange(3, 60)), edited(bases[i % 5], r.choice([0.005, 0.01, 0.02, 0.04, 0.1])), own(r.randrange(1, 40)), own(35)])) for i in range(120)]
+def near_lines(docs):
+    """(doc_id, first word, words, first document of the component) of paragraphs linked with one of an earlier document."""
     found = list(paragraphs(docs))
     up = list(range(len(found)))
 
@@ -453,7 +448,17 @@ def test_near_paragraphs_equal_brute_force(spark):
         if 5 * len(a & b) >= 4 * len(a | b):
             x, y = sorted((root(x), root(y)))
             up[y] = x
-    want = {(found[x][0], found[x][1], found[x][3], found[root(x)][0]) for x in range(len(found)) if root(x) != x}
+    return {(found[x][0], found[x][1], found[x][3], found[root(x)][0]) for x in range(len(found)) if found[root(x)][0] != found[x][0]}
+
+
+def test_near_paragraphs_equal_brute_force(spark):
+    """All pairs of paragraphs, linked by Jaccard of 0.8 or more; each but the first of a component goes."""
+    r = random.Random(9)
+    own = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    bases = [own(n) for n in (30, 45, 60, 120, 300)]
+    edited = lambda w, share: [x if r.random() > share else f"e{r.randrange(10**9)}" for x in w]
+    docs = [(i, "\n".join(" ".join(x) for x in [own(r.randrange(3, 60)), edited(bases[i % 5], r.choice([0.005, 0.01, 0.02, 0.04, 0.1])), own(r.randrange(1, 40)), own(35)])) for i in range(120)]
+    want = near_lines(docs)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
     known = paragraph_minhash._known(df)
     got = {(x["doc_id"], x["a"], x["n"], x["d0"]) for x in paragraph_minhash.near_paragraphs(df, paragraph_minhash.units(known).where("k is not null")).collect()}
