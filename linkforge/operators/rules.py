@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkforge.functions.dates import birth_or_death_match
-from linkforge.functions.urls import item_id
+from linkforge.functions.urls import is_wiki, item_id
 from linkforge.knowledge_base import KnowledgeBase, configured
 from linkforge.operators import blocking
+from linkforge.operators.analysis import name_date_key
 from linkforge.schema import NAME_FIELDS
 
 
@@ -103,3 +106,21 @@ def rule_linkers(kind: str, source: DataFrame, target: DataFrame, target_links:
     for r in out[1:]:
         rows = rows.unionByName(r)
     return rows
+
+
+def key_linkers(source: DataFrame, target: DataFrame, wiki: Callable[[Column], Column] = is_wiki) -> DataFrame:
+    """qid, tid, rule of pairs with an equal key: label (without case), link, wikilink (of those links the ones to wikis) and
+    name and years of birth and death. Both: an id (qid, tid), label, url (array), born and died (dates).
+
+    Keys are exploded to rows of their own and joined once, so no pair is looked at that doesn't share one.
+    """
+
+    def keys(rows: DataFrame, key: str) -> DataFrame:
+        years = F.when(F.col("born").isNotNull() & F.col("died").isNotNull(), name_date_key(F.col("label"), F.col("born"), F.col("died")))
+        one = lambda rule, value: F.struct(F.lit(rule).alias("rule"), value.alias("value"))
+        links = F.coalesce(F.transform("url", lambda u: one("link", u)), F.array())
+        wikis = F.coalesce(F.transform(F.filter("url", lambda u: wiki(u)), lambda u: one("wikilink", u)), F.array())
+        each = F.concat(F.array(one("label", F.lower("label")), one("name and dates", years)), links, wikis)
+        return rows.select(key, F.explode(each).alias("k")).select(key, "k.*").where("value is not null").distinct()
+
+    return keys(source, "qid").join(keys(target, "tid"), ["rule", "value"]).select("qid", "tid", "rule").distinct()

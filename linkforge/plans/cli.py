@@ -127,7 +127,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         pids = knowledge.url_properties(spark.read.parquet(a.properties)) if a.properties else None
         own = c.where("kind = 'string'").where(F.col("pid").isin(pids) if pids is not None else F.col("value").like("http%"))
         source = knowledge.identifier_urls(c, metadata).unionByName(own.select("qid", F.col("value").alias("url"))).distinct()
-        blacklist = interchange.read_words(spark, a.blacklist) if a.blacklist else []
+        blacklist = interchange.read_blacklist(spark, a.blacklist) if a.blacklist else []
         for name, df in validate.validate_links(_ids(spark, a, t), source, link_table.select(F.col("catalog_id").alias("tid"), "url"), metadata, blacklist).items():
             df.write.mode("overwrite").json(f"{a.out}/{name}")
     elif a.job == "sync-bio":

@@ -84,6 +84,15 @@ def read_words(spark: SparkSession, path: str, most: int = 100_000) -> list[str]
     return sorted({r["value"].strip() for r in rows})
 
 
+def read_blacklist(spark: SparkSession, path: str, most: int = 100_000) -> list[str]:
+    """Domains from a page that lists them: the texts of its li elements without tags, or one a line where it has none."""
+    page = spark.read.text(path, wholetext=True).select(F.regexp_extract_all("value", F.lit(r"(?is)<li[^>]*>(.*?)</li>"), F.lit(1)).alias("v"))
+    items = page.select(F.explode("v").alias("v")).select(F.trim(F.regexp_replace("v", r"(?s)<[^>]*>", "")).alias("v")).where("v <> ''").distinct().limit(most + 1).collect()
+    if len(items) > most:
+        raise ValueError(f"over {most} domains")
+    return sorted(r["v"] for r in items) or read_words(spark, path, most)
+
+
 def keyed(df: DataFrame, path: str, key: str) -> DataFrame:
     """A stage's result as Parquet under a key of its parameters; read back if it is there already."""
     spark = df.sparkSession

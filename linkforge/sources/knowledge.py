@@ -173,6 +173,19 @@ def labels(entities: DataFrame, ids: DataFrame, languages: tuple[str, ...] | Non
     return out if languages is None else out.where(F.col("language").isin(*languages))
 
 
+def resolve(terms: DataFrame, entities: DataFrame, language: str = "en", term: str = "term") -> DataFrame:
+    """terms with qid: the first entity, by number, whose label or alias in the language is the term, whatever its case;
+    null where there is none. A look-up by equality, no search by likeness."""
+    from pyspark.sql import Window
+
+    named = lambda c: F.array(F.try_element_at(c, F.lit(language)).value)
+    also = F.transform(F.coalesce(F.try_element_at("aliases", F.lit(language)), F.array()), lambda x: x.value) if "aliases" in entities.columns else F.array().cast("array<string>")
+    names = entities.select(F.col("id").alias("qid"), F.explode(F.concat(named(F.col("labels")), also)).alias("name")).select("qid", F.lower("name").alias("key")).where("key is not null").distinct()
+    order = F.row_number().over(Window.partitionBy("key").orderBy(F.regexp_extract("qid", r"(\d+)", 1).try_cast("long"), "qid"))
+    first = names.withColumn("r", order).where("r = 1").select("key", "qid")
+    return terms.join(first, F.lower(terms[term]) == F.col("key"), "left").drop("key")
+
+
 def usable_patterns(patterns: list[str | None]) -> list[str | None]:
     """Those that Java compiles, others null; for the few thousand patterns of properties, on the driver."""
     spark = SparkSession.getActiveSession()

@@ -210,3 +210,13 @@ def test_containment_equals_brute_force(spark):
 def test_classes_of_equal_values(spark):
     df = spark.createDataFrame([(1, "A"), (2, "a"), (3, "b"), (4, None), (5, "a")], "id long, v string")
     assert sorted(tuple(x) for x in blocking.exact_classes(df, "id", F.col("v")).collect()) == [(1, 1), (2, 1), (3, 3), (5, 1)]
+
+
+def test_links_by_equal_keys(spark):
+    import datetime as dt
+
+    shape = "label string, url array<string>, born date, died date"
+    a, b = dt.date(1900, 1, 2), dt.date(1950, 5, 5)
+    s = spark.createDataFrame([("Q1", "Ann", ["https://en.wikipedia.org/wiki/A", "http://a.org"], a, b), ("Q2", "Bob", None, None, None)], f"qid string, {shape}")
+    t = spark.createDataFrame([("t1", "ANN", ["https://en.wikipedia.org/wiki/A"], dt.date(1900, 9, 9), b), ("t2", "x", ["http://a.org"], None, b), ("t3", None, [], None, None)], f"tid string, {shape}")
+    assert rows(rules.key_linkers(s, t)) == [("Q1", "t1", "label"), ("Q1", "t1", "link"), ("Q1", "t1", "name and dates"), ("Q1", "t1", "wikilink"), ("Q1", "t2", "link")]

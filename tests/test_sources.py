@@ -193,3 +193,15 @@ def test_totals(spark):
 
     a, b = spark.createDataFrame([("u",), ("v",)], "url string"), spark.createDataFrame([("w",)], "url string")
     assert tuple(online.totals(a, b).first()) == (3, 2, 1)
+
+
+def test_resolve_and_blacklist(spark, tmp_path):
+    from linkforge.sources import interchange, knowledge
+
+    e = spark.createDataFrame([("Q10", {"en": ("Ann",)}, {"en": [("Annie",)]}), ("Q9", {"en": ("ann",), "de": ("Anna",)}, None)], "id string, labels map<string,struct<value:string>>, aliases map<string,array<struct<value:string>>>")
+    t = spark.createDataFrame([("ANN",), ("annie",), ("Anna",), (None,)], "term string")
+    assert sorted((str(r["term"]), r["qid"]) for r in knowledge.resolve(t, e).collect()) == [("ANN", "Q9"), ("Anna", None), ("None", None), ("annie", "Q10")]
+    (tmp_path / "page.html").write_text("<ul><li><b>a.example</b></li>\n<li class='x'> b.example </li></ul>")
+    (tmp_path / "lines.txt").write_text("c.example\n\nd.example\n")
+    assert interchange.read_blacklist(spark, str(tmp_path / "page.html")) == ["a.example", "b.example"]
+    assert interchange.read_blacklist(spark, str(tmp_path / "lines.txt")) == ["c.example", "d.example"]
