@@ -42,8 +42,7 @@ BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 class Scratch:
     """Tables of a job's steps, as Parquet in the shared folder: they cut the lineage and survive lost executors.
 
-    As a context it deletes at its end what wasn't kept. drop() deletes a table that no later step reads, and lets the
-    driver's collector free the shuffle files of finished steps.
+    As a context it deletes at its end what wasn't kept. drop() deletes a table that no later step reads.
     """
 
     def __init__(self, spark: SparkSession):
@@ -58,6 +57,8 @@ class Scratch:
         self.collect()
 
     def collect(self) -> None:
+        """Let the driver's collector find the plans of finished steps: their shuffle files on the executors go then, which
+        are many small ones where partitions are many."""
         gc.collect()
         self.spark._jvm.System.gc()
 
@@ -71,6 +72,7 @@ class Scratch:
             self.spark.conf.set(BATCH, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
+        self.collect()
         return out
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -81,7 +83,6 @@ class Scratch:
 
     def drop(self, *dfs: DataFrame) -> None:
         delete(self.spark, *[self.paths.pop(id(d)) for d in dfs if id(d) in self.paths])
-        self.collect()
 
 
 def keep(df: DataFrame) -> DataFrame:

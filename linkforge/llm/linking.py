@@ -68,7 +68,6 @@ def verified_components(keys: DataFrame, sizes: DataFrame, sets_of: Callable[[Da
     with Scratch(keys.sparkSession) as t:
         lows = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key", "lo")
         shared = t.store(keys.join(lows, "key").select("key", "id", "lo"))
-        t.collect()
         sizes = t.store(sizes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "n"))
         a, b = sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"))
         stars = shared.where("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct().join(a, "a").join(b, "b")

@@ -221,7 +221,6 @@ def removable(docs: DataFrame, least: int = LEAST, within: bool = False) -> Data
         again = t.store(copies(docs))
         known = _known(docs).join(small(again).select("doc_id", "th"), ["doc_id", "th"], "left_anti")
         found = t.store(units(known, least))
-        t.collect()
         runs = repeated_runs(docs, found.where("k is null"), within)
         near = near_paragraphs(docs, found.where("k is not null"), within)
         t.drop(found)
