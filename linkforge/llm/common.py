@@ -6,8 +6,10 @@ import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,16 +180,53 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return acc
 
 
+#: Edges of which one task holds a forest at a time.
+EDGES = 200_000
+
+
+def _forests(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges, so many at a time, as stars of the same components: each node on the smallest one."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while up.setdefault(root, root) != root:
+            root = up[root]
+        while up[x] != root:
+            up[x], x = root, up[x]
+        return root
+
+    def stars() -> pd.DataFrame:
+        out = [(x, find(x)) for x in list(up)]
+        up.clear()
+        return pd.DataFrame([p for p in out if p[0] != p[1]], columns=["a", "b"], dtype="int64")
+
+    seen = 0
+    for part in pdfs:
+        for x, y in zip(part["a"].tolist(), part["b"].tolist(), strict=True):
+            x, y = find(x), find(y)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+        seen += len(part)
+        if seen >= EDGES:
+            yield stars()
+            seen = 0
+    yield stars()
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a long, b long): rows (id, comp), comp the smallest id reachable.
 
-    Alternating large-star and small-star steps, all on DataFrames: neighbourhoods are reduced by min with map-side
-    combination and never gathered in one place. Each round's edges are a table of their own; they have settled when
-    every node hangs on one node that hangs on none.
+    Each task first makes stars of the edges that it holds, a bounded number at a time; partitions are as many as their
+    count asks for. Then alternating large-star and small-star steps, all on DataFrames: neighbourhoods are reduced by min
+    with map-side combination and never gathered in one place. Each round's edges are a table of their own; they have
+    settled when every node hangs on one node that hangs on none, which a graph of a single task's edges has at once.
     """
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
     with Scratch(edges.sparkSession) as s:
-        now = s.store(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        raw = s.store(pairs)
+        now = s.store(raw.coalesce(max(1, -(-raw.count() // EDGES))).mapInPandas(_forests, "a long, b long"))
+        s.drop(raw)
         for _ in range(most_rounds):
             ends = now.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(now.select(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
             if ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty():

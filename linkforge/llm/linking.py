@@ -82,11 +82,14 @@ def verified_components(keys: DataFrame, sizes: DataFrame, sets_of: Callable[[Da
         labelled = t.store(shared.select("key", "id").join(first, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("c")))
         t.drop(shared)
         opened = labelled.groupBy("key").agg(F.min("c").alias("m"), F.max("c").alias("x"), F.count(F.lit(1)).alias("n")).where("m <> x and n > 2").select("key")
-        z = size_class(F.col("n"), share)
-        parts = t.store(labelled.join(opened, "key").join(sizes, "id").select("key", "id", "c", "n", F.explode(F.array(z, z + 1)).alias("z")))
+        parts = t.store(labelled.join(opened, "key").join(sizes, "id").select("key", "id", "c", "n", size_class(F.col("n"), share).alias("z")))
         t.drop(labelled)
-        opened = parts.groupBy("key", "z").agg(F.min("c").alias("m"), F.max("c").alias("x")).where("m <> x").select("key", "z", "m")
-        rest = t.store(parts.join(opened, ["key", "z"]).select("id", "c", "n", "z", "m").distinct())
+        # part z of a bucket: its members of the classes z and z - 1
+        own = parts.groupBy("key", "z").agg(F.min("c").alias("m"), F.max("c").alias("x"))
+        both = own.unionByName(own.withColumn("z", F.col("z") + 1)).groupBy("key", "z").agg(F.min("m").alias("m"), F.max("x").alias("x"))
+        opened = t.store(both.where("m <> x").select("key", F.col("z").alias("part"), "m"))
+        of = lambda part: parts.withColumn("part", part).join(opened, ["key", "part"]).select("id", "c", "n", F.col("part").alias("z"), "m").distinct()
+        rest = t.store(of(F.col("z")).unionByName(of(F.col("z") + 1)))
         t.drop(parts)
         if rest.isEmpty():
             return t.keep(first)

@@ -152,13 +152,14 @@ def estimate(rows: DataFrame, share: float = 0.75, most: int = 30, both: int = 2
             params = one if params is None else params.unionByName(one)
         params = t.store(params)
         for k in range(most):
-            tried = small(t.store(params.groupBy("g").agg(F.collect_list(F.struct("start", "p")).alias("tries"))))  # as many as starts
+            # as many as starts, then one
+            tried = small(t.store(params.groupBy("g").agg(F.collect_list(F.struct("start", "p")).alias("tries"))) if k < both else params.select("g", F.array(F.struct("start", "p")).alias("tries")))
             q = rows.join(tried, "g").select("g", *X, F.explode("tries").alias("y")).groupBy("g", F.col("y.start").alias("start"), _step(_distance(F.col("y.p"))).alias("q")).agg(*_sums())
             last, params = params, t.store(_factor(_moments(_upto(q, share, "g", "start"), "g", "start"), "g", "start"))
             if k + 1 == both:
                 params = t.store(params.groupBy("g").agg(F.min_by(F.struct("start", "det", "p"), F.struct("det", "start")).alias("b")).select("g", "b.*"))
             elif k + 1 > both:
-                moved = params.join(last.select("g", "start", F.col("det").alias("was")), ["g", "start"]).where(F.abs(F.col("det") - F.col("was")) > 1e-9)
+                moved = params.select("g", "det").unionByName(last.select("g", "det")).groupBy("g").agg((F.max("det") - F.min("det")).alias("by")).where("by > 1e-9")
                 if moved.isEmpty():
                     break
         best = t.store(params.groupBy("g").agg(F.min_by("p", F.struct("det", "start")).alias("p")))

@@ -78,7 +78,10 @@ def test_blocks(spark):
     assert few.count() == 0
 
 
-def test_graph_components(spark):
+@pytest.mark.parametrize("at_once", [3, 200_000])
+def test_graph_components(spark, monkeypatch, at_once):
+    """Over many tasks' forests, and over one."""
+    monkeypatch.setattr(common, "EDGES", at_once)
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 101), (7, 7), (200, 5), (-3, 900)]
     got = {r["id"]: r["comp"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in [*range(1, 61), 200]}, 100: 100, 101: 100, 103: 100, -3: -3, 900: -3}
