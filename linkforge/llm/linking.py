@@ -87,9 +87,13 @@ def verified_components(keys: DataFrame, sizes: DataFrame, sets_of: Callable[[Da
         # part z of a bucket: its members of the classes z and z - 1
         own = parts.groupBy("key", "z").agg(F.min("c").alias("m"), F.max("c").alias("x"))
         both = own.unionByName(own.withColumn("z", F.col("z") + 1)).groupBy("key", "z").agg(F.min("m").alias("m"), F.max("x").alias("x"))
-        opened = t.store(both.where("m <> x").select("key", F.col("z").alias("part"), "m"))
-        of = lambda part: parts.withColumn("part", part).join(opened, ["key", "part"]).select("id", "c", "n", F.col("part").alias("z"), "m").distinct()
-        rest = t.store(of(F.col("z")).unionByName(of(F.col("z") + 1)))
+        # by bucket, as many as there are size classes; a member looks its two parts up, and equal findings of many buckets
+        # become one before they are laid out as rows
+        opened = both.where("m <> x").groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("z", "m"))).alias("open"))
+        found = parts.join(opened, "key").select("id", "c", "n", "z", F.try_element_at("open", F.col("z")).alias("m0"), F.try_element_at("open", F.col("z") + 1).alias("m1"))
+        found = t.store(found.where("m0 is not null or m1 is not null").distinct())
+        rest = found.select("id", "c", "n", "z", F.col("m0").alias("m")).unionByName(found.select("id", "c", "n", (F.col("z") + 1).alias("z"), F.col("m1").alias("m")))
+        rest = t.store(rest.where("m is not null").distinct())
         t.drop(parts)
         if rest.isEmpty():
             return t.keep(first)
