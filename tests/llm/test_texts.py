@@ -393,6 +393,44 @@ def test_fewer_fingerprints_than_windows(spark):
     assert got == {i: len(shared[i % 5]) if i >= 5 else 0 for i in range(40)}
 
 
+def repeated_runs(docs, run=3, chars=100):
+    """By brute force: the numbers of the lines in runs that stand earlier, wherever that is."""
+    lines = {d: [(i, x) for i, x in enumerate(t.split("\n")) if re.search(r"[^\x20\x09-\x0D]", x)] for d, t in docs}
+    first, gone = {}, collections.defaultdict(set)
+    for d, own in sorted(lines.items()):
+        for j, k in itertools.product(range(len(own)), range(1, run + 1)):
+            w = tuple(x for _, x in own[j : j + k])
+            if len(w) == k and (k == run or sum(map(len, w)) >= chars):
+                d0, j0 = first.setdefault(w, (d, j))
+                if d != d0 or j >= j0 + k:
+                    gone[d] |= set(range(own[j][0], own[j + k - 1][0] + 1))
+    return gone
+
+
+def test_whole_runs_whose_fingerprints_stand_elsewhere(spark, tmp_path):
+    """Each pair of a run of three stands in an earlier document by itself; the run goes from its second place on."""
+    r = random.Random(3)
+    docs = [(1, "a\nb\nx"), (2, "y\nb\nc"), (3, "a\nb\nc"), (4, "z\na\nb\nc\nw")]
+    long, short = "long " * 30, "short"
+    docs += [(5, long), (6, f"{long}\n{short}"), (7, f"u\n{long}\n{short}\nv")]
+    pool = [f"line {i}" for i in range(12)] + ["", " "] + ["long " * 19 + f"line {i}" for i in range(3)]
+    docs += [(i, "\n".join(r.choice(pool) if r.random() < 0.7 else f"own {i} {j}" for j in range(r.randrange(1, 25)))) for i in range(10, 90)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    got = {x["doc_id"]: x["text"] for x in line_winnow.dedup(df, whole=True).collect()}
+    gone, before = repeated_runs(docs), winnowed(docs)
+    assert got[4] == "z\nw" and got[7] == "u\nv"
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {x["doc_id"]: x["n_deleted"] for x in line_winnow.op9_line_winnow(spark, str(tmp_path)).where("doc_id < 8").collect()} == {1: 0, 2: 0, 3: 0, 4: 3, 5: 0, 6: 1, 7: 2}
+    for d, t in docs:
+        rest = [x for i, x in enumerate(t.split("\n")) if i not in gone[d]]
+        # whatever goes without whole=True goes with it
+        assert len(got[d]) <= min(len(before[d]), len("\n".join(rest)))
+    plain = [(d, t) for d, t in docs if all(t.split("\n").count(x) == 1 for x in t.split("\n"))]  # no run of its own
+    got = {x["doc_id"]: x["text"] for x in line_winnow.dedup(spark.createDataFrame(plain, "doc_id long, text string"), whole=True).collect()}
+    gone = repeated_runs(plain)
+    assert got == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]) for d, t in plain}
+
+
 # ------------------------------------------------------------------ operator 10
 def test_repeated_passages_go_but_the_first(spark):
     r = random.Random(8)
