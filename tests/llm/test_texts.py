@@ -224,6 +224,23 @@ def plain_distances(x, share=0.75):
     return distances(final) / scale(final)
 
 
+def test_tables_by_group_are_short_files(spark):
+    """Estimates of a few groups are one file, however many shuffle partitions there are, and the same in more tasks."""
+    r = np.random.default_rng(5)
+    rows = spark.createDataFrame([(f"g{g}", *map(int, r.normal(100 * g, 20, 3))) for g in range(9) for _ in range(60)], "g string, x0 long, x1 long, x2 long")
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = quality_mcd.estimate(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got.inputFiles()) == 1
+    assert got.orderBy("g").collect() == quality_mcd.estimate(rows).orderBy("g").collect()
+
+
 def test_estimate_equals_a_plain_one(spark):
     r = np.random.default_rng(0)
     groups = {}
