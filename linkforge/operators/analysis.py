@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +34,32 @@ def shares(rows: DataFrame, column: str) -> DataFrame:
     return counts.join(F.broadcast(total)).select(column, "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+def digests(rows: DataFrame, key: str, value: str, between: str = "|") -> DataFrame:
+    """key, n and v: the number of its distinct values, and the md5 of them in order, joined by `between`; nulls don't count.
+
+    A key may have more text than a row or a task's memory can hold: its values are sorted, which spills, and read in
+    turn. They are in one task, as an md5 is by its nature computed from first to last.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last, n, md5 = None, None, None, hashlib.md5()  # n: None before the first row
+        done = lambda: pa.RecordBatch.from_pylist([{"key": key, "n": n, "v": md5.hexdigest()}], pa.schema([("key", pa.string()), ("n", pa.int64()), ("v", pa.string())]))
+        for b in batches:
+            for k, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if n is None or k != key:
+                    if n is not None:
+                        yield done()
+                    key, last, n, md5 = k, None, 0, hashlib.md5()
+                if v is not None and v != last:
+                    md5.update((between + v if n else v).encode())
+                    last, n = v, n + 1
+        if n is not None:
+            yield done()
+
+    sorted_ = rows.select(F.col(key).cast("string").alias("key"), F.col(value).alias("value")).repartition("key").sortWithinPartitions("key", "value")
+    return sorted_.mapInArrow(run, "key string, n long, v string").withColumnRenamed("key", key)
+
+
 def means(results: DataFrame, by: list[str], metrics: tuple[str, ...] = ("precision", "recall", "f1")) -> DataFrame:
     return results.groupBy(*by).agg(*[F.avg(m).alias(m) for m in metrics])
 

@@ -220,3 +220,15 @@ def test_links_by_equal_keys(spark):
     s = spark.createDataFrame([("Q1", "Ann", ["https://en.wikipedia.org/wiki/A", "http://a.org"], a, b), ("Q2", "Bob", None, None, None)], f"qid string, {shape}")
     t = spark.createDataFrame([("t1", "ANN", ["https://en.wikipedia.org/wiki/A"], dt.date(1900, 9, 9), b), ("t2", "x", ["http://a.org"], None, b), ("t3", None, [], None, None)], f"tid string, {shape}")
     assert rows(rules.key_linkers(s, t)) == [("Q1", "t1", "label"), ("Q1", "t1", "link"), ("Q1", "t1", "name and dates"), ("Q1", "t1", "wikilink"), ("Q1", "t2", "link")]
+
+
+def test_digests(spark, tmp_path):
+    """Blank and null texts, keys of nulls alone, repeated values: as the SQL has them."""
+    from compare import check
+
+    from linkforge import catalog_queries as q
+
+    texts = [("a", " B "), ("a", "b"), ("a", ""), ("a", "  "), ("a", None), ("a", "Ä"), ("n", None), (None, "z"), *[("c", f"x{i % 40}") for i in range(300)]]
+    spark.createDataFrame(texts, "source string, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    check(spark, q.QUERIES["normalize_values"], q.SQL["normalize_values"], str(tmp_path))
+    assert {(r["source"], r["n"]) for r in q.QUERIES["normalize_values"](spark, str(tmp_path)).collect()} == {("a", 3), ("n", 0), (None, 1), ("c", 40)}
