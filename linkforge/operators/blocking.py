@@ -1,9 +1,11 @@
 """Candidate pairs by shared tokens. Tables: an id column, one row per id, and an array of tokens.
 
 Frequent tokens: `most_frequent` drops tokens of more target rows than that before the join (a documented cut of
-recall, off by default). Pairs are counted by a partial aggregation before their shuffle, which also carries both
-sides' numbers of tokens, so no table is read or tokenised twice; the join on tokens is left to adaptive execution to
-split where a token is hot.
+recall, off by default). Where the target's index is small (counted), it is sent to the source's rows, which are dealt
+out by their id before they become pairs: all pairs of an id are made, counted and ranked in one task, and only tokens are
+shuffled. Else pairs are counted by a partial aggregation before their shuffle, which also carries both sides' numbers of
+tokens, so no table is read or tokenised twice; the join on tokens is left to adaptive execution to split where a token is
+hot.
 """
 
 from __future__ import annotations
@@ -12,6 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkforge.functions.text import let
+from linkforge.operators.closure import cut
+
+#: Rows of an index of tokens, up to which it is sent to the other side's rows.
+FEW = 250_000
 
 
 def inverted(rows: DataFrame, key: str, tokens: str, n: str = "n") -> DataFrame:
@@ -20,11 +26,16 @@ def inverted(rows: DataFrame, key: str, tokens: str, n: str = "n") -> DataFrame:
     return rows.select(key, F.explode(each).alias("e")).select(key, "e.token", f"e.{n}")
 
 
-def shared_counts(source: DataFrame, target: DataFrame, source_key: str, target_key: str, tokens: str = "tokens", most_frequent: int | None = None) -> DataFrame:
-    """source_key, target_key, shared, ns, nt: the number of distinct tokens that both have, and of each side's."""
-    s, t = inverted(source, source_key, tokens, "ns"), inverted(target, target_key, tokens, "nt")
+def shared_counts(source: DataFrame, target: DataFrame, source_key: str, target_key: str, tokens: str = "tokens", most_frequent: int | None = None, few: int = FEW) -> DataFrame:
+    """source_key, target_key, shared, ns, nt: the number of distinct tokens that both have, and of each side's. few: rows
+    of the target's index up to which it is sent to the source's rows; the result is the same."""
+    t = inverted(target, target_key, tokens, "nt")
     if most_frequent is not None:
         t = t.join(t.groupBy("token").count().where(F.col("count") <= most_frequent).select("token"), "token", "left_semi")
+    if t.limit(few + 1).count() <= few:
+        n = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few tokens make many pairs: not to be coalesced
+        source, t = source.select(source_key, tokens).repartition(n, source_key), F.broadcast(t)
+    s = inverted(source, source_key, tokens, "ns")
     return s.join(t, "token").groupBy(source_key, target_key).agg(F.count(F.lit(1)).alias("shared"), F.max("ns").alias("ns"), F.max("nt").alias("nt"))
 
 

@@ -232,3 +232,15 @@ def test_digests(spark, tmp_path):
     spark.createDataFrame(texts, "source string, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     check(spark, q.QUERIES["normalize_values"], q.SQL["normalize_values"], str(tmp_path))
     assert {(r["source"], r["n"]) for r in q.QUERIES["normalize_values"](spark, str(tmp_path)).collect()} == {("a", 3), ("n", 0), (None, 1), ("c", 40)}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_stay_in_their_task(people):
+    """With a small target only tokens are shuffled, once; the other way gives the same."""
+    s, t = people
+    few, many = (blocking.shared_counts(s, t, "qid", "tid", few=n) for n in (10, 0))
+    assert rows(few) == rows(many) == [("Q1", "t1", 2, 2, 3), ("Q1", "t3", 1, 2, 1), ("Q2", "t2", 2, 3, 2)]
+    assert _plan(blocking.candidates(s, t)).count("Exchange hashpartitioning") == 1
