@@ -59,7 +59,7 @@ def contained(inner: DataFrame, outer: DataFrame, inner_key: str, outer_key: str
     unless a row has no other.
     """
     small = inner.select(F.col(inner_key).alias("ik"), F.array_distinct(tokens).alias("it")).where(F.size("it") > 0)
-    large = outer.select(F.col(outer_key).alias("ok"), F.array_distinct(tokens).alias("ot"))
+    large = cut(outer.select(F.col(outer_key).alias("ok"), F.array_distinct(tokens).alias("ot")))  # read thrice, tokenised once
     index = large.select("ok", F.explode("ot").alias("token"))
     asked = small.select("ik", F.explode("it").alias("token"))
     often = index.join(asked.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))

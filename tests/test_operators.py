@@ -244,3 +244,11 @@ def test_pairs_stay_in_their_task(people):
     few, many = (blocking.shared_counts(s, t, "qid", "tid", few=n) for n in (10, 0))
     assert rows(few) == rows(many) == [("Q1", "t1", 2, 2, 3), ("Q1", "t3", 1, 2, 1), ("Q2", "t2", 2, 3, 2)]
     assert _plan(blocking.candidates(s, t)).count("Exchange hashpartitioning") == 1
+
+
+def test_contained_makes_tokens_once(people):
+    s, t = people
+    made = t.withColumn("tokens", F.transform("tokens", lambda x: F.reverse(F.reverse(x))))
+    got = blocking.supersets(s, made)
+    assert "reverse" not in _plan(got)
+    assert rows(got) == [("Q1", "t1")]
