@@ -55,7 +55,8 @@ def cross_validate(kind: str, rows: DataFrame, features: list[str], keys: list[s
     """Every row's out-of-fold confidence, with its fold."""
     from linkforge.operators.models import train
 
-    dealt = cut(folds(rows, k, keys))
+    # folds() reads its rows twice
+    dealt = cut(folds(cut(rows), k, keys))
     parts = [train(kind, dealt.where(F.col("fold") != i), features, **params).score(dealt.where(F.col("fold") == i)) for i in range(k)]
     return reduce(DataFrame.unionByName, parts)
 

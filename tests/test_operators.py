@@ -252,3 +252,22 @@ def test_contained_makes_tokens_once(people):
     got = blocking.supersets(s, made)
     assert "reverse" not in _plan(got)
     assert rows(got) == [("Q1", "t1")]
+
+
+def test_cross_validation_makes_features_once(spark):
+    before = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 2).cast("int").alias("label"), F.reverse(F.col("id").cast("string")).cast("double").alias("f"))
+    seen, made = [], evaluate.folds
+    evaluate.folds = lambda rows, *a, **b: (seen.append(_plan(rows)), made(rows, *a, **b))[1]
+    try:
+        assert evaluate.cross_validate("nb", before, ["f"], ["k"], 2).count() == 40
+    finally:
+        evaluate.folds = made
+    assert "reverse" not in seen[0]
+
+
+def test_quality_features_move_no_text(spark, small):
+    from linkforge import catalog_queries as q
+
+    plan = q._vectors(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    at = plan.index("Join")
+    assert "length(text" in plan[at:] and "text" not in plan[:at]
